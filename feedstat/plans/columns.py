@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from feedstat.functions import casting, dates
 from feedstat.plans.standins import (
-    BARS_SQL, DAILY_SQL, MEASURES, daily_bars, feed_text, observations, show_bars, table,
+    ADJ_CLOSE_SQL, BARS_SQL, DAILY_SQL, MEASURES, daily_bars, feed_text, observations, show_bars, table,
 )
 from feedstat.operators.profile import column_info
 
@@ -155,7 +155,7 @@ QUERIES = {
 }
 
 _CLOSE = "strftime(Date, '%Y-%m-%d') AS Date, Open, High, Low, {} AS Close, " \
-    "round(Adj_Close, 6) AS Adj_Close, Volume"
+    + ADJ_CLOSE_SQL + ", Volume"
 _DATE = """SELECT o_orderkey, CASE WHEN o_orderstatus <> 'P'
     THEN strftime(o_orderdate, '%Y-%m-%d') END AS Date FROM orders"""
 _KINDS = {"l_returnflag": "categorical", "l_linestatus": "categorical"}

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from feedstat.functions.casting import rename_columns, to_double
 from feedstat.functions.dates import parse_date
 from feedstat.plans.standins import (
-    BAR_COLUMNS, BARS_SQL, DAILY_SQL, TICKER_SQL,
+    ADJ_CLOSE_SQL, BAR_COLUMNS, BARS_SQL, DAILY_SQL, TICKER_SQL,
     daily_bars, feed_archives, feed_text, show_bars, ticker, with_period,
 )
 from feedstat.session import scratch_path
@@ -51,7 +51,8 @@ def expand(spark, sf_dir):
 
 
 def member_rows(spark, sf_dir):
-    lines = archives.member_lines(feed_archives(spark, sf_dir))
+    zipped = feed_archives(spark, sf_dir)
+    lines = archives.member_lines(zipped, archives.choose_members(zipped))
     rows = archives.parse_lines(lines, delimited.PRICE_FEED)
     return show_bars(rename_columns(rows))
 
@@ -155,7 +156,7 @@ _MEMBERS = f"""members AS (
 ORACLES = {
     "s01_fixed_scan": f"""WITH {DAILY_SQL} SELECT Script_name, strftime(Date, '%Y-%m-%d') AS Date,
         Open, High, Low, CASE WHEN Volume = 1 THEN NULL ELSE Close END AS Close,
-        round(Adj_Close, 6) AS Adj_Close, Volume FROM daily""",
+        {ADJ_CLOSE_SQL}, Volume FROM daily""",
     "s02_inferred_scan": f"WITH {DAILY_SQL} SELECT {BARS_SQL} FROM daily",
     "s03_gzip_scan": f"WITH {DAILY_SQL} SELECT {BARS_SQL} FROM daily",
     "s04_plain_scan": f"WITH {DAILY_SQL} SELECT {BARS_SQL} FROM daily",
@@ -178,6 +179,6 @@ ORACLES = {
     "u01_batch_union": f"WITH {DAILY_SQL} SELECT {BARS_SQL} FROM daily",
     "u01_drifting_union": f"""WITH {DAILY_SQL} SELECT Script_name,
         strftime(Date, '%Y-%m-%d') AS Date, Open, High, Low, Close,
-        CASE WHEN year(Date) < 1998 THEN NULL ELSE round(Adj_Close, 6) END AS Adj_Close, Volume
+        CASE WHEN year(Date) < 1998 THEN NULL ELSE round(Adj_Close + 1e-9, 6) END AS Adj_Close, Volume
         FROM daily""",
 }

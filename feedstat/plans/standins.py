@@ -23,8 +23,9 @@ DAILY_SQL = """daily AS (
          min(o_totalprice) AS Low, arg_max(o_totalprice, o_orderkey) AS Close,
          avg(o_totalprice) AS Adj_Close, CAST(count(*) AS DOUBLE) AS Volume
   FROM orders GROUP BY 1, 2)"""
-BARS_SQL = """Script_name, strftime(Date, '%Y-%m-%d') AS Date, Open, High, Low, Close,
-  round(Adj_Close, 6) AS Adj_Close, Volume"""
+ADJ_CLOSE_SQL = "round(Adj_Close + 1e-9, 6) AS Adj_Close"
+BARS_SQL = f"""Script_name, strftime(Date, '%Y-%m-%d') AS Date, Open, High, Low, Close,
+  {ADJ_CLOSE_SQL}, Volume"""
 TICKER_SQL = "regexp_replace(Script_name, '[^A-Za-z0-9]+', '-', 'g')"
 
 
@@ -47,11 +48,16 @@ def daily_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def rounded_mean(name: str) -> F.Column:
+    """Round a mean for printing; exact halves, which engines round differently, are moved up."""
+    return F.round(F.col(name) + 1e-9, 6).alias(name)
+
+
 def show_bars(bars: DataFrame) -> DataFrame:
     """Bars in the form both engines print alike."""
     return bars.select(
         "Script_name", F.date_format("Date", "yyyy-MM-dd").alias("Date"),
-        "Open", "High", "Low", "Close", F.round("Adj_Close", 6).alias("Adj_Close"), "Volume",
+        "Open", "High", "Low", "Close", rounded_mean("Adj_Close"), "Volume",
     )
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from feedstat.operators.bars import add_week_columns, first_rows, label_weeks, weekly_bars
-from feedstat.plans.standins import DAILY_SQL, daily_bars, table
+from feedstat.plans.standins import ADJ_CLOSE_SQL, DAILY_SQL, daily_bars, rounded_mean, table
 
 WEEK_LABEL_SQL = "'Week-' || week(Date) || '_' || strftime(Date, '%Y')"
 WEEKLY_SQL = f"""weekly AS (
@@ -14,9 +14,9 @@ WEEKLY_SQL = f"""weekly AS (
          min(Low) AS Low, max(High) AS High, arg_max(Close, Date) AS Close,
          avg(Adj_Close) AS Adj_Close, sum(Volume) AS Volume
   FROM daily GROUP BY 1, 2)"""
-SHOW_WEEK_SQL = """Script_Name, Week_No, strftime(St_Date, '%Y-%m-%d') AS St_Date,
+SHOW_WEEK_SQL = f"""Script_Name, Week_No, strftime(St_Date, '%Y-%m-%d') AS St_Date,
   strftime(End_Date, '%Y-%m-%d') AS End_Date, Open, Low, High, Close,
-  round(Adj_Close, 6) AS Adj_Close, Volume"""
+  {ADJ_CLOSE_SQL}, Volume"""
 
 
 def show_week(weeks):
@@ -24,7 +24,7 @@ def show_week(weeks):
         "Script_Name", "Week_No",
         F.date_format("St_Date", "yyyy-MM-dd").alias("St_Date"),
         F.date_format("End_Date", "yyyy-MM-dd").alias("End_Date"),
-        "Open", "Low", "High", "Close", F.round("Adj_Close", 6).alias("Adj_Close"), "Volume",
+        "Open", "Low", "High", "Close", rounded_mean("Adj_Close"), "Volume",
     )
 
 
@@ -50,7 +50,7 @@ def _window_query(*columns):
         rows = add_week_columns(label_weeks(daily_bars(spark, sf_dir)))
         shown = [
             F.date_format(c, "yyyy-MM-dd").alias(c) if c in ("St_Date", "End_Date")
-            else F.round(c, 6).alias(c) if c == "Week_Adj_Close"
+            else rounded_mean(c) if c == "Week_Adj_Close"
             else F.col(c)
             for c in columns
         ]
@@ -119,7 +119,7 @@ ORACLES = {
     ),
     "w04_window_first": _window_sql(f"first_value(Open) OVER {_FULL} AS Week_Open"),
     "w05_window_last": _window_sql(f"last_value(Close) OVER {_FULL} AS Week_Close"),
-    "w06_window_mean": _window_sql(f"round(avg(Adj_Close) OVER ({_PART}), 6) AS Week_Adj_Close"),
+    "w06_window_mean": _window_sql(f"round(avg(Adj_Close) OVER ({_PART}) + 1e-9, 6) AS Week_Adj_Close"),
     "w07_window_sum": _window_sql(f"sum(Volume) OVER ({_PART}) AS Week_Volume"),
     "w08_first_row": f"""{_ROWS} SELECT {_KEYS}, Open, Close FROM labelled
         QUALIFY row_number() OVER ({_PART} ORDER BY labelled.Date) = 1""",

@@ -10,7 +10,7 @@ from feedstat.functions.casting import rename_columns, to_double
 from feedstat.operators.bars import weekly_bars
 from feedstat.plans.scans import NUMBERS, PERIOD_SQL
 from feedstat.plans.standins import (
-    BARS_SQL, DAILY_SQL, TICKER_SQL, daily_bars, feed_text, show_bars, ticker, with_period,
+    ADJ_CLOSE_SQL, BARS_SQL, DAILY_SQL, TICKER_SQL, daily_bars, feed_text, show_bars, ticker, with_period,
 )
 from feedstat.plans.windows import SHOW_WEEK_SQL, WEEKLY_SQL, show_week
 from feedstat.session import materialize, scratch_path
@@ -127,7 +127,7 @@ ORACLES = {
     "k01_partitioned_write": _BARS,
     "k01_partitioned_write_keeps_others": f"""WITH {DAILY_SQL} SELECT Script_name,
         strftime(Date, '%Y-%m-%d') AS Date, Open, High, Low, Close,
-        round(Adj_Close, 6) AS Adj_Close,
+        {ADJ_CLOSE_SQL},
         CASE WHEN Script_name = '5-LOW' THEN Volume + 1 ELSE Volume END AS Volume FROM daily""",
     "k02_flat_write": _BARS,
     "k03_delimited_write": _BARS,

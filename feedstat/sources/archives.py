@@ -18,6 +18,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from feedstat.session import materialize
+
 LINES_PER_BATCH = 20_000
 
 
@@ -98,23 +100,54 @@ def _lines_frame(path: str, name: str, header: str, lines: list[str]) -> pd.Data
     })
 
 
-def member_lines(archives: DataFrame, ledger: DataFrame | None = None, suffix: str = ".csv.gz") -> DataFrame:
-    """(archive, member, header, line) of the gzip members, without those in the ledger.
+def choose_members(
+    archives: DataFrame, ledger: DataFrame | None = None, suffix: str = ".csv.gz"
+) -> DataFrame:
+    """Written table (path, members) of the members to read, without those in the ledger.
 
-    The members to read are chosen by a join before any of them is unpacked.
+    A member that several archives hold is taken from the last of them by path.
     """
     members = list_members(archives).where(F.col("member").endswith(suffix))
     if ledger is not None:
         members = new_members(members, ledger)
-    wanted = members.groupBy("archive").agg(F.collect_list("member").alias("members"))
+    chosen = members.groupBy("member").agg(F.max("archive").alias("path"))
+    return materialize(
+        chosen.groupBy("path").agg(F.collect_list("member").alias("members")), "chosen-members"
+    )
+
+
+def member_lines(archives: DataFrame, chosen: DataFrame) -> DataFrame:
+    """(archive, member, header, line) of the chosen gzip members.
+
+    ``chosen`` is a written table of names, so Spark knows its size and broadcasts it
+    to the archives only if it is small.
+    """
     return (
         archives.select("path", "content")
-        .join(wanted.withColumnRenamed("archive", "path"), "path")
+        .join(chosen, "path")
         .mapInPandas(_gzip_lines, "archive string, member string, header string, line string")
     )
 
 
-def parse_lines(lines: DataFrame, schema: StructType, sep: str = ",") -> DataFrame:
-    """Cells of CSV lines, parsed in the JVM; a bad cell becomes null."""
-    cells = F.from_csv("line", schema.toDDL(), {"sep": sep, "quote": '"', "mode": "PERMISSIVE"})
-    return lines.select("archive", "member", cells.alias("row")).select("archive", "member", "row.*")
+def parse_lines(lines: DataFrame, schema: StructType, sep: str = ",", max_columns: int = 64) -> DataFrame:
+    """Typed cells of CSV lines, found by the names in each member's own header.
+
+    Parsing stays in the JVM. A bad cell becomes null, and so does a column the
+    member lacks; a header of more than ``max_columns`` names fails the job.
+    """
+    layout = ", ".join(f"c{i} string" for i in range(max_columns))
+
+    def cells(column: str):
+        row = F.from_csv(column, layout, {"sep": sep, "quote": '"', "mode": "PERMISSIVE"})
+        return F.array(*[row[f"c{i}"] for i in range(max_columns)])
+
+    def cell(name: str, kind):
+        place = F.array_position("names", name).cast("int")
+        return F.when(place > 0, F.element_at("cells", place)).try_cast(kind).alias(name)
+
+    too_wide = F.raise_error(F.lit(f"header with more than {max_columns} columns"))
+    checked = F.when(F.size(F.split("header", "\\Q" + sep + "\\E")) <= max_columns, F.col("header"))
+    split = lines.select(
+        "archive", "member", F.coalesce(checked, too_wide.cast("string")).alias("header"), "line"
+    ).select("archive", "member", cells("header").alias("names"), cells("line").alias("cells"))
+    return split.select("archive", "member", *[cell(f.name, f.dataType) for f in schema.fields])

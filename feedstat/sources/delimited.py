@@ -29,7 +29,7 @@ def read_fixed(
     A cell that does not fit its type becomes null; ``corrupt_column`` also keeps
     the text of such lines.
     """
-    options = {"sep": sep, "header": True, "mode": "PERMISSIVE"}
+    options = {"sep": sep, "header": True, "mode": "PERMISSIVE", "recursiveFileLookup": True}
     if corrupt_column:
         schema = StructType(list(schema.fields)).add(corrupt_column, "string")
         options["columnNameOfCorruptRecord"] = corrupt_column
@@ -45,7 +45,7 @@ def read_inferred(
     :func:`read_fixed` where it is known.
     """
     return spark.read.options(
-        sep=sep, header=True, inferSchema=True, samplingRatio=sampling_ratio
+        sep=sep, header=True, inferSchema=True, samplingRatio=sampling_ratio, recursiveFileLookup=True
     ).csv(path)
 
 

@@ -2,19 +2,20 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from feedstat.functions.casting import natural_log
-from feedstat.operators.ranks import long_form, quantiles, rank_positions, value_counts
+from feedstat.operators.ranks import long_form, quantiles
 from feedstat.session import materialize
 
 # Whisker reach in interquartile ranges; points of a density curve.
 WHISKER_REACH = 1.5
 DENSITY_POINTS = 200
+REACH_BANDWIDTHS = 39.0
 
 
 def log_values(df: DataFrame, column: str, name: str | None = None) -> DataFrame:
@@ -37,11 +38,9 @@ def _bin_count(df: DataFrame, columns: Sequence[str], bins: int | str) -> Column
     return F.when(spread == 0, F.lit(1)).otherwise(F.ceil(F.try_divide(spread, width))).cast("bigint")
 
 
-def bin_layout(
-    df: DataFrame, ranked: DataFrame, columns: Sequence[str], by: Sequence[str], bins: int | str
-) -> DataFrame:
+def bin_layout(df: DataFrame, columns: Sequence[str], by: Sequence[str], bins: int | str) -> DataFrame:
     """Written table with one row per (variable, by): low edge, high edge, number of bins."""
-    summary = quantiles(ranked, {"q25": 0.25, "q75": 0.75}, by)
+    summary = quantiles(df, columns, {"q25": 0.25, "q75": 0.75}, by)
     flat = F.col("max") == F.col("min")
     layout = summary.select(
         "variable",
@@ -78,19 +77,21 @@ def histogram(
     """Rows per bin, empty bins included.
 
     Groups named in ``by`` get bins of their own; the categories of ``hue`` share
-    the bins of the whole column. Counting runs over distinct values, not rows.
+    the bins of the whole column. Rows are counted per bin inside each task.
     """
     split = [hue] if hue else []
-    counts = value_counts(df, columns, by, split)
-    layout = bin_layout(df, rank_positions(counts, by), columns, by, bins)
     keys = ["variable", *by]
-    filled = (
-        counts.join(layout, keys)
+    typed = df.where(F.col(hue).isNotNull()) if hue else df
+    layout = bin_layout(typed, columns, by, bins)
+    filled = materialize(
+        long_form(typed, columns, [*by, *split])
+        .join(layout, keys)
         .withColumn("bin", _bin_number())
         .groupBy(*keys, *split, "bin")
-        .agg(F.sum("n").alias("n"))
+        .agg(F.count(F.lit(1)).alias("n")),
+        "filled-bins",
     )
-    series = counts.select(*keys, *split).distinct().join(layout, keys) if split else layout
+    series = filled.select(*keys, *split).distinct().join(layout, keys) if split else layout
     every = series.withColumn("bin", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("bins") - 1)))
     return every.join(filled, [*keys, *split, "bin"], "left").select(
         *keys,
@@ -139,25 +140,31 @@ def density(
     )
     x = F.col("start") + F.col("point") * F.col("step")
     z = (F.col("value") - x) / F.col("bandwidth")
+    # Farther than this many bandwidths exp(-z*z/2) is zero in double precision.
+    reach = REACH_BANDWIDTHS * F.col("bandwidth")
+    first = F.greatest(F.lit(0), F.ceil((F.col("value") - reach - F.col("start")) / F.col("step")))
+    last = F.least(F.lit(points - 1), F.floor((F.col("value") + reach - F.col("start")) / F.col("step")))
+    near = F.when(first <= last, F.sequence(first.cast("int"), last.cast("int")))
     sums = (
         counts.join(grid, keys)
-        .withColumn("point", F.explode(F.sequence(F.lit(0), F.lit(points - 1))))
+        .withColumn("point", F.explode(near))
         .groupBy(*keys, "point")
         .agg(F.sum(F.col("n") * F.exp(-z * z / 2)).alias("weight"))
     )
+    every = grid.withColumn("point", F.explode(F.sequence(F.lit(0), F.lit(points - 1))))
     scale = F.col("total") * F.col("bandwidth") * F.sqrt(2 * F.pi())
-    return sums.join(grid, keys).select(
-        *keys, "point", x.alias("x"), (F.col("weight") / scale).alias("density")
+    return every.join(sums, [*keys, "point"], "left").select(
+        *keys,
+        "point",
+        x.alias("x"),
+        (F.coalesce("weight", F.lit(0.0)) / scale).alias("density"),
     )
 
 
-def _fences(ranked: DataFrame, by: Sequence[str]) -> DataFrame:
-    quartiles = quantiles(ranked, {"q1": 0.25, "median": 0.5, "q3": 0.75}, by)
+def _fences(df: DataFrame, columns: Sequence[str], by: Sequence[str]) -> DataFrame:
+    quartiles = quantiles(df, columns, {"q1": 0.25, "median": 0.5, "q3": 0.75}, by)
     reach = WHISKER_REACH * (F.col("q3") - F.col("q1"))
-    return materialize(
-        quartiles.withColumns({"low_fence": F.col("q1") - reach, "high_fence": F.col("q3") + reach}),
-        "box-fences",
-    )
+    return quartiles.withColumns({"low_fence": F.col("q1") - reach, "high_fence": F.col("q3") + reach})
 
 
 def _inside() -> Column:
@@ -167,12 +174,11 @@ def _inside() -> Column:
 def box_summary(df: DataFrame, columns: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
     """Quartiles, whiskers at the last values inside the fences, and the number of outliers."""
     keys = ["variable", *by]
-    counts = value_counts(df, columns, by)
-    fences = _fences(rank_positions(counts, by), by)
-    reach = counts.join(fences, keys).groupBy(*keys).agg(
+    fences = _fences(df, columns, by)
+    reach = long_form(df, columns, by).join(fences, keys).groupBy(*keys).agg(
         F.min(F.when(_inside(), F.col("value"))).alias("lowest"),
         F.max(F.when(_inside(), F.col("value"))).alias("highest"),
-        F.sum(F.when(_inside(), 0).otherwise(F.col("n"))).alias("n_outliers"),
+        F.count_if(~_inside()).alias("n_outliers"),
     )
     return reach.join(fences, keys).select(
         *keys,
@@ -189,6 +195,5 @@ def box_summary(df: DataFrame, columns: Sequence[str], by: Sequence[str] = ()) -
 def box_outliers(df: DataFrame, columns: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
     """Every distinct value outside the whiskers, with its number of rows."""
     keys = ["variable", *by]
-    counts = value_counts(df, columns, by)
-    fences = _fences(rank_positions(counts, by), by)
-    return counts.join(fences, keys).where(~_inside()).select(*keys, "value", "n")
+    rows = long_form(df, columns, by).join(_fences(df, columns, by), keys)
+    return rows.where(~_inside()).groupBy(*keys, "value").agg(F.count(F.lit(1)).alias("n"))

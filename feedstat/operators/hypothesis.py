@@ -105,10 +105,7 @@ def anova(df: DataFrame, columns: Sequence[str], group: str) -> DataFrame:
 
 def levene(df: DataFrame, columns: Sequence[str], group: str) -> DataFrame:
     """Equal-variance test on distances from the group medians."""
-    ranked = rank_positions(value_counts(df, columns, [group]), [group])
-    medians = materialize(
-        quantiles(ranked, {"median": 0.5}, [group]).select("variable", group, "median"), "medians"
-    )
+    medians = quantiles(df, columns, {"median": 0.5}, [group]).select("variable", group, "median")
     distances = long_form(df, columns, [group]).join(medians, ["variable", group])
     spread = F.abs(F.col("value") - F.col("median"))
     return _variance_ratio(

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from feedstat.operators.ranks import quantiles, rank_positions, value_counts
+from feedstat.operators.ranks import quantiles
 
 # Quartiles of the summary.
 QUARTILES = {"q25": 0.25, "q50": 0.5, "q75": 0.75}
@@ -70,8 +70,7 @@ def null_counts(df: DataFrame, columns: Iterable[str] | None = None) -> DataFram
 
 def describe(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Count, mean, sample deviation, minimum, exact quartiles and maximum per column."""
-    ranked = rank_positions(value_counts(df, columns))
-    order_statistics = quantiles(ranked, QUARTILES)
+    order_statistics = quantiles(df, columns, QUARTILES)
     present = {c: F.when(~_missing(df, c), F.col(c).cast("double")) for c in columns}
     moments = df.agg(*[
         expression.alias(f"{c}|{name}")

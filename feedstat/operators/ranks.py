@@ -1,8 +1,9 @@
-"""Value counts, ranks and exact quantiles of large columns.
+"""Exact quantiles and ranks of large columns.
 
-Everything that depends on the order of a column starts from one compact table:
-each distinct value with its number of rows. It is shuffled once, after map-side
-counting, so a value that fills a third of the table travels as one row per task.
+No task ever sorts a whole column. Values are cut into buckets; sums per bucket, a
+table with one row per bucket, say how many rows lie before each of them; sorting
+happens within a bucket. The bucket bounds come from a sample: they decide how evenly
+the work is spread, never what the result is.
 """
 
 from __future__ import annotations
@@ -16,8 +17,9 @@ from pyspark.sql import functions as F
 
 from feedstat.session import materialize
 
-ROWS_PER_BUCKET = 2_000_000
+ROWS_PER_BUCKET = 100_000
 MAX_BUCKETS = 65_536
+SAMPLE_PER_BUCKET = 100
 
 
 def long_form(df: DataFrame, columns: Sequence[str], keys: Iterable[str] = ()) -> DataFrame:
@@ -34,10 +36,55 @@ def long_form(df: DataFrame, columns: Sequence[str], keys: Iterable[str] = ()) -
     return rows.where(present)
 
 
+def _cut(rows: DataFrame, size: int, rows_per_bucket: int) -> DataFrame | None:
+    """Add a bucket number that depends on nothing but the value; None if one bucket is enough."""
+    buckets = min(MAX_BUCKETS, math.ceil(size / rows_per_bucket))
+    if buckets <= 1:
+        return None
+    shares = [i / buckets for i in range(1, buckets)]
+    sample = rows.sample(min(1.0, SAMPLE_PER_BUCKET * buckets / size), seed=7)
+    bounds = sample.agg(
+        F.percentile_approx("value", shares, max(1_000, 4 * buckets)).alias("bounds")
+    ).first().bounds
+    splits = [float("-inf"), *sorted(set(bounds or [0.0])), float("inf")]
+    return Bucketizer(splits=splits, inputCol="value", outputCol="bucket").transform(rows)
+
+
+def _cells(cut: DataFrame, keys: Sequence[str], n: Column) -> DataFrame:
+    """Written table of (keys, bucket): rows, rows of earlier buckets, all rows, smallest, largest."""
+    sums = cut.groupBy(*keys, "bucket").agg(
+        F.sum(n).alias("size"), F.min("value").alias("min"), F.max("value").alias("max")
+    )
+    previous = Window.partitionBy(*keys).orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
+    return materialize(
+        sums.select(
+            "*",
+            F.coalesce(F.sum("size").over(previous), F.lit(0)).alias("earlier"),
+            F.sum("size").over(Window.partitionBy(*keys)).alias("total"),
+        ),
+        "bucket-cells",
+    )
+
+
+def _place(counts: DataFrame, cell: Sequence[str], earlier: Column) -> DataFrame:
+    """Add ``ties`` and ``before`` by sums within a cell; both windows share one sort."""
+    upto = Window.partitionBy(*cell).orderBy("value").rangeBetween(
+        Window.unboundedPreceding, Window.currentRow
+    )
+    same = Window.partitionBy(*cell, "value")
+    return counts.withColumn("ties", F.sum("n").over(same)).withColumn(
+        "before", earlier + F.sum("n").over(upto) - F.col("ties")
+    )
+
+
 def value_counts(
     df: DataFrame, columns: Sequence[str], by: Iterable[str] = (), split: Iterable[str] = ()
 ) -> DataFrame:
-    """Written table (variable, by, split, value, n) of distinct values and their rows."""
+    """Written table (variable, by, split, value, n) of distinct values and their rows.
+
+    Rows are counted before the shuffle, so a value that fills a third of the table
+    travels as one row per task.
+    """
     keys = ["variable", *by, *split]
     counts = (
         long_form(df, columns, [*by, *split])
@@ -47,16 +94,6 @@ def value_counts(
     return materialize(counts, "value-counts")
 
 
-def _bucketed(counts: DataFrame, buckets: int) -> DataFrame:
-    """Add a bucket number that depends on nothing but the value."""
-    shares = [i / buckets for i in range(1, buckets)]
-    bounds = counts.agg(
-        F.percentile_approx("value", shares, max(10_000, 4 * buckets)).alias("bounds")
-    ).first().bounds
-    splits = [float("-inf"), *sorted(set(bounds)), float("inf")]
-    return Bucketizer(splits=splits, inputCol="value", outputCol="bucket").transform(counts)
-
-
 def rank_positions(
     counts: DataFrame, by: Iterable[str] = (), rows_per_bucket: int = ROWS_PER_BUCKET
 ) -> DataFrame:
@@ -64,39 +101,15 @@ def rank_positions(
 
     Adds, per (variable, by): ``before``, rows with a smaller value; ``ties``,
     rows with this value (summed over the split columns); ``total``, all rows.
-
-    No task sorts a whole column. Values fall into buckets of about
-    ``rows_per_bucket`` rows of ``counts``; sums run within a bucket, and the
-    sums of earlier buckets, a table with one row per bucket, are added by an
-    equi-join. A table that fits one bucket skips that step.
     """
     keys = ["variable", *by]
-    buckets = min(MAX_BUCKETS, math.ceil(counts.count() / rows_per_bucket))
-    if buckets <= 1:
-        whole = Window.partitionBy(*keys)
-        placed = counts.withColumn("total", F.sum("n").over(whole))
-        cell, earlier = keys, F.lit(0)
-    else:
-        cell = [*keys, "bucket"]
-        bucketed = _bucketed(counts, buckets)
-        sums = bucketed.groupBy(*cell).agg(F.sum("n").alias("n"))
-        previous = Window.partitionBy(*keys).orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
-        offsets = sums.select(
-            *cell,
-            F.coalesce(F.sum("n").over(previous), F.lit(0)).alias("earlier"),
-            F.sum("n").over(Window.partitionBy(*keys)).alias("total"),
-        )
-        placed = bucketed.join(offsets, cell)
-        earlier = F.col("earlier")
-    upto = Window.partitionBy(*cell).orderBy("value").rangeBetween(
-        Window.unboundedPreceding, Window.currentRow
-    )
-    same = Window.partitionBy(*cell, "value")
-    return (
-        placed.withColumn("ties", F.sum("n").over(same))
-        .withColumn("before", earlier + F.sum("n").over(upto) - F.col("ties"))
-        .drop("bucket", "earlier")
-    )
+    cut = _cut(counts, counts.count(), rows_per_bucket)
+    if cut is None:
+        sized = counts.withColumn("total", F.sum("n").over(Window.partitionBy(*keys)))
+        return _place(sized, keys, F.lit(0))
+    cell = [*keys, "bucket"]
+    cells = _cells(cut, keys, F.col("n")).select(*cell, "earlier", "total")
+    return _place(cut.join(cells, cell), cell, F.col("earlier")).drop("bucket", "earlier")
 
 
 def average_rank() -> Column:
@@ -104,29 +117,61 @@ def average_rank() -> Column:
     return F.col("before") + (F.col("ties") + 1) / F.lit(2.0)
 
 
-def quantile_aggregates(probabilities: Mapping[str, float]) -> list[Column]:
-    """Aggregates over :func:`rank_positions` rows: exact quantiles, interpolated linearly."""
-    found = []
-    for name, p in probabilities.items():
-        place = (F.col("total") - 1) * F.lit(float(p))
-        low, high = F.floor(place), F.ceil(place)
+def _targets(p: float) -> tuple[Column, Column, Column]:
+    """The two positions (from 0) around a quantile and the share of the upper one."""
+    place = (F.col("total") - 1) * F.lit(float(p))
+    return F.floor(place), F.ceil(place), place - F.floor(place)
+
+
+def _quantile(p: float) -> Column:
+    """Aggregate over placed values: the quantile, interpolated linearly."""
+    low, high, share = _targets(p)
 
-        def at(position: Column) -> Column:
-            hit = (F.col("before") <= position) & (position < F.col("before") + F.col("ties"))
-            return F.max(F.when(hit, F.col("value")))
+    def at(position: Column) -> Column:
+        hit = (F.col("before") <= position) & (position < F.col("before") + F.col("ties"))
+        return F.max(F.when(hit, F.col("value")))
 
-        share = F.max(place - low)
-        found.append((at(low) + (at(high) - at(low)) * share).alias(name))
-    return found
+    return at(low) + (at(high) - at(low)) * F.max(share)
 
 
 def quantiles(
-    ranked: DataFrame, probabilities: Mapping[str, float], by: Iterable[str] = ()
+    df: DataFrame,
+    columns: Sequence[str],
+    probabilities: Mapping[str, float],
+    by: Iterable[str] = (),
+    rows_per_bucket: int = ROWS_PER_BUCKET,
 ) -> DataFrame:
-    """One row per (variable, by): total, min, max and the named exact quantiles."""
-    return ranked.groupBy("variable", *by).agg(
-        F.max("total").alias("total"),
-        F.min("value").alias("min"),
-        F.max("value").alias("max"),
-        *quantile_aggregates(probabilities),
+    """Written table with one row per (variable, by): total, min, max and the named exact quantiles.
+
+    Nothing but bucket sums is shuffled, until the buckets that hold a wanted position
+    are known; only their values are counted and sorted. ``df`` is read once for the
+    sums and once for the values of those buckets.
+    """
+    keys = ["variable", *by]
+    rows = long_form(df, columns, by)
+    named = [_quantile(p).alias(name) for name, p in probabilities.items()]
+    cut = _cut(rows, df.count() * len(columns), rows_per_bucket)
+    if cut is None:
+        counts = rows.groupBy(*keys, "value").agg(F.count(F.lit(1)).alias("n"))
+        sized = counts.withColumn("total", F.sum("n").over(Window.partitionBy(*keys)))
+        result = _place(sized, keys, F.lit(0)).groupBy(*keys).agg(
+            F.max("total").alias("total"), F.min("value").alias("min"), F.max("value").alias("max"), *named
+        )
+        return materialize(result, "quantiles")
+    cell = [*keys, "bucket"]
+    cells = _cells(cut, keys, F.lit(1))
+    inside = F.lit(False)
+    for p in probabilities.values():
+        for position in _targets(p)[:2]:
+            inside |= (F.col("earlier") <= position) & (position < F.col("earlier") + F.col("size"))
+    wanted = materialize(cells.where(inside).select(*cell, "earlier", "total"), "wanted-cells")
+    counts = (
+        cut.join(wanted, cell)
+        .groupBy(*cell, "earlier", "total", "value")
+        .agg(F.count(F.lit(1)).alias("n"))
+    )
+    found = _place(counts, cell, F.col("earlier")).groupBy(*keys).agg(*named)
+    bounds = cells.groupBy(*keys).agg(
+        F.max("total").alias("total"), F.min("min").alias("min"), F.max("max").alias("max")
     )
+    return materialize(bounds.join(found, keys), "quantiles")

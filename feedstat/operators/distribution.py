@@ -16,6 +16,7 @@ from feedstat.session import materialize
 WHISKER_REACH = 1.5
 DENSITY_POINTS = 200
 REACH_BANDWIDTHS = 39.0
+DENSITY_BLOCK = 20
 
 
 def log_values(df: DataFrame, column: str, name: str | None = None) -> DataFrame:
@@ -113,8 +114,8 @@ def density(
     """Gaussian kernel density with Scott's bandwidth on an even grid per (variable, by).
 
     The grid runs from ``cut`` bandwidths below the minimum to as many above the
-    maximum. Each distinct value contributes to every grid point inside its own
-    task; only one sum per grid point is shuffled.
+    maximum. Each distinct value contributes to the grid points in its reach inside
+    its own task, a block of points at a time; only sums per point are shuffled.
     """
     keys = ["variable", *by]
     rows = long_form(df, columns, by)
@@ -138,19 +139,30 @@ def density(
         ),
         "density-grid",
     )
-    x = F.col("start") + F.col("point") * F.col("step")
-    z = (F.col("value") - x) / F.col("bandwidth")
     # Farther than this many bandwidths exp(-z*z/2) is zero in double precision.
     reach = REACH_BANDWIDTHS * F.col("bandwidth")
     first = F.greatest(F.lit(0), F.ceil((F.col("value") - reach - F.col("start")) / F.col("step")))
     last = F.least(F.lit(points - 1), F.floor((F.col("value") + reach - F.col("start")) / F.col("step")))
-    near = F.when(first <= last, F.sequence(first.cast("int"), last.cast("int")))
-    sums = (
+    near = F.when(
+        first <= last,
+        F.sequence(F.floor(first / DENSITY_BLOCK).cast("int"), F.floor(last / DENSITY_BLOCK).cast("int")),
+    )
+
+    def weight(i: int) -> Column:
+        point = F.col("block") * DENSITY_BLOCK + i
+        z = (F.col("value") - F.col("start") - point * F.col("step")) / F.col("bandwidth")
+        return F.sum(F.col("n") * F.exp(-z * z / 2))
+
+    blocks = (
         counts.join(grid, keys)
-        .withColumn("point", F.explode(near))
-        .groupBy(*keys, "point")
-        .agg(F.sum(F.col("n") * F.exp(-z * z / 2)).alias("weight"))
+        .withColumn("block", F.explode(near))
+        .groupBy(*keys, "block")
+        .agg(*[weight(i).alias(f"w{i}") for i in range(DENSITY_BLOCK)])
     )
+    sums = blocks.select(
+        *keys, "block", F.posexplode(F.array(*[f"w{i}" for i in range(DENSITY_BLOCK)])).alias("i", "weight")
+    ).select(*keys, (F.col("block") * DENSITY_BLOCK + F.col("i")).alias("point"), "weight")
+    x = F.col("start") + F.col("point") * F.col("step")
     every = grid.withColumn("point", F.explode(F.sequence(F.lit(0), F.lit(points - 1))))
     scale = F.col("total") * F.col("bandwidth") * F.sqrt(2 * F.pi())
     return every.join(sums, [*keys, "point"], "left").select(

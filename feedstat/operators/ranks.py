@@ -47,7 +47,8 @@ def _cut(rows: DataFrame, size: int, rows_per_bucket: int) -> DataFrame | None:
         F.percentile_approx("value", shares, max(1_000, 4 * buckets)).alias("bounds")
     ).first().bounds
     splits = [float("-inf"), *sorted(set(bounds or [0.0])), float("inf")]
-    return Bucketizer(splits=splits, inputCol="value", outputCol="bucket").transform(rows)
+    cut = Bucketizer(splits=splits, inputCol="value", outputCol="bucket").transform(rows)
+    return cut.withColumn("bucket", F.col("bucket").cast("int"))
 
 
 def _cells(cut: DataFrame, keys: Sequence[str], n: Column) -> DataFrame:
@@ -68,13 +69,11 @@ def _cells(cut: DataFrame, keys: Sequence[str], n: Column) -> DataFrame:
 
 def _place(counts: DataFrame, cell: Sequence[str], earlier: Column) -> DataFrame:
     """Add ``ties`` and ``before`` by sums within a cell; both windows share one sort."""
-    upto = Window.partitionBy(*cell).orderBy("value").rangeBetween(
-        Window.unboundedPreceding, Window.currentRow
-    )
-    same = Window.partitionBy(*cell, "value")
-    return counts.withColumn("ties", F.sum("n").over(same)).withColumn(
-        "before", earlier + F.sum("n").over(upto) - F.col("ties")
-    )
+    ordered = Window.partitionBy(*cell).orderBy("value")
+    same = ordered.rangeBetween(Window.currentRow, Window.currentRow)
+    upto = ordered.rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    placed = counts.select("*", F.sum("n").over(same).alias("ties"), F.sum("n").over(upto).alias("upto"))
+    return placed.withColumn("before", earlier + F.col("upto") - F.col("ties")).drop("upto")
 
 
 def value_counts(

@@ -15,6 +15,7 @@ from pyspark.sql.types import DoubleType
 _TINY = 1e-300
 _CLOSE = 1e-15
 _MAX_STEPS = 5_000_000
+_GAMMA_LIMIT = 1e6
 
 
 def _stirling_rest(x: float) -> float:
@@ -64,9 +65,12 @@ def beta_tail(a: float, b: float, x: float, rest: float) -> float:
         return 0.0
     if rest <= 0:
         return 1.0
+    log_x = math.log1p(-rest) if rest < 0.5 else math.log(x)
+    if a > _GAMMA_LIMIT * max(1.0, b):
+        # The fraction cancels here, and Wise's gamma limit is off by about 1/a**2 only.
+        return gamma_upper(b, -(a + (b - 1) / 2) * log_x)
     small, large = min(a, b), max(a, b)
     log_beta = math.lgamma(small) - _log_gamma_step(large, small)
-    log_x = math.log1p(-rest) if rest < 0.5 else math.log(x)
     log_rest = math.log1p(-x) if x < 0.5 else math.log(rest)
     weight = math.exp(a * log_x + b * log_rest - log_beta)
     if x * (a + b + 2) < a + 1:

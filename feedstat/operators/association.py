@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from itertools import combinations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from feedstat.operators.ranks import long_form
@@ -22,8 +22,16 @@ def correlation_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:
         F.when(~F.isnan(F.col(c).cast("double")), F.col(c).cast("double")).alias(c) for c in columns
     ])
     pairs = list(combinations(columns, 2))
+
+    def r(a: str, b: str) -> Column:
+        # Not F.corr: in ANSI mode that fails on a constant column.
+        scale = F.stddev_pop(F.when(F.col(b).isNotNull(), F.col(a))) * F.stddev_pop(
+            F.when(F.col(a).isNotNull(), F.col(b))
+        )
+        return F.try_divide(F.covar_pop(a, b), scale)
+
     one_row = clean.agg(
-        *[F.corr(a, b).alias(f"{a}|{b}") for a, b in pairs],
+        *[r(a, b).alias(f"{a}|{b}") for a, b in pairs],
         *[F.when(F.var_samp(c) > 0, F.lit(1.0)).alias(f"{c}|{c}") for c in columns],
     )
     entries = [

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -17,6 +18,16 @@ def _text(value: str) -> str:
     return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
+def _location(spark: SparkSession, name: str) -> str:
+    details = spark.sql(f"DESCRIBE TABLE EXTENDED {_quoted(name)}")
+    return details.where("col_name = 'Location'").first().data_type
+
+
+def _same_place(one: str, other: str) -> bool:
+    plain = [re.sub(r"^[A-Za-z0-9]+:/*", "/", p).rstrip("/") for p in (one, other)]
+    return plain[0] == plain[1]
+
+
 def register_table(
     spark: SparkSession,
     name: str,
@@ -29,22 +40,31 @@ def register_table(
     """Make ``name`` a table over ``path``: created when absent, re-pointed when present.
 
     A partitioned table needs its ``schema``, which fixes the types of the partition
-    columns; its folders are found on creation and again on every refresh.
+    columns; its folders are found on creation and again on every refresh. When it
+    moves to another path its old partitions must not stay, so its definition, not its
+    data, is replaced.
     """
     table = _quoted(name)
-    if spark.catalog.tableExists(name):
-        spark.sql(f"ALTER TABLE {table} SET LOCATION {_text(path)}")
-    else:
+    exists = spark.catalog.tableExists(name)
+    if exists and not _same_place(_location(spark, name), path):
+        if not partitioned_by:
+            spark.sql(f"ALTER TABLE {table} SET LOCATION {_text(path)}")
+        elif spark.catalog.getTable(name).tableType == "EXTERNAL":
+            spark.sql(f"DROP TABLE {table}")
+            exists = False
+        else:
+            raise ValueError(f"{name} owns its data and cannot be moved")
+    if not exists:
         columns = f"({schema.toDDL()})" if schema is not None else ""
-        folders = f"PARTITIONED BY ({', '.join(map(_quoted, partitioned_by))})" if partitioned_by else ""
         settings = ", ".join(f"{_text(k)} {_text(str(v))}" for k, v in options.items())
         settings = f"OPTIONS ({settings})" if settings else ""
+        folders = f"PARTITIONED BY ({', '.join(map(_quoted, partitioned_by))})" if partitioned_by else ""
         spark.sql(
             f"CREATE TABLE IF NOT EXISTS {table} {columns} USING {fmt} {settings} {folders} "
             f"LOCATION {_text(path)}"
         )
     if partitioned_by:
-        spark.sql(f"MSCK REPAIR TABLE {table}")
+        spark.sql(f"MSCK REPAIR TABLE {table} SYNC PARTITIONS")
     spark.catalog.refreshTable(name)
     return spark.table(name)
 

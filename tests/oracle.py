@@ -30,6 +30,10 @@ def _same(a, b) -> bool:
     return a == b and type(a) is type(b)
 
 
+def plan(df) -> str:
+    return df._jdf.queryExecution().toString().split("== Physical Plan ==")[1]
+
+
 def differences(df, connection, sql: str) -> list[str]:
     """Empty when columns, types and all values are equal."""
     result = connection.execute(sql)

@@ -2,7 +2,7 @@ import importlib
 
 import pytest
 
-from oracle import connect, differences
+from oracle import connect, differences, plan
 
 entry_module = importlib.import_module("__spark_entry__")
 QUERIES, ORACLES = entry_module.queries(), entry_module.oracle_sql()
@@ -23,4 +23,6 @@ def test_entry(spark):
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_equals_sql(spark, sf_dir, connection, name):
-    assert differences(QUERIES[name](spark, sf_dir), connection, ORACLES[name]) == []
+    df = QUERIES[name](spark, sf_dir)
+    assert differences(df, connection, ORACLES[name]) == []
+    assert not any(join in plan(df) for join in ("CartesianProduct", "BroadcastNestedLoopJoin"))

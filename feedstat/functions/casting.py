@@ -71,7 +71,10 @@ def equals(df: DataFrame, column: str, value) -> DataFrame:
 def drop_categories(
     df: DataFrame, column: str, values: Iterable | None = None, min_count: int | None = None
 ) -> DataFrame:
-    """Leave categories out, named ones or those with fewer than ``min_count`` rows."""
+    """Leave categories out, named ones or those with fewer than ``min_count`` rows.
+
+    Rows without a category are left out as well.
+    """
     kept = df
     if values is not None:
         kept = kept.where(~F.col(column).isin(list(values)))

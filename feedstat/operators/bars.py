@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from feedstat.functions.dates import week_label
+from feedstat.operators.ranks import ROWS_PER_BUCKET, cut
+from feedstat.session import materialize
 
 # Columns of a weekly bar, in output order.
 WEEKLY_BAR = (
@@ -48,17 +52,42 @@ def weekly_bars(df: DataFrame, tie: str | None = None, iso_year: bool = False) -
     return bars.select(*WEEKLY_BAR)
 
 
+def _attach(rows: DataFrame, extra: DataFrame, keys: list[str]) -> DataFrame:
+    """Add the columns of ``extra`` by equal keys; null keys are equal too, so no row is lost."""
+    renamed = extra.withColumnsRenamed({k: f"_{k}" for k in keys})
+    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys])
+    return rows.join(renamed, same).drop(*[f"_{k}" for k in keys])
+
+
 def add_week_columns(
-    df: DataFrame, keys: tuple[str, ...] = ("Script_name", "Week_No"), tie: str | None = None
+    df: DataFrame,
+    keys: tuple[str, ...] = ("Script_name", "Week_No"),
+    tie: str | None = None,
+    rows_per_bucket: int = ROWS_PER_BUCKET,
 ) -> DataFrame:
     """The week's values beside every row, for use where the daily rows must stay.
 
-    One exchange on ``keys`` serves all columns. Use :func:`weekly_bars` where one
-    row per week is enough: that needs no shuffle of whole rows.
+    Without a ``tie`` column a ticker has one row per date, so a group ends with the
+    week and windows serve all columns with one exchange. With one, groups have no
+    bound: the values come from an aggregation joined back, and row numbers from
+    :func:`number_rows`. Use :func:`weekly_bars` where one row per week is enough.
     """
-    order = ["Date", tie] if tie else ["Date"]
+    if tie:
+        numbered = number_rows(df, keys, tie, rows_per_bucket)
+        weeks = df.groupBy(*keys).agg(
+            F.min("Date").alias("St_Date"),
+            F.max("Date").alias("End_Date"),
+            F.min_by("Open", _order_key("Date", tie)).alias("Week_Open"),
+            F.max_by("Close", _order_key("Date", tie)).alias("Week_Close"),
+            F.min("Low").alias("Week_Low"),
+            F.max("High").alias("Week_High"),
+            F.avg("Adj_Close").alias("Week_Adj_Close"),
+            F.sum("Volume").alias("Week_Volume"),
+        )
+        joined = _attach(numbered, materialize(weeks, "weeks"), list(keys))
+        return joined.select(*df.columns, "row", *[c for c in weeks.columns if c not in keys])
     whole = Window.partitionBy(*keys)
-    ordered = whole.orderBy(*order)
+    ordered = whole.orderBy("Date")
     full = ordered.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     return df.select(
         "*",
@@ -74,6 +103,36 @@ def add_week_columns(
     )
 
 
+def number_rows(
+    df: DataFrame,
+    keys: tuple[str, ...],
+    tie: str,
+    rows_per_bucket: int = ROWS_PER_BUCKET,
+) -> DataFrame:
+    """Row numbers in (Date, tie) order within groups of any size; ``tie`` is a number.
+
+    A group is cut by date and by ranges of the tie column. Rows are numbered inside
+    a piece, after the rows of all earlier pieces, so no task sorts a whole group.
+    """
+    rows = df.withColumn("value", F.col(tie).cast("double"))
+    pieces = cut(rows, df.count(), rows_per_bucket)
+    pieces = rows.withColumn("bucket", F.lit(0)) if pieces is None else pieces
+    piece = [*keys, "Date", "bucket"]
+    previous = Window.partitionBy(*keys).orderBy("Date", "bucket").rowsBetween(
+        Window.unboundedPreceding, -1
+    )
+    sizes = materialize(
+        pieces.groupBy(*piece)
+        .agg(F.count(F.lit(1)).alias("size"))
+        .withColumn("earlier", F.coalesce(F.sum("size").over(previous), F.lit(0))),
+        "piece-sizes",
+    )
+    inside = F.row_number().over(Window.partitionBy(*piece).orderBy("value", tie))
+    placed = _attach(pieces, sizes.drop("size"), piece)
+    numbered = placed.withColumn("row", F.col("earlier") + inside)
+    return numbered.select(*df.columns, F.col("row").cast("int").alias("row"))
+
+
 def first_rows(
     df: DataFrame, keys: tuple[str, ...] = ("Script_name", "Week_No"), tie: str | None = None
 ) -> DataFrame:

@@ -62,13 +62,13 @@ def t_test(df: DataFrame, columns: Sequence[str], group: str, first, second) ->
 
 def _variance_ratio(moments: DataFrame) -> DataFrame:
     """One-way analysis of variance from per-group rows, means and variances."""
-    groups = Window.partitionBy("variable")
-    rows = moments.select(
-        "variable", "n", "mean", "variance",
-        F.sum("n").over(groups).alias("total"),
-        F.count(F.lit(1)).over(groups).alias("k"),
-        (F.sum(F.col("n") * F.col("mean")).over(groups) / F.sum("n").over(groups)).alias("centre"),
+    moments = materialize(moments.select("variable", "n", "mean", "variance"), "moments")
+    centres = moments.groupBy("variable").agg(
+        F.count(F.lit(1)).alias("k"),
+        F.sum("n").alias("total"),
+        (F.sum(F.col("n") * F.col("mean")) / F.sum("n")).alias("centre"),
     )
+    rows = moments.join(centres, "variable")
     distance = F.col("mean") - F.col("centre")
     parts = rows.groupBy("variable").agg(
         F.max("k").alias("k"),

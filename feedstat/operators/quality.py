@@ -17,7 +17,7 @@ def feed_facts(spark: SparkSession, path: str, dataset_pattern: str) -> DataFram
         F.col("_metadata.file_path").alias("file"),
         F.col("_metadata.file_block_start").alias("start"),
         F.monotonically_increasing_id().alias("place"),
-        "value",
+        F.when(F.col("_metadata.file_block_start") == 0, F.col("value")).alias("value"),
     )
     at_start = F.when(F.col("start") == 0, F.col("place"))
     files = lines.groupBy("file").agg(

@@ -33,7 +33,7 @@ def long_form(df: DataFrame, columns: Sequence[str], keys: Iterable[str] = ()) -
     return rows.where(present)
 
 
-def _cut(rows: DataFrame, size: int, rows_per_bucket: int) -> DataFrame | None:
+def cut(rows: DataFrame, size: int, rows_per_bucket: int = ROWS_PER_BUCKET) -> DataFrame | None:
     """Add a bucket number that depends on nothing but the value; None if one bucket is enough."""
     buckets = min(MAX_BUCKETS, math.ceil(size / rows_per_bucket))
     if buckets <= 1:
@@ -44,13 +44,14 @@ def _cut(rows: DataFrame, size: int, rows_per_bucket: int) -> DataFrame | None:
         F.percentile_approx("value", shares, max(1_000, 4 * buckets)).alias("bounds")
     ).first().bounds
     splits = [float("-inf"), *sorted(set(bounds or [0.0])), float("inf")]
-    cut = Bucketizer(splits=splits, inputCol="value", outputCol="bucket").transform(rows)
-    return cut.withColumn("bucket", F.col("bucket").cast("int"))
+    bucketizer = Bucketizer(splits=splits, inputCol="value", outputCol="bucket", handleInvalid="keep")
+    numbered = bucketizer.transform(rows)
+    return numbered.withColumn("bucket", F.col("bucket").cast("int"))
 
 
-def _cells(cut: DataFrame, keys: Sequence[str], n: Column) -> DataFrame:
+def _cells(bucketed: DataFrame, keys: Sequence[str], n: Column) -> DataFrame:
     """Written table of (keys, bucket): rows, rows of earlier buckets, all rows, smallest, largest."""
-    sums = cut.groupBy(*keys, "bucket").agg(
+    sums = bucketed.groupBy(*keys, "bucket").agg(
         F.sum(n).alias("size"), F.min("value").alias("min"), F.max("value").alias("max")
     )
     previous = Window.partitionBy(*keys).orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
@@ -99,13 +100,13 @@ def rank_positions(
     rows with this value (summed over the split columns); ``total``, all rows.
     """
     keys = ["variable", *by]
-    cut = _cut(counts, counts.count(), rows_per_bucket)
-    if cut is None:
+    bucketed = cut(counts, counts.count(), rows_per_bucket)
+    if bucketed is None:
         sized = counts.withColumn("total", F.sum("n").over(Window.partitionBy(*keys)))
         return _place(sized, keys, F.lit(0))
     cell = [*keys, "bucket"]
-    cells = _cells(cut, keys, F.col("n")).select(*cell, "earlier", "total")
-    return _place(cut.join(cells, cell), cell, F.col("earlier")).drop("bucket", "earlier")
+    cells = _cells(bucketed, keys, F.col("n")).select(*cell, "earlier", "total")
+    return _place(bucketed.join(cells, cell), cell, F.col("earlier")).drop("bucket", "earlier")
 
 
 def average_rank() -> Column:
@@ -146,8 +147,8 @@ def quantiles(
     keys = ["variable", *by]
     rows = long_form(df, columns, by)
     named = [_quantile(p).alias(name) for name, p in probabilities.items()]
-    cut = _cut(rows, df.count() * len(columns), rows_per_bucket)
-    if cut is None:
+    bucketed = cut(rows, df.count() * len(columns), rows_per_bucket)
+    if bucketed is None:
         counts = rows.groupBy(*keys, "value").agg(F.count(F.lit(1)).alias("n"))
         sized = counts.withColumn("total", F.sum("n").over(Window.partitionBy(*keys)))
         result = _place(sized, keys, F.lit(0)).groupBy(*keys).agg(
@@ -155,14 +156,14 @@ def quantiles(
         )
         return materialize(result, "quantiles")
     cell = [*keys, "bucket"]
-    cells = _cells(cut, keys, F.lit(1))
+    cells = _cells(bucketed, keys, F.lit(1))
     inside = F.lit(False)
     for p in probabilities.values():
         for position in _targets(p)[:2]:
             inside |= (F.col("earlier") <= position) & (position < F.col("earlier") + F.col("size"))
     wanted = materialize(cells.where(inside).select(*cell, "earlier", "total"), "wanted-cells")
     counts = (
-        cut.join(wanted, cell)
+        bucketed.join(wanted, cell)
         .groupBy(*cell, "earlier", "total", "value")
         .agg(F.count(F.lit(1)).alias("n"))
     )

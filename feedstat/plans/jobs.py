@@ -116,16 +116,18 @@ def dated_job(
     table: str,
     dataset_pattern: str = FOLDER,
     sep: str = ",",
+    drop_gaps: bool = False,
 ) -> DataFrame:
     """Dated feed to typed parquet, delimited text and a table; returns the gate results.
 
-    Row counts are checked on the raw rows; rows with gaps are left out afterwards.
+    Row counts are checked on the raw rows, also when ``drop_gaps`` leaves rows with
+    empty cells out afterwards.
     """
     checks = materialize(
         _gates(spark, feed, header_file, counter_file, dataset_pattern, sep), "gates"
     )
     raw = rename_columns(delimited.read_inferred(spark, feed, sep))
-    whole = drop_incomplete(raw)
+    whole = drop_incomplete(raw) if drop_gaps else raw
     prices = [c for c in PRICE_COLUMNS if c in whole.columns]
     dated = to_double(whole, prices).withColumn("Date", parse_date(F.col("Date")))
     parts = add_date_parts(dated)

@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from feedstat.operators.bars import add_week_columns, first_rows, label_weeks, weekly_bars
+from feedstat.operators.bars import (
+    add_week_columns, first_rows, label_weeks, number_rows, weekly_bars,
+)
 from feedstat.plans.standins import ADJ_CLOSE_SQL, DAILY_SQL, daily_bars, rounded_mean, table
 
 WEEK_LABEL_SQL = "'Week-' || week(Date) || '_' || strftime(Date, '%Y')"
@@ -36,13 +38,17 @@ def weekly_iso(spark, sf_dir):
     return show_week(weekly_bars(daily_bars(spark, sf_dir), iso_year=True))
 
 
-def weekly_with_ties(spark, sf_dir):
-    orders = table(spark, sf_dir, "orders").select(
+def _order_bars(spark, sf_dir):
+    """Every order as a bar of its own: many bars on one date."""
+    return table(spark, sf_dir, "orders").select(
         F.col("o_orderpriority").alias("Script_name"), F.to_date("o_orderdate").alias("Date"),
         *[F.col("o_totalprice").alias(c) for c in ("Open", "High", "Low", "Close", "Adj_Close")],
         F.lit(1.0).alias("Volume"), "o_orderkey",
     )
-    return show_week(weekly_bars(orders, tie="o_orderkey"))
+
+
+def weekly_with_ties(spark, sf_dir):
+    return show_week(weekly_bars(_order_bars(spark, sf_dir), tie="o_orderkey"))
 
 
 def _window_query(*columns):
@@ -60,6 +66,21 @@ def _window_query(*columns):
     return query
 
 
+def tied_windows(spark, sf_dir):
+    rows = add_week_columns(label_weeks(_order_bars(spark, sf_dir)), tie="o_orderkey")
+    return rows.select(
+        "o_orderkey", "Script_name", "Week_No", "row", "Week_Open", "Week_Close", "Week_Low", "Week_High",
+        rounded_mean("Week_Adj_Close"), "Week_Volume",
+        *[F.date_format(c, "yyyy-MM-dd").alias(c) for c in ("St_Date", "End_Date")],
+    )
+
+
+def tied_row_numbers(spark, sf_dir):
+    rows = label_weeks(_order_bars(spark, sf_dir))
+    numbered = number_rows(rows, ("Script_name", "Week_No"), "o_orderkey", rows_per_bucket=2_000)
+    return numbered.select("o_orderkey", "row")
+
+
 def first_of_week(spark, sf_dir):
     rows = first_rows(label_weeks(daily_bars(spark, sf_dir)))
     return rows.select(
@@ -79,6 +100,8 @@ QUERIES = {
     "w06_window_mean": _window_query("Week_Adj_Close"),
     "w07_window_sum": _window_query("Week_Volume"),
     "w08_first_row": first_of_week,
+    "w01_row_number_tied_dates": tied_row_numbers,
+    "w07_week_columns_tied_dates": tied_windows,
 }
 
 _ROWS = f"WITH {DAILY_SQL}, labelled AS (SELECT *, {WEEK_LABEL_SQL} AS Week_No FROM daily)"
@@ -121,6 +144,23 @@ ORACLES = {
     "w05_window_last": _window_sql(f"last_value(Close) OVER {_FULL} AS Week_Close"),
     "w06_window_mean": _window_sql(f"round(avg(Adj_Close) OVER ({_PART}) + 1e-9, 6) AS Week_Adj_Close"),
     "w07_window_sum": _window_sql(f"sum(Volume) OVER ({_PART}) AS Week_Volume"),
+    "w01_row_number_tied_dates": """SELECT o_orderkey, CAST(row_number() OVER (
+        PARTITION BY o_orderpriority, week(o_orderdate), year(o_orderdate)
+        ORDER BY o_orderdate, o_orderkey) AS INTEGER) AS "row" FROM orders""",
+    "w07_week_columns_tied_dates": """WITH o AS (SELECT *,
+        'Week-' || week(o_orderdate) || '_' || strftime(o_orderdate, '%Y') AS Week_No FROM orders)
+        SELECT o_orderkey, o_orderpriority AS Script_name, Week_No,
+        CAST(row_number() OVER w AS INTEGER) AS "row",
+        first_value(o_totalprice) OVER f AS Week_Open, last_value(o_totalprice) OVER f AS Week_Close,
+        min(o_totalprice) OVER p AS Week_Low, max(o_totalprice) OVER p AS Week_High,
+        round(avg(o_totalprice) OVER p + 1e-9, 6) AS Week_Adj_Close,
+        CAST(count(*) OVER p AS DOUBLE) AS Week_Volume,
+        strftime(min(o_orderdate) OVER p, '%Y-%m-%d') AS St_Date,
+        strftime(max(o_orderdate) OVER p, '%Y-%m-%d') AS End_Date FROM o
+        WINDOW p AS (PARTITION BY o_orderpriority, Week_No),
+        w AS (PARTITION BY o_orderpriority, Week_No ORDER BY o_orderdate, o_orderkey),
+        f AS (PARTITION BY o_orderpriority, Week_No ORDER BY o_orderdate, o_orderkey
+              ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING)""",
     "w08_first_row": f"""{_ROWS} SELECT {_KEYS}, Open, Close FROM labelled
         QUALIFY row_number() OVER ({_PART} ORDER BY labelled.Date) = 1""",
 }

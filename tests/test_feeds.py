@@ -5,6 +5,7 @@ import zipfile
 
 import pytest
 from pyspark.errors import AnalysisException
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from feedstat.functions.casting import rename_columns
@@ -208,6 +209,19 @@ def test_weekly_bars_keep_tickers_apart_and_follow_the_tie_key(spark):
     assert shuffled == got
 
 
+def test_rows_with_bad_dates_stay_and_pieces_number_like_one_window(spark):
+    rows = spark.createDataFrame(
+        [(None if i % 7 == 0 else "AB"[i % 3 == 0], None if i % 11 == 0 else f"2020-01-{6 + i % 3:02d}", float(i), i) for i in range(500)],
+        "Script_name string, d string, v double, seq int",
+    ).select("Script_name", F.to_date("d").alias("Date"), *[F.col("v").alias(c) for c in ("Open", "High", "Low", "Close", "Adj_Close", "Volume")], "seq")
+    weeks = bars.label_weeks(rows)
+    got = bars.add_week_columns(weeks, tie="seq", rows_per_bucket=40)
+    assert got.count() == 500
+    keys = Window.partitionBy("Script_name", "Week_No").orderBy("Date", "seq")
+    expected = {r.seq: r.n for r in weeks.select("seq", F.row_number().over(keys).alias("n")).collect()}
+    assert {r.seq: r["row"] for r in got.collect()} == expected
+
+
 def test_delimited_write_refuses_an_existing_path(spark, tmp_path):
     rows = spark.range(3)
     path = str(tmp_path / "out")
@@ -278,7 +292,10 @@ def test_dated_job(spark, tmp_path):
     assert checks.header_passed and checks.count_passed
     rows = {str(r.Date): (r.Script_name, r.Day, r.Year, r.Month, r.Quarter) for r in spark.table("dated_rows").collect()}
     assert rows == {"2020-02-29": ("A", 29, 2020, 2, 1), "None": ("A", None, None, None, None)}
-    assert spark.read.options(header=True).csv(str(tmp_path / "outbound")).count() == 2
+    assert spark.read.options(header=True).csv(str(tmp_path / "outbound")).count() == 3
+    paths = [str(tmp_path / n) for n in ("feed", "headers", "counters", "standardized", "outbound2")]
+    assert jobs.dated_job(spark, *paths, "dated_rows", drop_gaps=True).first().count_passed
+    assert spark.table("dated_rows").count() == 2
 
 
 def test_study_runs_every_part(spark, sf_dir):

@@ -307,6 +307,9 @@ def test_sample_is_exact_and_repeatable(table):
     one = sampling.sample_per_group(df, "g", ["id"], n=40, seed=1)
     assert {r.g: r["count"] for r in one.groupBy("g").count().collect()} == dict.fromkeys("abcd", 40)
     again = sampling.sample_per_group(df.repartition(3), "g", ["id"], n=40, seed=1)
+    counted = sampling.sample_per_group(df, "g", ["id"], n=40, seed=1, rows_per_sort=50)
     other = sampling.sample_per_group(df, "g", ["id"], n=40, seed=2)
-    ids = [{r.id for r in s.select("id").collect()} for s in (one, again, other)]
-    assert ids[0] == ids[1] != ids[2]
+    ids = [{r.id for r in s.select("id").collect()} for s in (one, again, counted, other)]
+    assert ids[0] == ids[1] == ids[2] != ids[3]
+    every = sampling.sample_per_group(df, "g", ["id"], n=2_000, rows_per_sort=50)
+    assert every.count() == 3_000

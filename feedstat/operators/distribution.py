@@ -17,6 +17,7 @@ WHISKER_REACH = 1.5
 DENSITY_POINTS = 200
 REACH_BANDWIDTHS = 39.0
 DENSITY_BLOCK = 20
+BIN_BLOCK = 10_000
 
 
 def log_values(df: DataFrame, column: str, name: str | None = None) -> DataFrame:
@@ -68,6 +69,16 @@ def _bin_number() -> Column:
     ).otherwise(lowered)
 
 
+def _every_bin(series: DataFrame) -> DataFrame:
+    """One row per bin; a long series is laid out by several tasks, a block of bins each."""
+    start = F.col("block") * BIN_BLOCK
+    end = F.least(start + BIN_BLOCK, F.col("bins")) - 1
+    blocks = series.withColumn(
+        "block", F.explode(F.sequence(F.lit(0).cast("bigint"), F.floor((F.col("bins") - 1) / BIN_BLOCK)))
+    )
+    return blocks.repartition("variable", "block").withColumn("bin", F.explode(F.sequence(start, end))).drop("block")
+
+
 def histogram(
     df: DataFrame,
     columns: Sequence[str],
@@ -93,7 +104,7 @@ def histogram(
         "filled-bins",
     )
     series = filled.select(*keys, *split).distinct().join(layout, keys) if split else layout
-    every = series.withColumn("bin", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("bins") - 1)))
+    every = _every_bin(series)
     return every.join(filled, [*keys, *split, "bin"], "left").select(
         *keys,
         *split,

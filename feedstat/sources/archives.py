@@ -2,8 +2,8 @@
 
 Archives come as rows (path, content), the form Spark's ``binaryFile`` source
 gives. One row holds one compressed archive, so an archive must stay below
-``spark.sql.sources.binaryFile.maxLength`` (2 GB at most); its members are
-unpacked as a stream and never held as a whole by :func:`member_lines`.
+``spark.sql.sources.binaryFile.maxLength`` (2 GB at most). Members stay compressed
+until :func:`member_lines` reads them, as a stream in batches of lines.
 """
 
 from __future__ import annotations
@@ -12,6 +12,7 @@ import gzip
 import io
 import zipfile
 from collections.abc import Iterator
+from itertools import islice
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
@@ -54,10 +55,11 @@ def list_members(archives: DataFrame) -> DataFrame:
 
 def _members(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
-        for path, content in zip(batch["path"], batch["content"]):
+        wanted = batch["members"] if "members" in batch else [None] * len(batch)
+        for path, content, names in zip(batch["path"], batch["content"], wanted):
             with zipfile.ZipFile(io.BytesIO(content)) as archive:
                 for info in archive.infolist():
-                    if not info.is_dir():
+                    if not info.is_dir() and (names is None or info.filename in names):
                         yield pd.DataFrame({
                             "archive": [path],
                             "member": [info.filename],
@@ -65,11 +67,17 @@ def _members(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                         })
 
 
-def expand_archives(archives: DataFrame) -> DataFrame:
-    """(archive, member, content) for every member, one member in memory at a time."""
-    return archives.select("path", "content").mapInPandas(
-        _members, "archive string, member string, content binary"
-    )
+def expand_archives(archives: DataFrame, chosen: DataFrame | None = None) -> DataFrame:
+    """(archive, member, content) for every member, one member in memory at a time.
+
+    ``chosen`` from :func:`choose_members` restricts the work to those members. It is a
+    written table of names, so Spark knows its size and broadcasts it to the archives
+    only if it is small.
+    """
+    rows = archives.select("path", "content")
+    if chosen is not None:
+        rows = rows.join(chosen, "path")
+    return rows.mapInPandas(_members, "archive string, member string, content binary")
 
 
 def new_members(members: DataFrame, ledger: DataFrame) -> DataFrame:
@@ -79,19 +87,11 @@ def new_members(members: DataFrame, ledger: DataFrame) -> DataFrame:
 
 def _gzip_lines(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
-        for path, content, wanted in zip(batch["path"], batch["content"], batch["members"]):
-            with zipfile.ZipFile(io.BytesIO(content)) as archive:
-                for name in wanted:
-                    with archive.open(name) as packed, gzip.open(packed, "rt", encoding="utf-8") as text:
-                        header = next(text, None)
-                        lines: list[str] = []
-                        for line in text:
-                            lines.append(line.rstrip("\r\n"))
-                            if len(lines) == LINES_PER_BATCH:
-                                yield _lines_frame(path, name, header, lines)
-                                lines = []
-                        if lines:
-                            yield _lines_frame(path, name, header, lines)
+        for path, name, content in zip(batch["archive"], batch["member"], batch["content"]):
+            with gzip.open(io.BytesIO(content), "rt", encoding="utf-8") as text:
+                header = next(text, None)
+                while lines := [line.rstrip("\r\n") for line in islice(text, LINES_PER_BATCH)]:
+                    yield _lines_frame(path, name, header, lines)
 
 
 def _lines_frame(path: str, name: str, header: str, lines: list[str]) -> pd.DataFrame:
@@ -119,12 +119,12 @@ def choose_members(
 def member_lines(archives: DataFrame, chosen: DataFrame) -> DataFrame:
     """(archive, member, header, line) of the chosen gzip members.
 
-    ``chosen`` is a written table of names, so Spark knows its size and broadcasts it
-    to the archives only if it is small.
+    Members are spread over the cluster while still compressed, so an archive that
+    holds much of the data is decoded by many tasks.
     """
     return (
-        archives.select("path", "content")
-        .join(chosen, "path")
+        expand_archives(archives, chosen)
+        .repartition("archive", "member")
         .mapInPandas(_gzip_lines, "archive string, member string, header string, line string")
     )
 

@@ -8,6 +8,11 @@ from pathlib import Path
 import duckdb
 
 
+SQL_TYPES = {
+    "bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR", "boolean": "BOOLEAN",
+}
+
+
 def connect(sf_dir: str) -> duckdb.DuckDBPyConnection:
     connection = duckdb.connect()
     for file in sorted(Path(sf_dir).glob("*.parquet")):
@@ -36,11 +41,16 @@ def plan(df) -> str:
 
 def differences(df, connection, sql: str) -> list[str]:
     """Empty when columns, types and all values are equal."""
+    result_types = connection.execute(f"DESCRIBE {sql}").fetchall()
     result = connection.execute(sql)
     names, expected = _rows([d[0] for d in result.description], result.fetchall())
     got_names, got = _rows(df.columns, [tuple(r) for r in df.collect()])
     if names != got_names:
         return [f"columns {got_names} against {names}"]
+    types = {name: SQL_TYPES.get(kind, kind) for name, kind in df.dtypes}
+    described = {d[0]: str(d[1]).upper() for d in result_types}
+    if types != described:
+        return [f"types {types} against {described}"]
     if len(got) != len(expected):
         return [f"{len(got)} rows against {len(expected)}"]
     return [

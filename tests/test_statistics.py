@@ -121,6 +121,12 @@ def test_histogram_of_one_value_and_given_bins(spark, table):
     assert [r.n for r in got] == list(n)
 
 
+def test_histogram_with_very_many_bins(spark):
+    rows = spark.createDataFrame([(float(i),) for i in range(100)] + [(1e6,)], "x double")
+    got = distribution.histogram(rows, ["x"], bins=25_001).agg(F.count("bin"), F.sum("n"), F.max("bin")).first()
+    assert got == (25_001, 101, 25_000)
+
+
 def test_hue_shares_bins(table):
     df, rows = table
     edges = np.histogram_bin_edges(column(rows, 3), "auto")

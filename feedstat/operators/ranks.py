@@ -20,6 +20,7 @@ from feedstat.session import materialize
 ROWS_PER_BUCKET = 100_000
 MAX_BUCKETS = 65_536
 SAMPLE_PER_BUCKET = 100
+INLINE_BUCKETS = 1_000
 
 
 def long_form(df: DataFrame, columns: Sequence[str], keys: Iterable[str] = ()) -> DataFrame:
@@ -43,7 +44,8 @@ def cut(rows: DataFrame, size: int, rows_per_bucket: int = ROWS_PER_BUCKET) -> D
     bounds = sample.agg(
         F.percentile_approx("value", shares, max(1_000, 4 * buckets)).alias("bounds")
     ).first().bounds
-    splits = [float("-inf"), *sorted(set(bounds or [0.0])), float("inf")]
+    finite = {b for b in bounds or [0.0] if math.isfinite(b)}
+    splits = [float("-inf"), *sorted(finite), float("inf")]
     bucketizer = Bucketizer(splits=splits, inputCol="value", outputCol="bucket", handleInvalid="keep")
     numbered = bucketizer.transform(rows)
     return numbered.withColumn("bucket", F.col("bucket").cast("int"))
@@ -162,6 +164,10 @@ def quantiles(
         for position in _targets(p)[:2]:
             inside |= (F.col("earlier") <= position) & (position < F.col("earlier") + F.col("size"))
     wanted = materialize(cells.where(inside).select(*cell, "earlier", "total"), "wanted-cells")
+    # A short list of bucket numbers, read up to a fixed length, spares most rows the join.
+    numbers = wanted.select("bucket").distinct().limit(INLINE_BUCKETS + 1).collect()
+    if len(numbers) <= INLINE_BUCKETS:
+        bucketed = bucketed.where(F.col("bucket").isin([row.bucket for row in numbers]))
     counts = (
         bucketed.join(wanted, cell)
         .groupBy(*cell, "earlier", "total", "value")

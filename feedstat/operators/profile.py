@@ -68,9 +68,9 @@ def null_counts(df: DataFrame, columns: Iterable[str] | None = None) -> DataFram
     return _stack(one_row, columns, ["n_missing"])
 
 
-def describe(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+def describe(df: DataFrame, columns: Sequence[str], rows_per_bucket: int | None = None) -> DataFrame:
     """Count, mean, sample deviation, minimum, exact quartiles and maximum per column."""
-    order_statistics = quantiles(df, columns, QUARTILES)
+    order_statistics = quantiles(df, columns, QUARTILES, rows_per_bucket=rows_per_bucket)
     present = {c: F.when(~_missing(df, c), F.col(c).cast("double")) for c in columns}
     moments = df.agg(*[
         expression.alias(f"{c}|{name}")

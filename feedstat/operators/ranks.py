@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from feedstat.session import materialize
 
 ROWS_PER_BUCKET = 100_000
+DIRECT_ROWS = 3_000_000
 MAX_BUCKETS = 65_536
 SAMPLE_PER_BUCKET = 100
 INLINE_BUCKETS = 1_000
@@ -138,18 +139,22 @@ def quantiles(
     columns: Sequence[str],
     probabilities: Mapping[str, float],
     by: Iterable[str] = (),
-    rows_per_bucket: int = ROWS_PER_BUCKET,
+    rows_per_bucket: int | None = None,
 ) -> DataFrame:
     """Written table with one row per (variable, by): total, min, max and the named exact quantiles.
 
     Nothing but bucket sums is shuffled, until the buckets that hold a wanted position
     are known; only their values are counted and sorted. ``df`` is read once for the
-    sums and once for the values of those buckets.
+    sums and once for the values of those buckets. Up to ``DIRECT_ROWS`` values, which
+    a task can sort, are taken as one bucket unless ``rows_per_bucket`` is given.
     """
     keys = ["variable", *by]
     rows = long_form(df, columns, by)
+    size = df.count() * len(columns)
+    if rows_per_bucket is None:
+        rows_per_bucket = DIRECT_ROWS if size <= DIRECT_ROWS else ROWS_PER_BUCKET
     named = [_quantile(p).alias(name) for name, p in probabilities.items()]
-    bucketed = cut(rows, df.count() * len(columns), rows_per_bucket)
+    bucketed = cut(rows, size, rows_per_bucket)
     if bucketed is None:
         counts = rows.groupBy(*keys, "value").agg(F.count(F.lit(1)).alias("n"))
         sized = counts.withColumn("total", F.sum("n").over(Window.partitionBy(*keys)))

@@ -32,11 +32,13 @@ def missing(spark, sf_dir):
     return profile.null_counts(rows)
 
 
-def described(spark, sf_dir):
-    rows = profile.describe(observations(spark, sf_dir), MEASURES)
-    return rows.select("variable", "count", *[
-        F.round(c, 6).alias(c) for c in ("mean", "std", "min", "q25", "q50", "q75", "max")
-    ])
+def _described(rows_per_bucket):
+    def query(spark, sf_dir):
+        rows = profile.describe(observations(spark, sf_dir), MEASURES, rows_per_bucket)
+        return rows.select("variable", "count", *[
+            F.round(c, 6).alias(c) for c in ("mean", "std", "min", "q25", "q50", "q75", "max")
+        ])
+    return query
 
 
 def info(spark, sf_dir):
@@ -139,7 +141,8 @@ QUERIES = {
     "a01_shape": table_shape,
     "a02_distinct_counts": distinct,
     "a03_null_counts": missing,
-    "a04_describe": described,
+    "a04_describe": _described(None),
+    "a04_describe_bucketed": _described(5_000),
     "a05_column_info": info,
     "a06_distinct_values": flags,
     "a07_category_counts": categories,
@@ -243,6 +246,12 @@ _AVERAGE_RANK = f"""WITH long AS ({_LONG}),
     SELECT variable, value, CAST(n AS BIGINT) AS n,
       sum(n) OVER (PARTITION BY variable ORDER BY value) - n + (n + 1) / 2.0 AS average_rank FROM c"""
 
+_DESCRIBE = f"""SELECT variable, CAST(count(*) AS BIGINT) AS count, round(avg(value), 6) AS mean,
+        round(stddev_samp(value), 6) AS std, min(value) AS min,
+        round(quantile_cont(value, 0.25), 6) AS q25, round(quantile_cont(value, 0.5), 6) AS q50,
+        round(quantile_cont(value, 0.75), 6) AS q75, max(value) AS max
+        FROM ({_LONG}) GROUP BY variable"""
+
 ORACLES = {
     "a01_shape": "SELECT CAST(count(*) AS BIGINT) AS n_rows, CAST(11 AS BIGINT) AS n_columns FROM lineitem",
     "a02_distinct_counts": _union(
@@ -255,11 +264,8 @@ ORACLES = {
             "l_tax": "l_tax = 0", "l_returnflag": "l_returnflag = 'R'",
         }.items()
     ),
-    "a04_describe": f"""SELECT variable, CAST(count(*) AS BIGINT) AS count, round(avg(value), 6) AS mean,
-        round(stddev_samp(value), 6) AS std, min(value) AS min,
-        round(quantile_cont(value, 0.25), 6) AS q25, round(quantile_cont(value, 0.5), 6) AS q50,
-        round(quantile_cont(value, 0.75), 6) AS q75, max(value) AS max
-        FROM ({_LONG}) GROUP BY variable""",
+    "a04_describe": _DESCRIBE,
+    "a04_describe_bucketed": _DESCRIBE,
     "a05_column_info": _union(
         "SELECT '{c}' AS variable, CAST(count({c}) AS BIGINT) AS n_present, '{t}' AS type FROM lineitem",
         _COLUMNS,

@@ -2,13 +2,10 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-_LOCAL_SCRATCH: dict[str, str] = {}
-
 
 def build_session(app_name: str = "feedstat", master: str | None = None, **conf: str) -> SparkSession:
     """A session with the settings the library is written for.
@@ -36,18 +33,14 @@ def build_session(app_name: str = "feedstat", master: str | None = None, **conf:
 def scratch_dir(spark: SparkSession) -> str:
     """Folder for intermediate tables: the one ``spark.checkpoint.dir`` names.
 
-    Only a local master may do without the setting; every executor of a cluster
-    has to reach the folder, so there the setting is required.
+    Where that is unset, as in tests, a folder of this application under the
+    session's warehouse, which every executor reaches as it reaches the tables there.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured.rstrip("/")
-    context = spark.sparkContext
-    if not context.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-    if context.applicationId not in _LOCAL_SCRATCH:
-        _LOCAL_SCRATCH[context.applicationId] = tempfile.mkdtemp(prefix="feedstat-")
-    return _LOCAL_SCRATCH[context.applicationId]
+    warehouse = spark.conf.get("spark.sql.warehouse.dir").rstrip("/")
+    return f"{warehouse}/_scratch/{spark.sparkContext.applicationId}"
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:

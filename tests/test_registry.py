@@ -2,10 +2,11 @@ import importlib
 
 import pytest
 
+from feedstat.plans import registry
 from oracle import connect, differences, plan
 
 entry_module = importlib.import_module("__spark_entry__")
-QUERIES, ORACLES = entry_module.queries(), entry_module.oracle_sql()
+QUERIES, ORACLES = registry.all_queries(), registry.all_oracles()
 
 
 @pytest.fixture(scope="module")
@@ -15,6 +16,8 @@ def connection(sf_dir):
 
 def test_every_query_has_a_check():
     assert set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) <= set(entry_module.queries())
+    assert set(ORACLES) <= set(entry_module.oracle_sql())
 
 
 def test_entry(spark):

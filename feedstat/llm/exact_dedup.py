@@ -25,15 +25,17 @@ def normalised(text) -> F.Column:
 
 
 def name_keys(rows: DataFrame, keys: list[str], label: str) -> DataFrame:
-    """Replaces ``keys`` by ``name``: the integer that stands for their values, by sort order.
+    """Replaces ``keys`` by ``name``: the integer that stands for their values.
 
-    Only distinct keys are sorted, so a key that fills a third of the rows is one row here.
+    The distinct keys are dealt out by hash, sorted in each partition and numbered in that order.
+
+    Only distinct keys are sorted, with no sample of them on the driver; a key that fills a third of the rows is one row here.
     The names are written before they are joined: their numbers are then final, their size
     is known, and AQE can split a frequent key of the join.
     """
-    distinct = rows.select(*keys).distinct()
+    distinct = rows.select(*keys).distinct().sortWithinPartitions(*keys)
     named = materialize(
-        distinct.sort(*keys).withColumn("name", F.monotonically_increasing_id()), f"{label}-names"
+        distinct.withColumn("name", F.monotonically_increasing_id()), f"{label}-names"
     )
     named = named.select(*[F.col(key).alias(f"_{key}") for key in keys], "name")
     same = [F.col(key).eqNullSafe(F.col(f"_{key}")) for key in keys]

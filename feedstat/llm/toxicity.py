@@ -5,7 +5,7 @@ toxic texts more often than chance allows, each with the log-odds it shows. It i
 trie. A Levenshtein automaton runs through the trie together with each distinct word of a
 batch; its states are made as words need them. Only strong terms may be misspelled, and words
 met in clean texts are never taken for a misspelling. The words around each hit tell
-quotation from abuse; a logistic function of the strongest evidence, fitted on labelled rows
+quotation from abuse; a logistic function of the strongest and of all evidence, fitted on labelled rows
 that the lexicon was not learned from, is the score.
 """
 
@@ -155,7 +155,7 @@ class Lexicon:
     terms: dict[str, float]
     stems: dict[str, float]
     ordinary: frozenset = frozenset()
-    weight: float = 0.0
+    weights: tuple[float, float] = (0.0, 0.0)
     bias: float = -3.0
 
     def __post_init__(self):
@@ -171,8 +171,8 @@ class Lexicon:
         odds, near = self.automaton.match(word) if word else (0.0, False)
         return (0.0, False) if near and word in self.ordinary else (odds, near)
 
-    def strongest(self, texts: list[str]) -> np.ndarray:
-        """Per text, the most evidence that one of its words gives in its context; 0 without any."""
+    def measures(self, texts: list[str]) -> np.ndarray:
+        """Per text, the most evidence that a word gives in its context, and the logarithm of all evidence."""
         words, flat, counts = words_of(texts)
         odds = np.fromiter((self.evidence(w)[0] for w in words), float, len(words))
         own = odds[flat]
@@ -186,12 +186,13 @@ class Lexicon:
         # quotation marks on both sides (or on the word itself), or a reporting word near
         cited = (quote_sum[at + 1] > quote_sum[low]) & (quote_sum[high] > quote_sum[at])
         cited |= report_sum[high] > report_sum[low]
-        result = np.zeros(len(texts))
-        np.maximum.at(result, doc, own[at] * np.where(cited, QUOTED_SHARE, 1.0))
-        return result
+        found = own[at] * np.where(cited, QUOTED_SHARE, 1.0)
+        most = np.zeros(len(texts))
+        np.maximum.at(most, doc, found)
+        return np.stack([most / MOST_ODDS, np.log1p(np.bincount(doc, found, minlength=len(texts)))], axis=1)
 
     def scores(self, texts: list[str]) -> np.ndarray:
-        values = self.strongest(texts) * self.weight + self.bias
+        values = self.measures(texts) @ np.array(self.weights) + self.bias
         return 1 / (1 + np.exp(-np.clip(values, -30, 30)))
 
 
@@ -261,28 +262,28 @@ def learn_lexicon(texts: DataFrame) -> Lexicon:
     return lexicon
 
 
-def fit_weight(evidence: np.ndarray, labels: np.ndarray) -> tuple[float, float]:
-    """Logistic regression on the evidence, with a small ridge, by gradient descent.
+def fit_weights(measures: np.ndarray, labels: np.ndarray) -> tuple[tuple[float, float], float]:
+    """Logistic regression with a small ridge and weights not below 0, by gradient descent.
 
     Both classes weigh the same, so the score does not depend on how many rows of each were taken.
     """
-    inputs, weight, bias = evidence / MOST_ODDS, 0.0, 0.0
+    weights, bias = np.zeros(2), 0.0
     if not len(labels) or labels.min() == labels.max():
-        return 1.0, -3.0
+        return (5.0, 0.5), -3.0
     share = np.where(labels == 1, 0.5 / (labels == 1).sum(), 0.5 / (labels == 0).sum())
-    for _ in range(3000):
-        chance = 1 / (1 + np.exp(-np.clip(inputs * weight + bias, -30, 30)))
+    for _ in range(5000):
+        chance = 1 / (1 + np.exp(-np.clip(measures @ weights + bias, -30, 30)))
         error = (chance - labels) * share
-        weight -= (inputs * error).sum() + 1e-4 * weight
+        weights = np.maximum(0, weights - measures.T @ error - 1e-4 * weights)
         bias -= error.sum()
-    return max(weight, 0.0) / MOST_ODDS, bias
+    return (float(weights[0]), float(weights[1])), float(bias)
 
 
 def fit(docs: DataFrame, labels: DataFrame, most: int = TRAIN_ROWS) -> Lexicon:
-    """A lexicon and its weight from at most ``most`` toxic and three times as many clean labelled rows.
+    """A lexicon and its weights from at most ``most`` toxic and three times as many clean labelled rows.
 
     ``docs`` has ``doc_id`` and ``text``, ``labels`` has ``doc_id`` and ``label`` (1 toxic, 0 not;
-    null is left out). Equal texts count once. A quarter of the texts, by hash, fits the weight and is
+    null is left out). Equal texts count once. A quarter of the texts, by hash, fits the weights and is
     not used for the lexicon. Without toxic rows nothing is evidence and all texts score low.
     """
     def first(label: int, rows: int) -> DataFrame:
@@ -296,16 +297,16 @@ def fit(docs: DataFrame, labels: DataFrame, most: int = TRAIN_ROWS) -> Lexicon:
     )
     lexicon = learn_lexicon(texts.where("NOT fits"))
 
-    def strongest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def measures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in text_batches(batches, "text"):
-            found = lexicon.strongest([t or "" for t in table["text"].to_pylist()])
+            found = lexicon.measures([t or "" for t in table["text"].to_pylist()])
             yield pa.RecordBatch.from_arrays(
-                [table["label"].combine_chunks(), pa.array(found)], ["label", "evidence"],
+                [table["label"].combine_chunks(), pa.array(found[:, 0]), pa.array(found[:, 1])], ["label", "most", "all"],
             )
 
-    rows = texts.where("fits").select("text", "label").mapInArrow(strongest, "label int, evidence double").collect()
-    rows = np.array(sorted(tuple(r) for r in rows)).reshape(-1, 2)
-    lexicon.weight, lexicon.bias = fit_weight(rows[:, 1], rows[:, 0])
+    fits = texts.where("fits").select("text", "label").mapInArrow(measures, "label int, most double, all double")
+    rows = np.array(sorted(tuple(r) for r in fits.collect())).reshape(-1, 3)
+    lexicon.weights, lexicon.bias = fit_weights(rows[:, 1:], rows[:, 0])
     return lexicon
 
 

@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from feedstat.llm import bpe, exact_dedup, line_dedup, packing
+from feedstat.llm import bpe, exact_dedup, line_dedup, packing, quality_model, quality_rules, toxicity
 
-SECTIONS = (bpe, exact_dedup, packing, line_dedup)
+SECTIONS = (bpe, exact_dedup, quality_rules, packing, line_dedup, quality_model, toxicity)
 QUERIES = {name: query for section in SECTIONS for name, query in section.QUERIES.items()}
 ORACLES = {name: sql for section in SECTIONS for name, sql in getattr(section, "ORACLES", {}).items()}

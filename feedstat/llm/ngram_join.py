@@ -95,11 +95,15 @@ def signatures(flat: np.ndarray, starts: np.ndarray, positions: int = POSITIONS)
 
 
 def runs_needed(threshold: float, recall: float, levels: int) -> int:
-    """Runs after which a pair of similarity ``threshold`` has met at the last level with probability ``recall``."""
+    """Runs after which a pair of similarity ``threshold`` has met at the last level with probability ``recall``.
+
+    Signatures agree in fewer positions than the similarity by chance; two standard deviations are allowed for.
+    """
     more = 1 / threshold - 1
+    agree = threshold - 2 * math.sqrt(threshold * (1 - threshold) / POSITIONS)
     chance = 1.0
     for _ in range(levels):
-        chance = (1 - more) * threshold * chance + more * (1 - (1 - threshold * chance) ** 2)
+        chance = (1 - more) * agree * chance + more * (1 - (1 - agree * chance) ** 2)
     return math.ceil(math.log(1 - recall) / math.log(1 - chance))
 
 

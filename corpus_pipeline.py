@@ -1,10 +1,60 @@
-"""The corpus pipeline (stages are added as their operators are)."""
+"""The corpus pipeline: quality rules, line dedup, near duplicates, repeated passages, packing."""
 
-from pyspark.sql import DataFrame, SparkSession
+from __future__ import annotations
 
-STAGES = []
+from pyspark.sql import DataFrame, SparkSession, functions as F
+
+from feedstat.llm import line_dedup, ngram_join, packing, quality_rules, substring_dedup
+from feedstat.session import materialize
+
+
+def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the base rules and the learned decision list keep."""
+    return quality_rules.keep_good(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
+def drop_boilerplate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without the boilerplate lines of their source."""
+    clean = line_dedup.drop_boilerplate(docs)
+    return clean.withColumns({"text": F.col("kept_text"), "n_chars": F.length("kept_text").cast("long")}).select(*docs.columns)
+
+
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each class of near duplicates."""
+    return ngram_join.one_of_each(docs)
+
+
+def drop_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without the 13-word passages of documents with smaller ids; words are joined by one space."""
+    carry = [name for name in docs.columns if name not in ("doc_id", "text", "n_chars")]
+    clean = substring_dedup.drop_passages(docs, carry=carry)
+    return clean.withColumns({"text": F.col("kept"), "n_chars": F.length("kept").cast("long")}).select(*docs.columns)
+
+
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The sequence and offset of every piece of what is left."""
+    import public_tokenizers
+
+    return packing.pack_documents(
+        docs, public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.PATTERN
+    ).select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
+
+
+STAGES = [
+    ("quality rules", keep_good),
+    ("line dedup", drop_boilerplate),
+    ("near duplicates", drop_near_duplicates),
+    ("substring dedup", drop_passages),
+    ("packing", pack),
+]
+
+#: The learned rules and the tokenizer can't be written in SQL; tests compare the stages with brute force.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/documents.parquet")
+    """The stages applied to ``documents``, each written and read again for the next."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    for name, stage in STAGES:
+        docs = materialize(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+    return docs

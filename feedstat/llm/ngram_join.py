@@ -390,6 +390,18 @@ def near_duplicates(
     return result.unionByName(alone).withColumnRenamed("doc_id", id_col)
 
 
+def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+    """The rows of ``docs`` without near duplicates: of each class the row with the least id stays.
+
+    Rows without words are classes of their own; rows with a null id stay where their class has
+    no other id. Of rows with the same id and text one stays.
+    """
+    classes = near_duplicates(docs, id_col, text_col, **options)
+    kept = classes.where(F.col(id_col).eqNullSafe(F.col("class_id"))).select(F.col(id_col).alias("_kept")).distinct()
+    kept = materialize(kept, "kept-ids")
+    return docs.join(kept, F.col(id_col).eqNullSafe(F.col("_kept")), "left_semi").dropDuplicates([id_col, text_col])
+
+
 def op2_ngram_join(spark, sf_dir: str) -> DataFrame:
     """The class and the number of links of every document."""
     return near_duplicates(spark.read.parquet(f"{sf_dir}/documents.parquet"))

@@ -23,6 +23,7 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
+from pyspark.sql.types import StructType
 
 #: Bytes of text in a block of documents.
 BLOCK_BYTES = 4 << 20
@@ -116,17 +117,20 @@ class Block:
 def search(
     docs: DataFrame, id_col: str, text_col: str,
     anchors_of: Callable, surroundings: Callable, settle: Callable, remove: Callable, schema: str,
-    block_bytes: int = BLOCK_BYTES,
+    carry: list[str] | None = None, block_bytes: int = BLOCK_BYTES,
 ) -> DataFrame:
     """The rounds above over ``docs``.
 
     ``anchors_of(block)`` gives hashes; ``surroundings(block, hashes, shards)`` gives (shard,
     bytes) rows and the spans settled inside; ``settle(parts)`` gives (block, spans); and
     ``remove(block, spans)`` the result columns in the order of the block's rows. Spans are
-    int64 triples (document of the block, first, end).
+    int64 triples (document of the block, first, end). Columns of ``carry`` come along unread.
     """
     spark = docs.sparkSession
-    plain = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+    carried = F.struct(*carry) if carry else F.lit(None).cast("int")
+    plain = docs.select(
+        F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"), carried.alias("carried")
+    )
     size = plain.agg(F.sum(F.octet_length("text")).alias("bytes"), F.count("*").alias("rows")).first()
     count = max(1, -(-max(size["bytes"] or 0, 1024 * size["rows"]) // block_bytes))
     shards = max(1, count // 2)
@@ -182,10 +186,14 @@ def search(
         parts = [np.frombuffer(data, np.int64) for data in replies["data"].to_pylist()]
         covered = np.concatenate(parts).reshape(-1, 3) if parts else np.zeros((0, 3), np.int64)
         columns = remove(own, covered)
-        return pa.table({"doc_id": table["doc_id"].take(pa.array(own.rows)), **columns})
-
-    result = blocks.groupBy("block").cogroup(spans.groupBy("block")).applyInArrow(finish, f"doc_id long, {schema}")
-    return result.select(F.col("doc_id").cast(kind).alias(id_col), *[name for name in result.columns if name != "doc_id"])
+        rows = pa.array(own.rows)
+        return pa.table({"doc_id": table["doc_id"].take(rows), **columns, "carried": table["carried"].take(rows)})
+
+    names = StructType.fromDDL(schema)
+    kinds = StructType([plain.schema["doc_id"], *names.fields, plain.schema["carried"]])
+    result = blocks.groupBy("block").cogroup(spans.groupBy("block")).applyInArrow(finish, kinds)
+    result = result.select(F.col("doc_id").cast(kind).alias(id_col), *names.names, "carried")
+    return result.select(id_col, *names.names, *[F.col("carried")[name].alias(name) for name in carry or []])
 
 
 def covered_flags(lengths: np.ndarray, spans: np.ndarray) -> np.ndarray:

@@ -82,18 +82,23 @@ def repeated_words(words: Column, window: int = WINDOW) -> Column:
     )
 
 
-def base_statistics(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Counts and features of every row's whole text; a null text has no words and one empty line."""
+def base_statistics(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", carry: list[str] | None = None
+) -> DataFrame:
+    """Counts and features of every row's whole text; a null text has no words and one empty line.
+
+    Columns of ``carry`` come along in ``carried``.
+    """
     text = F.coalesce(F.col(text_col), F.lit(""))
-    plain = docs.select(F.col(id_col).alias("doc_id"), text.alias("text"))
+    plain = docs.select(F.col(id_col).alias("doc_id"), text.alias("text"), (F.struct(*carry) if carry else F.lit(0)).alias("carried"))
     trimmed = F.btrim(F.col("text"), F.lit(SPACE_CHARS))
     split = plain.select(
-        "doc_id", "text",
+        "doc_id", "text", "carried",
         F.when(trimmed == "", F.array().cast("array<string>")).otherwise(F.split(trimmed, SPACE)).alias("words"),
         F.filter(F.split("text", "\n", -1), lambda x: F.btrim(x, F.lit(SPACE_CHARS)) != "").alias("lines"),
     )
     counts = split.select(
-        "doc_id",
+        "doc_id", "carried",
         F.size("words").cast("long").alias("n_words"),
         (F.length("text") - removed(F.col("text"), SPACE_CHARS)).cast("long").alias("word_chars"),
         removed(F.col("text"), SYMBOLS).cast("long").alias("n_symbols"),
@@ -116,6 +121,7 @@ def base_statistics(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         (F.col("n_dup_lines") / lines).alias("dup_line_share"),
         (F.col("n_repeat_words") / words).alias("repeat_share"),
         (F.col("n_distinct") / words).alias("distinct_share"),
+        *(["carried"] if carry else []),
     )
 
 
@@ -231,6 +237,16 @@ def judge(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     return judged.withColumnRenamed("doc_id", id_col)
 
 
+def keep_good(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` that ``judge`` keeps, with their columns.
+
+    The statistics are computed once to learn and once to decide, so texts are never shuffled.
+    """
+    rules = learn_rules(base_statistics(docs, id_col, text_col), labels)
+    judged = base_statistics(docs, id_col, text_col, docs.columns).where(verdict(rules))
+    return judged.select(*[F.col("carried")[name].alias(name) for name in docs.columns])
+
+
 def op5_quality_rules(spark, sf_dir: str) -> DataFrame:
     """Base statistics and the learned verdict for every document."""
     return judge(

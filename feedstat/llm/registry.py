@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
-from feedstat.llm import bpe, exact_dedup, line_dedup, ngram_join, packing, quality_model, quality_rules, toxicity
+from feedstat.llm import bpe, exact_dedup, line_dedup, ngram_join, packing, quality_model, quality_rules, substring_dedup, suffix_dedup, toxicity
 
-SECTIONS = (bpe, ngram_join, exact_dedup, quality_rules, packing, line_dedup, quality_model, toxicity)
+SECTIONS = (
+    bpe, ngram_join, substring_dedup, exact_dedup, quality_rules, packing, line_dedup, quality_model, suffix_dedup, toxicity,
+)
 QUERIES = {name: query for section in SECTIONS for name, query in section.QUERIES.items()}
 ORACLES = {name: sql for section in SECTIONS for name, sql in getattr(section, "ORACLES", {}).items()}

@@ -45,7 +45,9 @@ def gather(flat: np.ndarray, starts: np.ndarray, index: np.ndarray) -> tuple[np.
     """The pieces ``flat[starts[i]:starts[i + 1]]`` for each i of ``index``, joined, and their lengths."""
     lengths = (starts[1:] - starts[:-1])[index]
     begin = starts_of(lengths)
-    places = np.arange(begin[-1]) + np.repeat(starts[:-1][index] - begin[:-1], lengths)
+    kind = np.int32 if max(len(flat), begin[-1]) < 2**31 else np.int64
+    places = np.repeat((starts[:-1][index] - begin[:-1]).astype(kind), lengths)
+    places += np.arange(begin[-1], dtype=kind)
     return flat[places], lengths
 
 

@@ -25,8 +25,10 @@ import regex
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import BinaryType, StructField, StructType
 
-from feedstat.llm.arrays import TASK_BYTES, binary_column, gather, starts_of, text_batches
+from feedstat.llm.arrays import binary_column, gather, starts_of, text_batches
 
+#: Bytes of text encoded, and of ids decoded, at a time.
+ENCODE_BYTES, DECODE_BYTES = 6 << 20, 3 << 20
 NONE = np.iinfo(np.int32).max
 #: White space before a space before more of it: where a text can't be cut at each space.
 RUNS = re.compile(r"\s (?:\s|\Z)")
@@ -218,7 +220,7 @@ def replay_units(replay: MergeReplay, pattern, units: list[str]) -> tuple[np.nda
 
 
 def encode(
-    docs: DataFrame, ranks_path: str, pattern: str, text_col: str = "text", batch_bytes: int = TASK_BYTES
+    docs: DataFrame, ranks_path: str, pattern: str, text_col: str = "text", batch_bytes: int = ENCODE_BYTES
 ) -> DataFrame:
     """``docs`` with ``ids``: the token ids of the whole text, as little-endian unsigned 32-bit integers.
 
@@ -238,7 +240,7 @@ def encode(
     return docs.mapInArrow(run, StructType([*docs.schema.fields, StructField("ids", BinaryType())]))
 
 
-def decode(encoded: DataFrame, ranks_path: str, ids_col: str = "ids", batch_bytes: int = TASK_BYTES) -> DataFrame:
+def decode(encoded: DataFrame, ranks_path: str, ids_col: str = "ids", batch_bytes: int = DECODE_BYTES) -> DataFrame:
     """``encoded`` with ``decoded`` (binary) in place of ``ids_col``; null ids decode to no bytes."""
     kept = [field for field in encoded.schema.fields if field.name != ids_col]
 

@@ -359,7 +359,7 @@ def near_duplicates(
     wanted = needed.select("rep").distinct().join(known.select("rep", "row"), "rep")
     wanted = materialize(wanted.select("rep", "row.doc_id", "row.mark"), "wanted-sets")
     texts = plain.join(
-        wanted.select("rep", F.col("doc_id").alias("own_id"), F.col("mark").alias("own_mark")),
+        wanted.select("rep", F.col("doc_id").alias("own_id"), F.col("mark").alias("own_mark")).hint("merge"),
         F.col("mark").eqNullSafe(F.col("own_mark")) & F.col("doc_id").eqNullSafe(F.col("own_id")),
     ).select("rep", "text")
 

@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import StructType
 
 #: Bytes of text in a block of documents.
-BLOCK_BYTES = 4 << 20
+BLOCK_BYTES = 2 << 20
 BLOCK_SCHEMA = "block long, shard long, data binary"
 
 

@@ -50,6 +50,10 @@ def repeated_words(words: Column, window: int = WINDOW) -> Column:
     Runs stand for themselves by two 64-bit hashes. Sorted with their places, equal runs are
     neighbours; sorted back by place, each adds the words up to the next repeated run.
     """
+    return let(words, lambda own: _repeated_words(own, window))
+
+
+def _repeated_words(words: Column, window: int) -> Column:
     count = F.size(words) - (window - 1)
 
     def run(place):
@@ -87,7 +91,9 @@ def base_statistics(
 ) -> DataFrame:
     """Counts and features of every row's whole text; a null text has no words and one empty line.
 
-    Columns of ``carry`` come along in ``carried``.
+    Columns of ``carry`` come along in ``carried``. A condition on the result has to name ``row``
+    too: its number can't be moved, which keeps Catalyst from putting the statistics themselves
+    into the condition, once for each time it names them.
     """
     text = F.coalesce(F.col(text_col), F.lit(""))
     plain = docs.select(F.col(id_col).alias("doc_id"), text.alias("text"), (F.struct(*carry) if carry else F.lit(0)).alias("carried"))
@@ -98,7 +104,7 @@ def base_statistics(
         F.filter(F.split("text", "\n", -1), lambda x: F.btrim(x, F.lit(SPACE_CHARS)) != "").alias("lines"),
     )
     counts = split.select(
-        "doc_id", "carried",
+        "doc_id", "carried", F.monotonically_increasing_id().alias("row"),
         F.size("words").cast("long").alias("n_words"),
         (F.length("text") - removed(F.col("text"), SPACE_CHARS)).cast("long").alias("word_chars"),
         removed(F.col("text"), SYMBOLS).cast("long").alias("n_symbols"),
@@ -121,7 +127,7 @@ def base_statistics(
         (F.col("n_dup_lines") / lines).alias("dup_line_share"),
         (F.col("n_repeat_words") / words).alias("repeat_share"),
         (F.col("n_distinct") / words).alias("distinct_share"),
-        *(["carried"] if carry else []),
+        *(["row", "carried"] if carry else []),
     )
 
 
@@ -242,8 +248,8 @@ def keep_good(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_c
 
     The statistics are computed once to learn and once to decide, so texts are never shuffled.
     """
-    rules = learn_rules(base_statistics(docs, id_col, text_col), labels)
-    judged = base_statistics(docs, id_col, text_col, docs.columns).where(verdict(rules))
+    rules = learn_rules(materialize(base_statistics(docs, id_col, text_col), "text-statistics"), labels)
+    judged = base_statistics(docs, id_col, text_col, docs.columns).where(verdict(rules) & (F.col("row") >= 0))
     return judged.select(*[F.col("carried")[name].alias(name) for name in docs.columns])
 
 

@@ -26,10 +26,12 @@ class Bits:
 class FMIndex:
     """Finds where patterns of at most ``depth - 1`` symbols occur in ``text`` (integers from 0).
 
-    Suffixes are sorted by their first ``depth`` symbols, which is all such patterns see.
+    Suffixes are sorted by their first ``depth`` symbols, which is all such patterns see. The
+    text ends in a symbol of its own, below all others, at ``suffixes[0]``.
     """
 
     def __init__(self, text: np.ndarray, depth: int):
+        text = np.append(text + 1, 0)
         n = len(text)
         rank, done = text.astype(np.int64), 1
         while done < depth:
@@ -57,6 +59,7 @@ class FMIndex:
 
     def extend(self, symbol: np.ndarray, low: np.ndarray, high: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Suffix ranges of the patterns with ``symbol`` put before them."""
+        symbol = symbol + 1
         base = self.first[symbol] - self.origin[symbol]
         return base + self._down(symbol, low), base + self._down(symbol, high)
 

@@ -269,6 +269,7 @@ def compare(threshold: float):
     """Links of each task: ``rep``, ``links`` (linked documents) and ``root`` (the least member connected here)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in _tasks(batches):
+            table = table.take(pa.array(np.unique(table["rep"].to_numpy(), return_index=True)[1]))
             left, right = candidate_pairs(table)
             if not len(left):
                 continue
@@ -325,10 +326,7 @@ def components(edges: DataFrame) -> DataFrame:
         labels = after.select("node", "label")
 
 
-def near_duplicates(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = WORDS,
-    threshold: float = THRESHOLD, recall: float = RECALL, bucket: int = BUCKET, levels: int = LEVELS,
-) -> DataFrame:
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """One row per row of ``docs``: its id, ``class_id`` and ``n_links``.
 
     Two rows are linked when the Jaccard similarity of their word ``width``-gram sets is
@@ -336,8 +334,17 @@ def near_duplicates(
     the rows linked with a row, equal texts included; ``class_id`` is the least id of its
     connected component (null only if all its ids are). Null texts and texts without words are
     linked with nothing and are classes of their own. Rows with the same id are rows of their
-    own. An empty table gives an empty result; other columns are not read.
+    own. An empty table gives an empty result; other columns are not read. ``options`` are those
+    of ``classes``.
     """
+    return classes(docs, id_col, text_col, **options).drop("mark").withColumnRenamed("doc_id", id_col)
+
+
+def classes(
+    docs: DataFrame, id_col: str, text_col: str, width: int = WORDS, threshold: float = THRESHOLD,
+    recall: float = RECALL, bucket: int = BUCKET, levels: int = LEVELS,
+) -> DataFrame:
+    """``doc_id``, ``mark`` (a hash of the text), ``class_id`` and ``n_links`` of each row."""
     plain = docs.select(
         F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), F.xxhash64(F.col(text_col)).alias("mark")
     )
@@ -364,7 +371,11 @@ def near_duplicates(
     ).select("rep", "text")
 
     def grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last = None
         for table in text_batches(batches, "text", BATCH_BYTES):
+            rep = table["rep"].to_numpy()  # rows with the same id and text come one after another
+            fresh = np.concatenate(([rep[0] != last], rep[1:] != rep[:-1]))
+            table, last = table.filter(pa.array(fresh)), rep[-1]
             flat, starts = ngram_sets([(text or "").encode() for text in table["text"].to_pylist()], width)
             own = [flat[a:b].tobytes() for a, b in zip(starts[:-1], starts[1:])]
             yield pa.RecordBatch.from_arrays([table["rep"].combine_chunks(), pa.array(own, pa.binary())], ["rep", "grams"])
@@ -385,9 +396,11 @@ def near_duplicates(
         ),
         "named-reps",
     )
-    result = sets.where("size > 0").join(named, ["key_a", "key_b", "size"]).select("doc_id", "class_id", "n_links")
-    alone = sets.where("size = 0").select("doc_id", F.col("doc_id").alias("class_id"), F.lit(0).cast("long").alias("n_links"))
-    return result.unionByName(alone).withColumnRenamed("doc_id", id_col)
+    result = sets.where("size > 0").join(named, ["key_a", "key_b", "size"]).select("doc_id", "mark", "class_id", "n_links")
+    alone = sets.where("size = 0").select(
+        "doc_id", "mark", F.col("doc_id").alias("class_id"), F.lit(0).cast("long").alias("n_links")
+    )
+    return result.unionByName(alone)
 
 
 def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
@@ -396,10 +409,11 @@ def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     Rows without words are classes of their own; rows with a null id stay where their class has
     no other id. Of rows with the same id and text one stays.
     """
-    classes = near_duplicates(docs, id_col, text_col, **options)
-    kept = classes.where(F.col(id_col).eqNullSafe(F.col("class_id"))).select(F.col(id_col).alias("_kept")).distinct()
-    kept = materialize(kept, "kept-ids")
-    return docs.join(kept, F.col(id_col).eqNullSafe(F.col("_kept")), "left_semi").dropDuplicates([id_col, text_col])
+    found = classes(docs, id_col, text_col, **options)
+    kept = found.where(F.col("doc_id").eqNullSafe(F.col("class_id")))
+    kept = materialize(kept.select(F.col("doc_id").alias("_id"), F.col("mark").alias("_mark")).distinct(), "kept-rows")
+    same = F.col(id_col).eqNullSafe(F.col("_id")) & F.xxhash64(text_col).eqNullSafe(F.col("_mark"))
+    return docs.join(kept, same, "left_semi").dropDuplicates([id_col, text_col])
 
 
 def op2_ngram_join(spark, sf_dir: str) -> DataFrame:

@@ -22,6 +22,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import StructType
 
@@ -103,9 +104,7 @@ class Block:
     """
 
     def __init__(self, table: pa.Table):
-        ids = table["doc_id"].to_numpy(zero_copy_only=False)
-        null = np.asarray(table["doc_id"].is_null())
-        rank = np.where(null, np.iinfo(np.int64).max, np.where(null, 0, ids)).astype(np.int64)
+        rank = pc.fill_null(table["doc_id"], np.iinfo(np.int64).max).to_numpy()
         texts = [(text or "").encode() for text in table["text"].to_pylist()]
         self.rows = np.array(sorted(range(len(texts)), key=lambda k: (rank[k], len(texts[k]), texts[k])), np.int64)
         self.texts = [texts[k] for k in self.rows]

@@ -137,7 +137,7 @@ def covered_windows(rows: np.ndarray, least: np.ndarray, before: np.ndarray, beh
     # equal windows have one range, different windows disjoint ones
     lows, place = np.unique(low[whole], return_index=True)
     highs = high[whole][place]
-    owner = least[several][index.suffixes // (WIDTH + 1)]
+    owner = least[several][np.minimum(index.suffixes // (WIDTH + 1), len(several) - 1)]
     bounds = np.stack((lows, np.minimum(highs, len(owner) - 1)), axis=1).ravel()
     smallest = np.minimum.reduceat(owner, bounds)[::2]
     smallest = np.where(highs == len(owner), np.minimum(smallest, owner[-1]), smallest)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from itertools import combinations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from feedstat.operators.ranks import long_form
@@ -61,44 +61,63 @@ def group_variances(df: DataFrame, columns: Sequence[str], group: str) -> DataFr
     return group_moments(df, columns, group).select("variable", group, "variance")
 
 
+def contingency_cells(df: DataFrame, rows: str, columns: str) -> DataFrame:
+    """Written table (rows, columns, n) of the cells that have rows; missing categories are left out.
+
+    Categories keep their types and are never column names here.
+    """
+    if rows == columns:
+        raise ValueError("a contingency table needs two different columns")
+    present = df.where(F.col(rows).isNotNull() & F.col(columns).isNotNull())
+    return materialize(present.groupBy(rows, columns).agg(F.count(F.lit(1)).alias("n")), "contingency")
+
+
 def contingency_wide(df: DataFrame, rows: str, columns: str, values: Sequence | None = None) -> DataFrame:
-    """Contingency table, one column per category, zeros filled in.
+    """Contingency table for showing: one column per category of ``columns``, zeros filled in.
 
-    Spark refuses more than ``spark.sql.pivotMaxValues`` column categories.
+    Columns are named by the categories' text. With ``values`` only these categories are counted. A
+    table has a column for each category, so their number has to be one that can be shown.
     """
-    cells = (
-        df.where(F.col(rows).isNotNull() & F.col(columns).isNotNull())
-        .groupBy(rows, columns)
-        .agg(F.count(F.lit(1)).alias("n"))
-    )
-    cells = materialize(cells, "contingency")
-    wide = cells.groupBy(rows).pivot(columns, list(values) if values is not None else None)
-    return wide.agg(F.first("n")).na.fill(0)
+    cells = contingency_cells(df, rows, columns)
+    if values is None:
+        values = [row[0] for row in cells.select(columns).distinct().orderBy(columns).collect()]
+    counts = [
+        F.coalesce(F.sum(F.when(F.col(columns) == F.lit(value), F.col("n"))), F.lit(0)).alias(str(value))
+        for value in values
+    ]
+    return cells.groupBy(rows).agg(*counts)
 
 
 def contingency(df: DataFrame, rows: str, columns: str, values: Sequence | None = None) -> DataFrame:
-    """Contingency table in long form (row, column, n), with a row for every empty cell."""
-    wide = contingency_wide(df, rows, columns, values)
-    cells = wide.unpivot([rows], [c for c in wide.columns if c != rows], columns, "n")
-    return cells
+    """Contingency table in long form (row, column, n), with a row for every empty cell.
+
+    The grid of all row categories and all column categories is the result; with ``values``
+    only these column categories are in it. Both lists are written tables that are joined by a
+    stored key, so Spark splits the rows of a long grid over tasks.
+    """
+    cells = contingency_cells(df, rows, columns)
+    if values is not None:
+        cells = cells.where(F.col(columns).isin(list(values)))
+    sides = [
+        materialize(cells.select(F.col(name).alias(f"_{k}")).distinct().withColumn("_grid", F.lit(0)), "categories")
+        for k, name in enumerate((rows, columns))
+    ]
+    filled = cells.select(F.col(rows).alias("_row"), F.col(columns).alias("_column"), "n")
+    grid = sides[0].join(sides[1], "_grid")
+    joined = grid.join(filled, (F.col("_0") == F.col("_row")) & (F.col("_1") == F.col("_column")), "left")
+    return joined.select(
+        F.col("_0").alias(rows), F.col("_1").alias(columns), F.coalesce("n", F.lit(0)).alias("n")
+    )
 
 
 def expected_frequencies(cells: DataFrame, rows: str, columns: str) -> DataFrame:
     """Add the frequency each cell would have if rows and columns were independent."""
-    column_sums = cells.groupBy(columns).agg(F.sum("n").alias("column_total"))
-    # One row per column category, at most spark.sql.pivotMaxValues of them.
-    column_sums = materialize(
-        column_sums.withColumn(
-            "grand_total", F.sum("column_total").over(Window.partitionBy(F.lit(1)))
-        ),
-        "column-totals",
-    )
+    total = cells.agg(F.sum("n")).first()[0] or 0
+    column_sums = materialize(cells.groupBy(columns).agg(F.sum("n").alias("column_total")), "column-totals")
+    row_sums = materialize(cells.groupBy(rows).agg(F.sum("n").alias("row_total")), "row-totals")
     return (
-        cells.withColumn("row_total", F.sum("n").over(Window.partitionBy(rows)))
-        .join(column_sums, columns)
-        .withColumn(
-            "expected",
-            F.col("row_total").cast("double") * F.col("column_total") / F.col("grand_total"),
-        )
+        cells.join(row_sums, rows).join(column_sums, columns)
+        .withColumn("grand_total", F.lit(total).cast("bigint"))
+        .withColumn("expected", F.try_divide(F.col("row_total").cast("double") * F.col("column_total"), F.col("grand_total")))
         .drop("row_total", "column_total")
     )

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from feedstat.functions.normal import inverse_normal
 from feedstat.functions.tails import chi_square_tail, f_tail, normal_tail, t_two_sided
-from feedstat.operators.association import contingency, expected_frequencies, group_moments
+from feedstat.operators.association import contingency, contingency_cells, expected_frequencies, group_moments
 from feedstat.operators.ranks import long_form, quantiles, rank_positions, value_counts
 from feedstat.operators.sampling import sample_per_group
 from feedstat.session import materialize
@@ -153,7 +153,11 @@ def kruskal(df: DataFrame, columns: Sequence[str], group: str) -> DataFrame:
 
 
 def chi_square(cells: DataFrame, rows: str, columns: str) -> DataFrame:
-    """Independence test of a contingency table; continuity-corrected for one degree of freedom."""
+    """Independence test of a contingency table; continuity-corrected for one degree of freedom.
+
+    Empty cells may be left out of a table of more than two by two: what they add is the rest of
+    the expected frequencies.
+    """
     table = materialize(expected_frequencies(cells, rows, columns), "expected")
     gap = F.abs(F.col("n") - F.col("expected"))
     corrected = gap - F.least(F.lit(0.5), gap)
@@ -162,7 +166,10 @@ def chi_square(cells: DataFrame, rows: str, columns: str) -> DataFrame:
             F.count_distinct(rows).alias("n_rows"),
             F.count_distinct(columns).alias("n_columns"),
             F.max("grand_total").alias("total"),
-            F.sum(F.try_divide(gap * gap, F.col("expected"))).alias("plain"),
+            (
+                F.sum(F.try_divide(gap * gap, F.col("expected")))
+                + F.greatest(F.lit(0.0), F.max("grand_total") - F.sum("expected"))
+            ).alias("plain"),
             F.sum(F.try_divide(corrected * corrected, F.col("expected"))).alias("corrected"),
         )
         .withColumn("dof", (F.col("n_rows") - 1) * (F.col("n_columns") - 1))
@@ -178,7 +185,11 @@ def chi_square(cells: DataFrame, rows: str, columns: str) -> DataFrame:
 
 def chi_square_of(df: DataFrame, rows: str, columns: str) -> DataFrame:
     """:func:`chi_square` of two columns of a table."""
-    return chi_square(contingency(df, rows, columns), rows, columns)
+    cells = contingency_cells(df, rows, columns)
+    size = cells.agg(F.count_distinct(rows).alias("rows"), F.count_distinct(columns).alias("columns")).first()
+    if size.rows == size.columns == 2:  # the correction needs all four cells
+        cells = contingency(df, rows, columns)
+    return chi_square(cells, rows, columns)
 
 
 def qq_points(df: DataFrame, columns: Sequence[str], group: str) -> DataFrame:

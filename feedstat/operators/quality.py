@@ -5,27 +5,23 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from feedstat.sources.sidecars import first_lines, split_header
 
 def feed_facts(spark: SparkSession, path: str, dataset_pattern: str) -> DataFrame:
     """(dataset, header, n_rows) of delimited files with a header line, in one text scan.
 
     A dataset can have many files, and a file many splits: the header is the first
-    line of a file's first split. Rows are lines, so cells must not hold line breaks;
-    count a parsed table with :func:`row_counts` where they do.
+    line of a file's first split. Rows are lines that are not blank, as the delimited reader
+    counts them; cells must not hold line breaks, so count a parsed table with
+    :func:`row_counts` where they do. Lines are only counted, never sorted.
     """
-    lines = spark.read.option("recursiveFileLookup", True).text(path).select(
-        F.col("_metadata.file_path").alias("file"),
-        F.col("_metadata.file_block_start").alias("start"),
-        F.monotonically_increasing_id().alias("place"),
-        F.when(F.col("_metadata.file_block_start") == 0, F.col("value")).alias("value"),
-    )
-    at_start = F.when(F.col("start") == 0, F.col("place"))
-    files = lines.groupBy("file").agg(
-        F.min_by("value", at_start).alias("header"), (F.count(F.lit(1)) - 1).alias("n_rows")
-    )
-    return files.groupBy(F.regexp_extract("file", dataset_pattern, 1).alias("dataset")).agg(
-        F.collect_set("header").alias("headers"), F.sum("n_rows").alias("n_rows")
-    )
+    lines = spark.read.option("recursiveFileLookup", True).text(path)
+    dataset = F.regexp_extract("_metadata.file_path", dataset_pattern, 1).alias("dataset")
+    filled = F.sum((F.length(F.trim("value")) > 0).cast("bigint")).alias("filled")
+    files = lines.select(dataset, F.col("_metadata.file_path").alias("file"), "value").groupBy("dataset", "file").agg(filled)
+    counts = files.groupBy("dataset").agg(F.sum(F.greatest(F.col("filled") - 1, F.lit(0))).alias("n_rows"))
+    headers = first_lines(spark, path, dataset_pattern).groupBy("dataset").agg(F.collect_set("value").alias("headers"))
+    return counts.join(headers, "dataset").select("dataset", "headers", "n_rows")
 
 
 def row_counts(df: DataFrame, dataset: str) -> DataFrame:
@@ -35,11 +31,9 @@ def row_counts(df: DataFrame, dataset: str) -> DataFrame:
 
 def feed_columns(facts: DataFrame, sep: str = "|") -> DataFrame:
     """(dataset, column_name) found in the header lines of :func:`feed_facts`."""
-    header = F.explode("headers").alias("header")
     return (
-        facts.select("dataset", header)
-        .select("dataset", F.explode(F.split("header", "\\Q" + sep + "\\E")).alias("column_name"))
-        .select("dataset", F.trim("column_name").alias("column_name"))
+        facts.select("dataset", F.explode("headers").alias("header"))
+        .select("dataset", F.explode(split_header(F.col("header"), sep)).alias("column_name"))
         .distinct()
     )
 

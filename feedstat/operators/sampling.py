@@ -2,56 +2,22 @@
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from feedstat.session import materialize
 
-ROWS_PER_SORT = 100_000
-MAX_PREFIX = 4
-
-
-def _candidates(drawn: DataFrame, group: str, n: int, digits: int) -> DataFrame:
-    """Rows that can be among the first ``n`` of their group.
-
-    Rows are counted per group and leading digits of the draw; from the count on at
-    which ``n`` rows are reached, later digits cannot be among the first ``n``.
-    """
-    lead = F.substring("_draw", 1, digits)
-    counts = drawn.groupBy(group, lead.alias("_lead")).agg(F.count(F.lit(1)).alias("_size"))
-    previous = Window.partitionBy(group).orderBy("_lead").rowsBetween(Window.unboundedPreceding, -1)
-    needed = counts.withColumn("_earlier", F.coalesce(F.sum("_size").over(previous), F.lit(0)))
-    limits = materialize(
-        needed.where(F.col("_earlier") < n).groupBy(group).agg(F.max("_lead").alias("_limit")),
-        "draw-limits",
-    )
-    return drawn.join(limits, group).where(lead <= F.col("_limit")).drop("_limit")
-
-
-def sample_per_group(
-    df: DataFrame,
-    group: str,
-    keys: Sequence[str],
-    n: int = 100,
-    seed: int = 0,
-    rows_per_sort: int = ROWS_PER_SORT,
-) -> DataFrame:
+def sample_per_group(df: DataFrame, group: str, keys: Sequence[str], n: int = 100, seed: int = 0) -> DataFrame:
     """Exactly ``n`` random rows of every group, or all of a smaller group.
 
     Rows are drawn by the order of a hash of ``keys`` and ``seed``, so any engine
-    and any partitioning draws the same rows. In a large table most rows are ruled
-    out by counts before anything is sorted; of the rest Spark keeps the first ``n``
-    of each group in every task before the shuffle.
+    and any partitioning draws the same rows. Spark keeps the first ``n`` rows of
+    each group in every task before the shuffle (``WindowGroupLimit``), so no more than
+    that travels, whatever the size of a group.
     """
     text = F.concat_ws("|", F.lit(str(seed)), *[F.col(k).cast("string") for k in keys])
     drawn = df.where(F.col(group).isNotNull()).withColumn("_draw", F.md5(text))
-    size = df.count()
-    if size > max(rows_per_sort, n):
-        digits = math.ceil(math.log(size / max(rows_per_sort, n), 16)) + 1
-        drawn = _candidates(drawn, group, n, min(MAX_PREFIX, digits))
     window = Window.partitionBy(group).orderBy("_draw", *keys)
     return (
         drawn.withColumn("_place", F.row_number().over(window))

@@ -124,6 +124,10 @@ def crosstab(spark, sf_dir):
     return association.contingency(table(spark, sf_dir, "documents"), "source", "lang")
 
 
+def crosstab_numeric(spark, sf_dir):
+    return association.contingency(table(spark, sf_dir, "lineitem"), "l_discount", "l_returnflag")
+
+
 def crosstab_wide(spark, sf_dir):
     rows = table(spark, sf_dir, "orders")
     return association.contingency_wide(rows, "o_orderpriority", "o_orderstatus", ["F", "O", "P"])
@@ -158,6 +162,7 @@ QUERIES = {
     "a15_correlation": correlations,
     "a16_group_variance": variances,
     "a17_contingency": crosstab,
+    "a17_contingency_numeric": crosstab_numeric,
     "a17_contingency_wide": crosstab_wide,
     "a19_average_rank": _ranked(ranks.ROWS_PER_BUCKET),
     "a19_average_rank_bucketed": _ranked(5_000),
@@ -300,6 +305,9 @@ ORACLES = {
     "a17_contingency": """SELECT r.source, c.lang, CAST(count(d.doc_id) AS BIGINT) AS n
         FROM (SELECT DISTINCT source FROM documents) r CROSS JOIN (SELECT DISTINCT lang FROM documents) c
         LEFT JOIN documents d ON d.source = r.source AND d.lang = c.lang GROUP BY 1, 2""",
+    "a17_contingency_numeric": """SELECT r.l_discount, c.l_returnflag, CAST(count(l.l_orderkey) AS BIGINT) AS n
+        FROM (SELECT DISTINCT l_discount FROM lineitem) r CROSS JOIN (SELECT DISTINCT l_returnflag FROM lineitem) c
+        LEFT JOIN lineitem l ON l.l_discount = r.l_discount AND l.l_returnflag = c.l_returnflag GROUP BY 1, 2""",
     "a17_contingency_wide": """SELECT o_orderpriority,
         CAST(count(*) FILTER (o_orderstatus = 'F') AS BIGINT) AS F,
         CAST(count(*) FILTER (o_orderstatus = 'O') AS BIGINT) AS O,

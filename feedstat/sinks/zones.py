@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from feedstat.session import materialize
 from feedstat.sinks.files import together
 from feedstat.sinks.tables import register_table
 from feedstat.sources.listing import dataset_name
@@ -16,20 +17,29 @@ def promote(
     """Carry the files of one zone to the next, in one folder per dataset.
 
     A dataset is named by its file, up to the first dot, or by the group of a regular
-    expression on the file path. The files of a zone share one layout. Returns every
-    dataset carried over, with its number of rows.
+    expression on the file path. Lines are carried as they are, each file into a folder of its
+    own below its dataset's: every file keeps its header, its columns and its quoted line breaks. Only
+    the folders of files carried over are replaced in ``target``; other datasets stay. Returns
+    the datasets of ``source`` with their number of rows in ``target``.
     """
-    files = spark.read.options(header=True, sep=sep, recursiveFileLookup=True).csv(source)
-    layout = files.schema
+    path = F.col("_metadata.file_path")
     name = (
-        F.regexp_extract("_metadata.file_path", dataset_pattern, 1)
-        if dataset_pattern
+        F.regexp_extract(path, dataset_pattern, 1) if dataset_pattern
         else dataset_name(F.col("_metadata.file_name"))
     )
-    rows = together(files.withColumn("dataset", name), ["dataset"])
-    rows.write.partitionBy("dataset").mode("overwrite").options(header=True, sep=sep).csv(target)
-    written = spark.read.schema(layout.add("dataset", "string")).options(header=True, sep=sep).csv(target)
-    return written.groupBy("dataset").agg(F.count(F.lit(1)).alias("n_rows"))
+    lines = spark.read.options(recursiveFileLookup=True, lineSep="\n").text(source).select(
+        name.alias("dataset"), F.col("_metadata.file_name").alias("source_file"), path.alias("file"),
+        F.col("_metadata.file_block_start").alias("start"), F.monotonically_increasing_id().alias("place"), "value",
+    )
+    ordered = lines.repartition("dataset", "file").sortWithinPartitions("dataset", "source_file", "file", "start", "place")
+    writer = ordered.select("dataset", "source_file", "value").write.partitionBy("dataset", "source_file")
+    writer.mode("overwrite").options(partitionOverwriteMode="dynamic", lineSep="\n").text(target)
+    carried = materialize(lines.select("dataset").distinct(), "carried-datasets")
+    # one column is enough to count rows as the CSV reader sees them
+    layout = "first string, dataset string, source_file string"
+    written = spark.read.schema(layout).options(header=True, sep=sep, multiLine=True).csv(target)
+    counts = written.groupBy("dataset").agg(F.count(F.lit(1)).alias("n_rows"))
+    return carried.join(counts, "dataset", "left").select("dataset", F.coalesce("n_rows", F.lit(0)).alias("n_rows"))
 
 
 def rotate(
@@ -42,9 +52,12 @@ def rotate(
     table is pointed at ``current`` only after it is complete.
     """
     newest = rows.groupBy(ticker).agg(F.max(period).alias(period))
-    for how, path, mode in (("left_anti", archive, "append"), ("left_semi", current, "errorifexists")):
+    # written first, so its size is known where it is joined and large tables stay where they are
+    newest = materialize(newest, "newest-periods")
+    for how, path, mode in (("left_anti", archive, "overwrite"), ("left_semi", current, "errorifexists")):
         part = together(rows.join(newest, [ticker, period], how), [ticker, period])
-        part.write.partitionBy(ticker, period).mode(mode).parquet(path)
+        # a retry replaces the folders of its own periods in the archive and adds no row twice
+        part.write.partitionBy(ticker, period).mode(mode).option("partitionOverwriteMode", "dynamic").parquet(path)
     return register_table(
         spark, table, current, schema=rows.schema, partitioned_by=[ticker, period]
     )

@@ -302,3 +302,41 @@ def test_study_runs_every_part(spark, sf_dir):
     rows = spark.read.parquet(f"{sf_dir}/lineitem.parquet").withColumn("id", F.monotonically_increasing_id())
     results = jobs.study(rows, ["l_quantity", "l_tax"], ["l_returnflag", "l_linestatus"], "l_quantity", ["id"])
     assert len(results) == 21 and all(r.count() > 0 for r in results.values())
+
+
+def test_promote_keeps_each_header_and_other_datasets(spark, tmp_path):
+    write(tmp_path / "one" / "A.csv", "x,y\n1,2\n3,4\n")
+    write(tmp_path / "one" / "B.csv", 'y,x\n5,"6\n6"\n\n7,8\n')
+    write(tmp_path / "two" / "C.csv", "z\n9\n")
+    write(tmp_path / "two" / "A.csv", "x,y\n0,0\n")
+    out = str(tmp_path / "out")
+    done = zones.promote(spark, str(tmp_path / "one"), out)
+    assert {(r.dataset, r.n_rows) for r in done.collect()} == {("A", 2), ("B", 2)}
+    done = zones.promote(spark, str(tmp_path / "two"), out)
+    assert {(r.dataset, r.n_rows) for r in done.collect()} == {("A", 1), ("C", 1)}
+    read = lambda name: spark.read.options(header=True, multiLine=True).csv(f"{out}/dataset={name}/source_file={name}.csv")
+    assert [r.asDict() for r in read("B").collect()] == [{"y": "5", "x": "6\n6"}, {"y": "7", "x": "8"}]
+    assert [r.asDict() for r in read("A").collect()] == [{"x": "0", "y": "0"}]
+    assert [r.asDict() for r in read("C").collect()] == [{"z": "9"}]
+
+
+def test_control_files_are_their_first_lines_and_headers_are_unquoted(spark, tmp_path):
+    write(tmp_path / "headers" / "px" / "h.csv", '"Script name", "a,b",Date\nAAA,1,2020\n')
+    write(tmp_path / "counters" / "px" / "c.txt", "Rows:3\nRows:9\n")
+    write(tmp_path / "feed" / "px" / "f.csv", 'Script name|"a,b"|"Date"\nAAA|1|2\n\nAAA|1|2\n  \nBBB|1|2\n')
+    headers = sidecars.read_headers(spark, str(tmp_path / "headers"), FOLDER)
+    assert sorted(r.column_name for r in headers.collect()) == ["Date", "Script name", "a,b"]
+    counters = sidecars.read_counters(spark, str(tmp_path / "counters"), FOLDER)
+    assert [tuple(r) for r in counters.collect()] == [("px", 3)]
+    facts = quality.feed_facts(spark, str(tmp_path / "feed"), FOLDER)
+    assert "SortAggregate" not in facts._jdf.queryExecution().toString()
+    assert quality.check_headers(quality.feed_columns(facts), headers).first().passed
+    assert quality.check_counts(facts.select("dataset", "n_rows"), counters).first().passed
+
+
+def test_rotation_can_be_repeated(spark, tmp_path):
+    rows = spark.createDataFrame([("A", "1", 1), ("A", "2", 2)], "ticker string, period string, v int")
+    stored = spark.read.schema(rows.schema).parquet(files.write_partitioned(rows, str(tmp_path / "rows"), ["ticker", "period"]))
+    for k in (1, 2):
+        zones.rotate(spark, "rotating_again", stored, str(tmp_path / f"current{k}"), str(tmp_path / "archive"))
+    assert [r.v for r in spark.read.parquet(str(tmp_path / "archive")).collect()] == [1]

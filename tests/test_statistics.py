@@ -323,9 +323,24 @@ def test_sample_is_exact_and_repeatable(table):
     one = sampling.sample_per_group(df, "g", ["id"], n=40, seed=1)
     assert {r.g: r["count"] for r in one.groupBy("g").count().collect()} == dict.fromkeys("abcd", 40)
     again = sampling.sample_per_group(df.repartition(3), "g", ["id"], n=40, seed=1)
-    counted = sampling.sample_per_group(df, "g", ["id"], n=40, seed=1, rows_per_sort=50)
+    counted = sampling.sample_per_group(df, "g", ["id"], n=40, seed=1)
     other = sampling.sample_per_group(df, "g", ["id"], n=40, seed=2)
     ids = [{r.id for r in s.select("id").collect()} for s in (one, again, counted, other)]
     assert ids[0] == ids[1] == ids[2] != ids[3]
-    every = sampling.sample_per_group(df, "g", ["id"], n=2_000, rows_per_sort=50)
+    every = sampling.sample_per_group(df, "g", ["id"], n=2_000)
     assert every.count() == 3_000
+
+
+def test_contingency_of_categories_that_make_bad_column_names(spark):
+    rows = spark.createDataFrame(
+        [("x", 0.1), ("X", 0.1), ("r", 2.5), ("x", 2.5), ("x", 2.5), (None, 2.5)], "r string, c double"
+    )
+    cells = association.contingency(rows, "r", "c")
+    assert dict(cells.dtypes) == {"r": "string", "c": "double", "n": "bigint"}
+    got = {(r.r, r.c): r.n for r in cells.collect()}
+    assert got == {("x", 0.1): 1, ("X", 0.1): 1, ("r", 0.1): 0, ("x", 2.5): 2, ("X", 2.5): 0, ("r", 2.5): 1}
+    back = {(r.c, r.r): r.n for r in association.contingency(rows, "c", "r").collect()}
+    assert back == {(c, r): n for (r, c), n in got.items()}
+    wide = hypothesis.chi_square_of(rows, "r", "c").first()
+    full = hypothesis.chi_square(cells, "r", "c").first()
+    assert tuple(wide) == pytest.approx(tuple(full)) and wide.dof == 2

@@ -6,6 +6,8 @@ from collections.abc import Iterable, Mapping
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+
+from feedstat.session import materialize
 from pyspark.sql import types as T
 
 # Column names of the feeds and the names they are stored under.
@@ -80,7 +82,9 @@ def drop_categories(
         kept = kept.where(~F.col(column).isin(list(values)))
     if min_count is not None:
         sizes = kept.groupBy(column).agg(F.count(F.lit(1)).alias("_size"))
-        kept = kept.join(sizes.where(F.col("_size") >= min_count).select(column), column, "left_semi")
+        # written, so its size is known and a large table is not shuffled for a few categories
+        common = materialize(sizes.where(F.col("_size") >= min_count).select(column), "common-categories")
+        kept = kept.join(common, column, "left_semi")
     return kept
 
 

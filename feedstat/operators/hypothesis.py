@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window
@@ -228,7 +229,11 @@ def _ascending(x, coefficients: Sequence[float]):
 
 
 def shapiro_statistic(sample: DataFrame, columns: Sequence[str], group: str) -> DataFrame:
-    """Shapiro-Wilk W per (variable, group) of a sample of 4 to 5,000 rows per group."""
+    """Shapiro-Wilk W per (variable, group) of a sample of up to 5,000 rows per group.
+
+    Every group has a row. Three rows have a closed form; fewer, or a constant group, have
+    no statistic.
+    """
     keys = ["variable", group]
     placed = long_form(sample, columns, [group]).select(
         *keys, "value",
@@ -254,8 +259,8 @@ def shapiro_statistic(sample: DataFrame, columns: Sequence[str], group: str) ->
         pick(first, "value").alias("x_first"), pick(second, "value").alias("x_second"),
     )
     u = 1 / F.sqrt(F.col("size").cast("double"))
-    a1 = _ascending(u, WEIGHT_LAST) + F.col("m1") / F.sqrt("mm")
-    a2 = _ascending(u, WEIGHT_NEXT) + F.col("m2") / F.sqrt("mm")
+    a1 = _ascending(u, WEIGHT_LAST) + F.try_divide(F.col("m1"), F.sqrt("mm"))
+    a2 = _ascending(u, WEIGHT_NEXT) + F.try_divide(F.col("m2"), F.sqrt("mm"))
     ends = F.col("x_last") - F.col("x_first")
     inner = F.col("x_next") - F.col("x_second")
     m1, m2 = F.col("m1"), F.col("m2")
@@ -266,26 +271,32 @@ def shapiro_statistic(sample: DataFrame, columns: Sequence[str], group: str) ->
     )
     middle = F.when(two_ends, F.col("mx") - m1 * ends - m2 * inner).otherwise(F.col("mx") - m1 * ends)
     tops = F.when(two_ends, F.col("a1") * ends + F.col("a2") * inner).otherwise(F.col("a1") * ends)
-    product = tops + middle / F.sqrt(left / kept)
+    product = tops + F.try_divide(middle, F.sqrt(F.try_divide(left, kept)))
+    three = F.try_divide(ends * ends / 2, F.col("xx"))
+    w = F.when(F.col("size") >= 4, F.try_divide(product * product, F.col("xx"))).when(F.col("size") == 3, three)
     return (
-        sums.where(F.col("size") >= 4)
-        .withColumns({"a1": a1, "a2": a2})
-        .withColumn("statistic", F.try_divide(product * product, F.col("xx")))
+        sums.withColumns({"a1": a1, "a2": a2})
+        .withColumn("statistic", w)
         .select(*keys, F.col("size").alias("n"), "statistic")
     )
 
 
 def shapiro(sample: DataFrame, columns: Sequence[str], group: str) -> DataFrame:
-    """Shapiro-Wilk W and its p-value by Royston's approximation."""
+    """Shapiro-Wilk W and its p-value: exact for three rows, by Royston's approximation for more."""
     n, lost = F.col("n").cast("double"), F.ln(1 - F.col("statistic"))
     log_n = F.ln(n)
     small = F.col("n") <= 11
     y = F.when(small, -F.ln(_ascending(n, SMALL_GAMMA) - lost)).otherwise(lost)
     mean = F.when(small, _ascending(n, SMALL_MEAN)).otherwise(_ascending(log_n, LARGE_MEAN))
     sd = F.exp(F.when(small, _ascending(n, SMALL_LOG_SD)).otherwise(_ascending(log_n, LARGE_LOG_SD)))
+    # W of three rows is 3/4 at least
+    root = F.sqrt(F.greatest(F.lit(0.75), F.least(F.lit(1.0), F.col("statistic"))))
+    exact = F.when(F.col("statistic").isNotNull(), 6 / math.pi * (F.asin(root) - math.asin(math.sqrt(0.75))))
     # Below the fitted range of a small sample the probability is zero.
     z = F.when(small & (lost >= _ascending(n, SMALL_GAMMA)), F.lit(float("inf"))).otherwise((y - mean) / sd)
-    return shapiro_statistic(sample, columns, group).withColumn("p_value", normal_tail(z))
+    return shapiro_statistic(sample, columns, group).withColumn(
+        "p_value", F.when(F.col("n") >= 4, normal_tail(z)).when(F.col("n") == 3, exact)
+    )
 
 
 def normality_of_groups(
@@ -303,13 +314,17 @@ def compare_groups(
     """Analysis of variance where its preconditions hold, the rank test elsewhere.
 
     A column passes when no group's sample rejects normality and equal variances
-    are not rejected. Only the names of the passing columns reach the driver.
+    are not rejected; a group whose sample allows no test does not pass. Every column has a
+    row. Only the names of the passing columns reach the driver.
     """
     normal = normality_of_groups(df, columns, group, keys, n, seed).groupBy("variable").agg(
-        F.min("p_value").alias("normality_p")
+        F.when(F.count("p_value") == F.count(F.lit(1)), F.min("p_value")).alias("normality_p")
     )
     equal = levene(df, columns, group).select("variable", F.col("p_value").alias("variance_p"))
-    checks = materialize(normal.join(equal, "variable"), "preconditions")
+    tested = df.sparkSession.createDataFrame([(c,) for c in columns], "variable string")
+    checks = materialize(
+        tested.join(normal, "variable", "left").join(equal, "variable", "left"), "preconditions"
+    )
     passing = checks.where((F.col("normality_p") >= alpha) & (F.col("variance_p") >= alpha))
     chosen = {row.variable for row in passing.select("variable").collect()}
     outcome = ["variable", "test", "statistic", "p_value"]
@@ -321,4 +336,4 @@ def compare_groups(
         if names:
             parts.append(test(df, names, group).withColumn("test", F.lit(name)).select(*outcome))
     result = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
-    return verdict(checks.join(result, "variable"), alpha)
+    return verdict(checks.join(result, "variable", "left"), alpha)

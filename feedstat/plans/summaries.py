@@ -194,7 +194,7 @@ def _histogram_sql(long, keys, hue="", whole=()):
           FROM long GROUP BY {names}),
     w AS (SELECT *, (mx - mn) / (log2(CAST(total AS DOUBLE)) + 1) AS st,
           2 * (q75 - q25) / pow(CAST(total AS DOUBLE), 1.0 / 3) AS fd FROM s),
-    v AS (SELECT *, CASE WHEN fd > 0 THEN least(fd, st) ELSE st END AS w FROM w),
+    v AS (SELECT *, least(greatest(fd, (mx - mn) / sqrt(CAST(total AS DOUBLE)) / 2), st) AS w FROM w),
     layout AS (SELECT {names},
           CASE WHEN mx = mn THEN mn - 0.5 ELSE mn END AS low,
           CASE WHEN mx = mn THEN mx + 0.5 ELSE mx END AS high,

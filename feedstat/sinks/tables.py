@@ -7,6 +7,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+
+from feedstat.session import materialize
 from pyspark.sql.types import StructType
 
 
@@ -69,13 +71,19 @@ def register_table(
     return spark.table(name)
 
 
+def escaped(name: str) -> str:
+    """A partition value as part of a path."""
+    special = set("\"#%'*/:=?\\{}[]^")
+    return "".join(f"%{ord(c):02X}" if c in special or ord(c) < 32 else c for c in name)
+
+
 def newest_periods(table: DataFrame, ticker: str = "ticker", period: str = "period") -> DataFrame:
     """The rows of every ticker's newest period.
 
-    The newest period per ticker is one small row each, joined back; no ticker's
+    The newest period per ticker is one small row each, written and joined back; no ticker's
     rows are sorted or brought together.
     """
-    newest = table.groupBy(ticker).agg(F.max(period).alias(period))
+    newest = materialize(table.groupBy(ticker).agg(F.max(period).alias(period)), "newest-periods")
     return table.join(newest, [ticker, period], "left_semi")
 
 
@@ -98,13 +106,15 @@ def register_ticker_tables(
     """One table per ticker over the folder of its newest period.
 
     ``newest`` holds one (ticker, period) row per ticker. Catalog commands run on
-    the driver, one per ticker; the list is streamed, never held as a whole.
+    the driver, one per ticker, streamed. Two tickers whose table names would be the same
+    stop the job before the second takes the first one's table.
     """
     names = []
     for row in newest.select("ticker", "period").toLocalIterator():
         name = f"{prefix}_{row.ticker}".lower().replace("-", "_").replace(" ", "_")
-        register_table(
-            spark, name, f"{root}/ticker={row.ticker}/period={row.period}", fmt, **options
-        )
+        if name in names:
+            raise ValueError(f"two tickers would have the table {name}, one is {row.ticker}")
+        folder = f"ticker={escaped(row.ticker)}/period={escaped(row.period)}"
+        register_table(spark, name, f"{root}/{folder}", fmt, **options)
         names.append(name)
     return names

@@ -72,8 +72,14 @@ def read_plain(spark: SparkSession, path: str | Sequence[str], schema: StructTyp
 def read_batch(
     spark: SparkSession, paths: Sequence[str], schema: StructType, sep: str = ",", **options: str
 ) -> DataFrame:
-    """One scan over the files of a batch, with the path of its file beside every row."""
-    files = spark.read.schema(schema).options(sep=sep, header=True, **options).csv(list(paths))
+    """One scan over the files of a batch, with the path of its file beside every row.
+
+    A file whose header names the columns in another order than ``schema`` stops the job instead of
+    being read by position; read such files by their own headers and unite them with
+    :func:`union_batches`.
+    """
+    settings = {"sep": sep, "header": True, "enforceSchema": False, **options}
+    files = spark.read.schema(schema).options(**settings).csv(list(paths))
     return files.select("*", F.col("_metadata.file_path").alias("source_path"))
 
 

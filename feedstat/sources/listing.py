@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from feedstat.session import materialize
+
 # TICKER_YYYYMM.ext, and the stem before the first dot.
 TICKER_PERIOD = r"^([^_]+)_([^_.]+)\."
 STEM = r"^([^.]+)"
@@ -59,8 +61,9 @@ def older_files(files: DataFrame) -> DataFrame:
     many files is not sorted in one task.
     """
     newest = files.groupBy("ticker").agg(F.max(F.struct("modified", "path")).alias("newest"))
+    newest = materialize(newest.select(F.col("ticker").alias("_ticker"), "newest"), "newest-files")
     return (
-        files.join(newest, "ticker")
-        .where(F.struct("modified", "path") != F.col("newest"))
-        .drop("newest")
+        files.join(newest, F.col("ticker").eqNullSafe(F.col("_ticker")))
+        .where(~F.struct("modified", "path").eqNullSafe(F.col("newest")))
+        .drop("_ticker", "newest")
     )

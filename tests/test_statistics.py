@@ -344,3 +344,27 @@ def test_contingency_of_categories_that_make_bad_column_names(spark):
     wide = hypothesis.chi_square_of(rows, "r", "c").first()
     full = hypothesis.chi_square(cells, "r", "c").first()
     assert tuple(wide) == pytest.approx(tuple(full)) and wide.dof == 2
+
+
+def test_shapiro_of_small_and_constant_groups(spark):
+    rows = spark.createDataFrame(
+        [("three", 1.0), ("three", 2.0), ("three", 4.0), ("two", 1.0), ("two", 2.0), ("one", 1.0)]
+        + [("flat", 5.0)] * 6 + [("many", float(x * x % 17)) for x in range(9)], "g string, x double"
+    )
+    got = {r.g: r for r in hypothesis.shapiro(rows, ["x"], "g").collect()}
+    assert set(got) == {"three", "two", "one", "flat", "many"}
+    w = ((4 - 1) ** 2 / 2) / sum((v - 7 / 3) ** 2 for v in (1, 2, 4))
+    assert got["three"].statistic == pytest.approx(w)
+    assert got["three"].p_value == pytest.approx(6 / math.pi * (math.asin(math.sqrt(w)) - math.asin(math.sqrt(0.75))))
+    assert all(got[g].statistic is None and got[g].p_value is None for g in ("two", "one", "flat"))
+    small = rows.where("g in ('three', 'two')").withColumn("id", F.monotonically_increasing_id())
+    compared = hypothesis.compare_groups(small, ["x"], "g", ["id"]).collect()
+    assert [(r.variable, r.test, r.normality_p) for r in compared] == [("x", "kruskal", None)]
+
+
+def test_automatic_bins_with_a_far_outlier_are_those_of_numpy(spark):
+    values = [float(x % 97) for x in range(999)] + [1e12]
+    rows = spark.createDataFrame([(v,) for v in values], "x double")
+    got = distribution.histogram(rows, ["x"]).orderBy("bin").collect()
+    counts, edges = np.histogram(values, bins="auto")
+    assert [r.n for r in got] == counts.tolist()

@@ -28,6 +28,8 @@ from pyspark.sql.types import StructType
 
 #: Bytes of text in a block of documents.
 BLOCK_BYTES = 2 << 20
+#: Shards that one task settles, one after the other.
+SHARDS_PER_TASK = 4
 BLOCK_SCHEMA = "block long, shard long, data binary"
 
 
@@ -151,9 +153,9 @@ def search(
             return pa.table({"block": pa.array([], pa.int64()), "shard": pa.array([], pa.int64()), "data": pa.array([], pa.binary())})
         hashes = np.sort(np.concatenate([np.frombuffer(data, np.uint64) for data in replies["data"].to_pylist()]))
         number = table["block"][0].as_py()
-        rows, spans = surroundings(Block(table), number, hashes, shards)
+        rows, spans = surroundings(Block(table), number, hashes, SHARDS_PER_TASK * shards)
         # what is settled here travels with the rest, to a shard that hands it back
-        rows.append((number % shards, b"S" + spans.tobytes()))
+        rows.append((number % (SHARDS_PER_TASK * shards), b"S" + spans.tobytes()))
         return pa.table({
             "block": pa.array([number] * len(rows), pa.int64()), "shard": pa.array([r[0] for r in rows], pa.int64()),
             "data": pa.array([r[1] for r in rows], pa.binary()),
@@ -162,15 +164,16 @@ def search(
     sent = blocks.groupBy("block").cogroup(repeated.groupBy("block")).applyInArrow(send, BLOCK_SCHEMA)
 
     def decide(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        parts, by_block = [], {}
+        parts, by_block = {}, {}
         for batch in batches:
-            for number, data in zip(batch["block"].to_pylist(), batch["data"].to_pylist()):
+            for number, shard, data in zip(*(batch[name].to_pylist() for name in ("block", "shard", "data"))):
                 if data[:1] == b"S":
                     by_block.setdefault(number, []).append(np.frombuffer(data[1:], np.int64))
                 else:
-                    parts.append((number, data))
-        for number, spans in settle(parts):
-            by_block.setdefault(number, []).append(spans.ravel())
+                    parts.setdefault(shard, []).append((number, data))
+        for shard in list(parts):
+            for number, spans in settle(parts.pop(shard)):
+                by_block.setdefault(number, []).append(spans.ravel())
         if by_block:
             names = list(by_block)
             yield pa.RecordBatch.from_arrays(
@@ -178,7 +181,7 @@ def search(
                 ["block", "data"],
             )
 
-    spans = sent.repartition(width, "shard").mapInArrow(decide, "block long, data binary")
+    spans = sent.repartition(width, F.pmod("shard", F.lit(shards))).mapInArrow(decide, "block long, data binary")
 
     def finish(key, table, replies):
         own = Block(table)

@@ -199,7 +199,9 @@ def settle(parts: list[tuple[int, bytes]]) -> Iterator[tuple[int, np.ndarray]]:
     n = len(index)
     if not n:
         return
+    # only what is needed stays in memory
     joined = {name: np.concatenate([getattr(own, name) for own in runs])[index] for name in ("order", "tie", "place", "before", "behind", "left")}
+    runs.clear()
     by_left = np.argsort(as_strings(joined["left"]), kind="stable")
     left_prefix = common_prefixes(joined["left"][by_left])
     by_age = np.lexsort((joined["place"], joined["tie"], joined["order"]))

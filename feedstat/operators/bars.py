@@ -116,7 +116,6 @@ def number_rows(
     """
     rows = df.withColumn("value", F.col(tie).cast("double"))
     pieces = cut(rows, df.count(), rows_per_bucket)
-    pieces = rows.withColumn("bucket", F.lit(0)) if pieces is None else pieces
     piece = [*keys, "Date", "bucket"]
     previous = Window.partitionBy(*keys).orderBy("Date", "bucket").rowsBetween(
         Window.unboundedPreceding, -1

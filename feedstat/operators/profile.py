@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from feedstat.operators.ranks import quantiles
+from feedstat.operators.ranks import ROWS_PER_BUCKET, quantiles
 
 # Quartiles of the summary.
 QUARTILES = {"q25": 0.25, "q50": 0.5, "q75": 0.75}
@@ -68,7 +68,7 @@ def null_counts(df: DataFrame, columns: Iterable[str] | None = None) -> DataFram
     return _stack(one_row, columns, ["n_missing"])
 
 
-def describe(df: DataFrame, columns: Sequence[str], rows_per_bucket: int | None = None) -> DataFrame:
+def describe(df: DataFrame, columns: Sequence[str], rows_per_bucket: int = ROWS_PER_BUCKET) -> DataFrame:
     """Count, mean, sample deviation, minimum, exact quartiles and maximum per column."""
     order_statistics = quantiles(df, columns, QUARTILES, rows_per_bucket=rows_per_bucket)
     present = {c: F.when(~_missing(df, c), F.col(c).cast("double")) for c in columns}

@@ -2,8 +2,10 @@
 
 No task ever sorts a whole column. Values are cut into buckets; sums per bucket, a
 table with one row per bucket, say how many rows lie before each of them; sorting
-happens within a bucket. The bucket bounds come from a sample: they decide how evenly
-the work is spread, never what the result is.
+happens within a bucket. The first bounds come from a sample, a list of bounded length;
+buckets that hold too many different values are cut again, until none is left. Bounds
+decide how evenly the work is spread, never what the result is, and every size of table
+takes the same way.
 """
 
 from __future__ import annotations
@@ -18,10 +20,9 @@ from pyspark.sql import functions as F
 from feedstat.session import materialize
 
 ROWS_PER_BUCKET = 100_000
-DIRECT_ROWS = 3_000_000
-MAX_BUCKETS = 65_536
 SAMPLE_PER_BUCKET = 100
-INLINE_BUCKETS = 1_000
+#: Bounds that come from the sample at most, and parts that a bucket is cut into again.
+SAMPLED_BOUNDS, PARTS = 1_024, 1_024
 
 
 def long_form(df: DataFrame, columns: Sequence[str], keys: Iterable[str] = ()) -> DataFrame:
@@ -35,37 +36,69 @@ def long_form(df: DataFrame, columns: Sequence[str], keys: Iterable[str] = ()) -
     return rows.where(present)
 
 
-def cut(rows: DataFrame, size: int, rows_per_bucket: int = ROWS_PER_BUCKET) -> DataFrame | None:
-    """Add a bucket number that depends on nothing but the value; None if one bucket is enough."""
-    buckets = min(MAX_BUCKETS, math.ceil(size / rows_per_bucket))
-    if buckets <= 1:
-        return None
+def cut(rows: DataFrame, size: int, rows_per_bucket: int = ROWS_PER_BUCKET) -> DataFrame:
+    """Add a bucket, an array of numbers in the order of the values, that depends on nothing but the value."""
+    buckets = min(SAMPLED_BOUNDS, max(2, math.ceil(size / rows_per_bucket)))
     shares = [i / buckets for i in range(1, buckets)]
-    sample = rows.sample(min(1.0, SAMPLE_PER_BUCKET * buckets / size), seed=7)
+    sample = rows.sample(min(1.0, SAMPLE_PER_BUCKET * buckets / max(1, size)), seed=7)
     bounds = sample.agg(
         F.percentile_approx("value", shares, max(1_000, 4 * buckets)).alias("bounds")
     ).first().bounds
-    finite = {b for b in bounds or [0.0] if math.isfinite(b)}
+    finite = {b for b in bounds or [0.0] if math.isfinite(b)} or {0.0}
     splits = [float("-inf"), *sorted(finite), float("inf")]
     bucketizer = Bucketizer(splits=splits, inputCol="value", outputCol="bucket", handleInvalid="keep")
     numbered = bucketizer.transform(rows)
-    return numbered.withColumn("bucket", F.col("bucket").cast("int"))
+    return numbered.withColumn("bucket", F.array(F.col("bucket").cast("int")))
+
+
+def _cut_again(bucketed: DataFrame, keys: Sequence[str], overfull: DataFrame) -> DataFrame:
+    """Cut the buckets of ``overfull`` into parts of equal width between their finite ends."""
+    ends = overfull.select(*[F.col(k).alias(f"_{k}") for k in [*keys, "bucket"]], "low", "high")
+    same = [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in [*keys, "bucket"]]
+    condition = same[0]
+    for part in same[1:]:
+        condition = condition & part
+    # halves, so that the width of no bucket is beyond the largest number
+    share = (F.col("value") / 2 - F.col("low") / 2) / (F.col("high") / 2 - F.col("low") / 2)
+    part = (
+        F.when(F.col("value") < F.col("low"), -1).when(F.col("value") > F.col("high"), PARTS)
+        .otherwise(F.least(F.lit(PARTS - 1), F.floor(share * PARTS).cast("int")))
+    )
+    again = F.concat("bucket", F.array(part))
+    joined = bucketed.join(ends, condition, "left")
+    return joined.withColumn("bucket", F.when(F.col("low").isNotNull(), again).otherwise(F.col("bucket"))).drop(
+        *[f"_{k}" for k in [*keys, "bucket"]], "low", "high"
+    )
 
 
-def _cells(bucketed: DataFrame, keys: Sequence[str], n: Column) -> DataFrame:
-    """Written table of (keys, bucket): rows, rows of earlier buckets, all rows, smallest, largest."""
-    sums = bucketed.groupBy(*keys, "bucket").agg(
-        F.sum(n).alias("size"), F.min("value").alias("min"), F.max("value").alias("max")
-    )
+def _cells(
+    bucketed: DataFrame, keys: Sequence[str], n: Column, rows_per_bucket: int
+) -> tuple[DataFrame, DataFrame]:
+    """The rows with final buckets, and a written table of (keys, bucket): rows, rows of
+    earlier buckets, all rows, smallest, largest.
+
+    A bucket of more than four times ``rows_per_bucket`` different values is cut again.
+    """
     previous = Window.partitionBy(*keys).orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
-    return materialize(
-        sums.select(
-            "*",
-            F.coalesce(F.sum("size").over(previous), F.lit(0)).alias("earlier"),
-            F.sum("size").over(Window.partitionBy(*keys)).alias("total"),
-        ),
-        "bucket-cells",
-    )
+    finite = F.when(F.abs("value") < float("inf"), F.col("value"))
+    while True:
+        sums = bucketed.groupBy(*keys, "bucket").agg(
+            F.sum(n).alias("size"), F.min("value").alias("min"), F.max("value").alias("max"),
+            F.min(finite).alias("low"), F.max(finite).alias("high"),
+            F.approx_count_distinct("value").alias("different"),
+        )
+        cells = materialize(
+            sums.select(
+                "*",
+                F.coalesce(F.sum("size").over(previous), F.lit(0)).alias("earlier"),
+                F.sum("size").over(Window.partitionBy(*keys)).alias("total"),
+            ),
+            "bucket-cells",
+        )
+        overfull = cells.where((F.col("different") > 4 * rows_per_bucket) & (F.col("low") < F.col("high")))
+        if overfull.isEmpty():
+            return bucketed, cells
+        bucketed = _cut_again(bucketed, keys, overfull)
 
 
 def _place(counts: DataFrame, cell: Sequence[str], earlier: Column) -> DataFrame:
@@ -104,11 +137,9 @@ def rank_positions(
     """
     keys = ["variable", *by]
     bucketed = cut(counts, counts.count(), rows_per_bucket)
-    if bucketed is None:
-        sized = counts.withColumn("total", F.sum("n").over(Window.partitionBy(*keys)))
-        return _place(sized, keys, F.lit(0))
     cell = [*keys, "bucket"]
-    cells = _cells(bucketed, keys, F.col("n")).select(*cell, "earlier", "total")
+    bucketed, cells = _cells(bucketed, keys, F.col("n"), rows_per_bucket)
+    cells = cells.select(*cell, "earlier", "total")
     return _place(bucketed.join(cells, cell), cell, F.col("earlier")).drop("bucket", "earlier")
 
 
@@ -139,40 +170,25 @@ def quantiles(
     columns: Sequence[str],
     probabilities: Mapping[str, float],
     by: Iterable[str] = (),
-    rows_per_bucket: int | None = None,
+    rows_per_bucket: int = ROWS_PER_BUCKET,
 ) -> DataFrame:
     """Written table with one row per (variable, by): total, min, max and the named exact quantiles.
 
     Nothing but bucket sums is shuffled, until the buckets that hold a wanted position
     are known; only their values are counted and sorted. ``df`` is read once for the
-    sums and once for the values of those buckets. Up to ``DIRECT_ROWS`` values, which
-    a task can sort, are taken as one bucket unless ``rows_per_bucket`` is given.
+    sums and once for the values of those buckets.
     """
     keys = ["variable", *by]
     rows = long_form(df, columns, by)
-    size = df.count() * len(columns)
-    if rows_per_bucket is None:
-        rows_per_bucket = DIRECT_ROWS if size <= DIRECT_ROWS else ROWS_PER_BUCKET
     named = [_quantile(p).alias(name) for name, p in probabilities.items()]
-    bucketed = cut(rows, size, rows_per_bucket)
-    if bucketed is None:
-        counts = rows.groupBy(*keys, "value").agg(F.count(F.lit(1)).alias("n"))
-        sized = counts.withColumn("total", F.sum("n").over(Window.partitionBy(*keys)))
-        result = _place(sized, keys, F.lit(0)).groupBy(*keys).agg(
-            F.max("total").alias("total"), F.min("value").alias("min"), F.max("value").alias("max"), *named
-        )
-        return materialize(result, "quantiles")
     cell = [*keys, "bucket"]
-    cells = _cells(bucketed, keys, F.lit(1))
+    bucketed = cut(rows, df.count() * len(columns), rows_per_bucket)
+    bucketed, cells = _cells(bucketed, keys, F.lit(1), rows_per_bucket)
     inside = F.lit(False)
     for p in probabilities.values():
         for position in _targets(p)[:2]:
             inside |= (F.col("earlier") <= position) & (position < F.col("earlier") + F.col("size"))
     wanted = materialize(cells.where(inside).select(*cell, "earlier", "total"), "wanted-cells")
-    # A short list of bucket numbers, read up to a fixed length, spares most rows the join.
-    numbers = wanted.select("bucket").distinct().limit(INLINE_BUCKETS + 1).collect()
-    if len(numbers) <= INLINE_BUCKETS:
-        bucketed = bucketed.where(F.col("bucket").isin([row.bucket for row in numbers]))
     counts = (
         bucketed.join(wanted, cell)
         .groupBy(*cell, "earlier", "total", "value")

@@ -145,7 +145,7 @@ QUERIES = {
     "a01_shape": table_shape,
     "a02_distinct_counts": distinct,
     "a03_null_counts": missing,
-    "a04_describe": _described(None),
+    "a04_describe": _described(ranks.ROWS_PER_BUCKET),
     "a04_describe_bucketed": _described(5_000),
     "a05_column_info": info,
     "a06_distinct_values": flags,

@@ -77,9 +77,10 @@ def test_bucket_bounds_do_not_change_results(table):
     assert results[0] == results[1] == results[2]
 
 
-@pytest.mark.parametrize("inline", [0, 1_000])
-def test_quantiles_with_infinite_values_and_long_bucket_lists(spark, monkeypatch, inline):
-    monkeypatch.setattr(ranks, "INLINE_BUCKETS", inline)
+@pytest.mark.parametrize("sampled", [2, 1_000])
+def test_quantiles_with_infinite_values_and_buckets_cut_again(spark, monkeypatch, sampled):
+    monkeypatch.setattr(ranks, "SAMPLED_BOUNDS", sampled)
+    monkeypatch.setattr(ranks, "PARTS", 3)
     values = [math.inf, -math.inf] * 40 + [float(i) for i in range(301)]
     rows = spark.createDataFrame([(v,) for v in values], "x double")
     row = ranks.quantiles(rows, ["x"], {"m": 0.5, "q": 0.3}, rows_per_bucket=20).first()

@@ -88,8 +88,7 @@ def ingest_archives(spark: SparkSession, zipped: DataFrame, landing: str, ledger
     of its own members.
     """
     chosen = archives.choose_members(zipped, read_ledger(spark, ledger))
-    lines = archives.member_lines(zipped, chosen)
-    rows = rename_columns(archives.parse_lines(lines, delimited.PRICE_FEED)).drop("archive")
+    rows = rename_columns(archives.member_rows(zipped, chosen, delimited.PRICE_FEED)).drop("archive")
     rows = listing.add_ticker_period(rows, "member")
     files.write_partitioned(rows, landing, LANDED_KEYS, replace_all=False)
     added = chosen.select(F.explode("members").alias("member"))

@@ -52,8 +52,7 @@ def expand(spark, sf_dir):
 
 def member_rows(spark, sf_dir):
     zipped = feed_archives(spark, sf_dir)
-    lines = archives.member_lines(zipped, archives.choose_members(zipped))
-    rows = archives.parse_lines(lines, delimited.PRICE_FEED)
+    rows = archives.member_rows(zipped, archives.choose_members(zipped), delimited.PRICE_FEED)
     return show_bars(rename_columns(rows))
 
 

@@ -3,7 +3,7 @@
 Archives come as rows (path, content), the form Spark's ``binaryFile`` source
 gives. One row holds one compressed archive, so an archive must stay below
 ``spark.sql.sources.binaryFile.maxLength`` (2 GB at most). Members stay compressed
-until :func:`member_lines` reads them, as a stream in batches of lines.
+until :func:`member_rows` reads them, as a stream in batches.
 """
 
 from __future__ import annotations
@@ -12,16 +12,18 @@ import gzip
 import io
 import zipfile
 from collections.abc import Iterator
-from itertools import islice
 
 import pandas as pd
+import pyarrow as pa
+from pyarrow import csv
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 from feedstat.session import materialize
 
-LINES_PER_BATCH = 20_000
+#: Bytes of text decoded at a time; a line has to fit.
+BLOCK_BYTES = 4 << 20
 
 
 def read_archives(spark: SparkSession, path: str) -> DataFrame:
@@ -85,21 +87,6 @@ def new_members(members: DataFrame, ledger: DataFrame) -> DataFrame:
     return members.join(ledger.select("member").distinct(), "member", "left_anti")
 
 
-def _gzip_lines(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for batch in batches:
-        for path, name, content in zip(batch["archive"], batch["member"], batch["content"]):
-            with gzip.open(io.BytesIO(content), "rt", encoding="utf-8") as text:
-                header = next(text, None)
-                while lines := [line.rstrip("\r\n") for line in islice(text, LINES_PER_BATCH)]:
-                    yield _lines_frame(path, name, header, lines)
-
-
-def _lines_frame(path: str, name: str, header: str, lines: list[str]) -> pd.DataFrame:
-    return pd.DataFrame({
-        "archive": path, "member": name, "header": header.rstrip("\r\n"), "line": lines
-    })
-
-
 def choose_members(
     archives: DataFrame, ledger: DataFrame | None = None, suffix: str = ".csv.gz"
 ) -> DataFrame:
@@ -116,38 +103,35 @@ def choose_members(
     )
 
 
-def member_lines(archives: DataFrame, chosen: DataFrame) -> DataFrame:
-    """(archive, member, header, line) of the chosen gzip members.
-
-    Members are spread over the cluster while still compressed, so an archive that
-    holds much of the data is decoded by many tasks.
-    """
-    return (
-        expand_archives(archives, chosen)
-        .repartition("archive", "member")
-        .mapInPandas(_gzip_lines, "archive string, member string, header string, line string")
-    )
-
-
-def parse_lines(lines: DataFrame, schema: StructType, sep: str = ",", max_columns: int = 64) -> DataFrame:
-    """Typed cells of CSV lines, found by the names in each member's own header.
+def member_rows(archives: DataFrame, chosen: DataFrame, schema: StructType, sep: str = ",") -> DataFrame:
+    """(archive, member) and the typed columns of ``schema`` of the chosen gzip members.
 
-    Parsing stays in the JVM. A bad cell becomes null, and so does a column the
-    member lacks; a header of more than ``max_columns`` names fails the job.
+    Columns are found by the names in each member's own header. A bad cell becomes null,
+    and so do an empty one and a column the member lacks; quoted cells may hold line
+    breaks, blank lines are skipped, and a line with more or fewer cells than its header fails the
+    job. Members are spread over the cluster while still compressed, so an archive that
+    holds much of the data is decoded by many tasks, each in batches; types are given in
+    the JVM.
     """
-    layout = ", ".join(f"c{i} string" for i in range(max_columns))
-
-    def cells(column: str):
-        row = F.from_csv(column, layout, {"sep": sep, "quote": '"', "mode": "PERMISSIVE"})
-        return F.array(*[row[f"c{i}"] for i in range(max_columns)])
-
-    def cell(name: str, kind):
-        place = F.array_position("names", name).cast("int")
-        return F.when(place > 0, F.element_at("cells", place)).try_cast(kind).alias(name)
-
-    too_wide = F.raise_error(F.lit(f"header with more than {max_columns} columns"))
-    checked = F.when(F.size(F.split("header", "\\Q" + sep + "\\E")) <= max_columns, F.col("header"))
-    split = lines.select(
-        "archive", "member", F.coalesce(checked, too_wide.cast("string")).alias("header"), "line"
-    ).select("archive", "member", cells("header").alias("names"), cells("line").alias("cells"))
-    return split.select("archive", "member", *[cell(f.name, f.dataType) for f in schema.fields])
+    names = schema.names
+
+    def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        convert = csv.ConvertOptions(
+            column_types={name: pa.string() for name in names}, include_columns=names,
+            include_missing_columns=True, strings_can_be_null=True, null_values=[""],
+        )
+        parse = csv.ParseOptions(delimiter=sep, newlines_in_values=True, ignore_empty_lines=True)
+        read = csv.ReadOptions(use_threads=False, block_size=BLOCK_BYTES)
+        for batch in batches:
+            for path, name, content in zip(*(batch[c].to_pylist() for c in ("archive", "member", "content"))):
+                with gzip.open(io.BytesIO(content)) as text:
+                    if not text.peek(1):
+                        continue
+                    for rows in csv.open_csv(text, read, parse, convert):
+                        keys = [pa.array([key] * rows.num_rows, pa.string()) for key in (path, name)]
+                        yield pa.RecordBatch.from_arrays([*keys, *rows.columns], ["archive", "member", *names])
+
+    text = StructType([StructField(name, StringType()) for name in ("archive", "member", *names)])
+    cells = expand_archives(archives, chosen).repartition("archive", "member").mapInArrow(decode, text)
+    typed = [F.trim(F.col(f"`{f.name}`")).try_cast(f.dataType).alias(f.name) for f in schema.fields]
+    return cells.select("archive", "member", *typed)

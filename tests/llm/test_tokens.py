@@ -8,7 +8,6 @@ import zlib
 import numpy as np
 import public_tokenizers as P
 import pytest
-import regex
 import tiktoken
 from tokenizers import Tokenizer
 

@@ -3,10 +3,11 @@
 The lexicon is learned from labels: words, and stems with several endings, that stand in
 toxic texts more often than chance allows, each with the log-odds it shows. It is held as a
 trie. A Levenshtein automaton runs through the trie together with each distinct word of a
-batch; its states are made as words need them. Only strong terms may be misspelled, and words
-met in clean texts are never taken for a misspelling. The words around each hit tell
-quotation from abuse; a logistic function of the strongest and of all evidence, fitted on labelled rows
-that the lexicon was not learned from, is the score.
+batch; its states are made as words need them. Every term of four letters or more may be
+misspelled, and a misspelling counts the less the weaker its term is; words met in clean texts
+are never taken for a misspelling. The words around each hit tell quotation from abuse; a
+logistic function of the strongest and of all evidence, fitted on labelled rows that the
+lexicon was not learned from, is the score.
 """
 
 from __future__ import annotations
@@ -27,10 +28,13 @@ TRAIN_ROWS = 4000
 MAX_TERMS = 400
 STEM_LENGTHS = (4, 5, 6)
 CONTEXT = 4
-#: Evidence: least G statistic of a term, most log-odds of one, what makes a term strong, least of a stem.
-LEAST_G, MOST_ODDS, STRONG, LEAST_STEM = 24.0, 6.0, 5.5, 2.0
-#: Evidence of a misspelled term of six letters or more, of a shorter one; what a quotation leaves of it.
-NEAR_LONG_ODDS, NEAR_SHORT_ODDS, QUOTED_SHARE = 5.5, 5.0, 0.25
+#: Evidence: least G statistic of a term, most log-odds of one, least of a stem.
+LEAST_G, MOST_ODDS, LEAST_STEM = 24.0, 6.0, 2.0
+#: Evidence of a misspelled term of six letters or more, of a shorter one, if the term has ``MOST_ODDS``; it falls
+#: with this power of the term's odds, as weak terms lie near many ordinary words.
+NEAR_LONG_ODDS, NEAR_SHORT_ODDS, NEAR_POWER = 5.5, 5.0, 3
+#: What a quotation leaves of any evidence.
+QUOTED_SHARE = 0.25
 QUOTES = "\"“”„«»‹›‘’"
 #: Fixed words: they report or cite what others say.
 REPORTING = {"said", "says", "wrote", "quote", "quoted", "called", "term", "word", "sagte", "schrieb", "dit", "écrit", "dijo", "escribió"}
@@ -56,8 +60,7 @@ def plain(word: str) -> str:
 class LexiconAutomaton:
     """Words within the allowed edits of a term, or that start with a stem.
 
-    ``terms`` and ``stems`` give the log-odds of each; a term may be misspelled only if it is
-    strong. A state is a set of (trie node, edits left). ``match`` gives the evidence of a word.
+    ``terms`` and ``stems`` give the log-odds of each; terms may be misspelled, stems not. A state is a set of (trie node, edits left). ``match`` gives the evidence of a word.
     """
 
     def __init__(self, terms: dict[str, float], stems: dict[str, float]):
@@ -66,7 +69,7 @@ class LexiconAutomaton:
         start: dict[int, int] = {}
         for text, odds, stem in [(t, o, False) for t, o in terms.items()] + [(s, o, True) for s, o in stems.items()]:
             # terms with different allowances have tries of their own under one root each
-            allowed = edits_allowed(text) if odds >= STRONG and not stem else 0
+            allowed = 0 if stem else edits_allowed(text)
             if allowed not in start:
                 start[allowed] = self._node()
             node = start[allowed]
@@ -74,7 +77,8 @@ class LexiconAutomaton:
                 if letter not in self.children[node]:
                     self.children[node][letter] = self._node()
                 node = self.children[node][letter]
-            self.ends[node].append((odds, NEAR_LONG_ODDS if len(text) >= 6 else NEAR_SHORT_ODDS, stem))
+            near = (NEAR_LONG_ODDS if len(text) >= 6 else NEAR_SHORT_ODDS) * (odds / MOST_ODDS) ** NEAR_POWER
+            self.ends[node].append((odds, near, stem))
         self.allowed = {}
         for allowed, root in start.items():
             stack = [root]

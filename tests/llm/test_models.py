@@ -114,6 +114,26 @@ def test_automaton_equals_edit_distance():
         assert automaton.match(word)[0] == max(exact + near, default=0.0), word
 
 
+@pytest.mark.parametrize("scale, most", [("sf0.01", toxicity.TRAIN_ROWS), ("sf0.1", 60), ("sf0.1", toxicity.TRAIN_ROWS)])
+def test_misspelled_terms_are_found_at_any_label_count(spark, scale, most):
+    docs = spark.read.parquet(f"/root/testdata/{scale}/documents.parquet").select("doc_id", "text")
+    labels = spark.read.parquet(f"/root/testdata/{scale}/labels.parquet").select("doc_id", F.col("toxic").alias("label"))
+    held = quality_model.fold(F.col("doc_id"), 3) == 1
+    lexicon = toxicity.fit(docs, labels.where(~held), most)
+    rows = docs.join(labels.where(held & F.col("label").isNotNull()), "doc_id").collect()
+
+    def changed(word):
+        own = toxicity.plain(word)
+        return word.lower().replace(own, own[:2] + "x" + own[3:]) if own in lexicon.terms and len(own) >= 4 else word
+
+    def found(label, change):
+        texts = [r.text or "" for r in rows if r.label == label]
+        return (lexicon.scores([" ".join(map(change, t.split(" "))) for t in texts]) >= 0.7).mean()
+
+    assert found(1, str) >= 0.7 and found(0, str) <= 0.05
+    assert found(1, changed) >= 0.9 * found(1, str)
+
+
 def test_context_tells_quotation_from_abuse():
     lexicon = toxicity.Lexicon({"scoundrel": 6.0}, {}, frozenset(), (6.0, 0.0), -4.0)
     plain, misspelled, quoted, reported, none = lexicon.scores(

@@ -10,7 +10,10 @@ from pyspark.sql import DataFrame, functions as F
 
 from feedstat.session import materialize
 
-RATIO = 0.1
+#: Share of a host's pages: on sf0.1 the shared license line has 8.6 to 13.2 % in each source, no other line over
+#: 4.8 %; on check_h lines of near copies reach 6.3 %, the rarer of the two shared lines has 9.0 to 11.4 %.
+RATIO = 0.07
+#: Under so many pages a line that repeats may as well come from copied pages; hosts with fewer pages lose nothing.
 MIN_PAGES = 5
 WORD = r"[^\x20\x09-\x0D]"
 

@@ -68,6 +68,18 @@ def test_names_are_of_contents_not_of_hashes(spark):
     assert len(name) == 7 and name[0] == name[2] and len(set(name.values())) == 6
 
 
+def test_lines_on_about_a_tenth_of_the_pages_of_each_source(spark):
+    rows = [
+        (1000 * share + k, f"source {share}", f"own {share} {k}" + ("\nall rights" if k < share else "") + ("\nrare" if k >= 96 else ""))
+        for share in range(8, 13) for k in range(100)
+    ]
+    docs = spark.createDataFrame(rows, "doc_id long, source string, text string")
+    got = line_dedup.drop_boilerplate(docs).where("n_dropped > 0").groupBy("source").count().collect()
+    assert {(r.source, r["count"]) for r in got} == {(f"source {share}", share) for share in range(8, 13)}
+    kept = line_dedup.drop_boilerplate(docs)
+    assert kept.where("kept_text LIKE '%all rights%'").count() == 0 and kept.where("kept_text LIKE '%rare%'").count() == 20
+
+
 def test_lines_of_odd_rows(spark):
     pages = [(k, f"menu\nown line {k}\n\n menu") for k in range(8)] + [(8, None), (9, ""), (None, "menu"), (9, "")]
     result = line_dedup.drop_boilerplate(frame(spark, pages), ratio=0.3, min_pages=3)

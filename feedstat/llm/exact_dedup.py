@@ -45,20 +45,26 @@ def name_keys(rows: DataFrame, keys: list[str], label: str) -> DataFrame:
     return rows.join(named, condition).drop(*keys, *[f"_{key}" for key in keys])
 
 
+def text_blocks(texts: DataFrame, block_chars: int = BLOCK_CHARS) -> DataFrame:
+    """``row``, ``n``, ``place`` and ``block``: the blocks of each text, ``n`` of them, one at least.
+
+    A text is cut in one pass, and rows of blocks carry their block only: a very long text costs in proportion.
+    """
+    count = F.greatest(F.lit(1), F.ceil(F.length("text") / F.lit(block_chars)).cast("int"))
+    cut = F.regexp_extract_all("text", F.lit(f"(?s).{{1,{block_chars}}}"), F.lit(0))
+    cut = F.when(F.length("text") == 0, F.array(F.lit(""))).otherwise(cut)
+    # the count goes along inside the array: as a column of its own it would be taken from the text again, block by block
+    sized = F.zip_with(cut, F.array_repeat(count, count), lambda block, n: F.struct(n.alias("n"), block.alias("block")))
+    return texts.select("row", F.posexplode(sized).alias("place", "own")).select("row", "own.n", "place", "own.block")
+
+
 def name_texts(texts: DataFrame, block_chars: int = BLOCK_CHARS) -> DataFrame:
     """``row``, ``level`` and ``name`` of each row of ``texts`` (``row`` long, ``text`` string).
 
     A text of n blocks gets a name of level ceil(log2(n)). The number of levels is the only
     value the driver reads.
     """
-    count = F.greatest(F.lit(1), F.ceil(F.length("text") / F.lit(block_chars)).cast("int"))
-    blocks = texts.select(
-        "row", count.alias("n"), "text",
-        F.explode(F.sequence(F.lit(0), count - 1)).alias("place"),
-    ).select(
-        "row", "n", "place",
-        F.substring(F.col("text"), F.col("place") * block_chars + 1, F.lit(block_chars)).alias("block"),
-    )
+    blocks = text_blocks(texts, block_chars)
     parts = materialize(name_keys(blocks, ["block"], "block"), "block-parts")
     longest = parts.agg(F.max("n")).first()[0] or 1
     finished = [parts.where("n = 1").select("row", F.lit(0).alias("level"), "name")]

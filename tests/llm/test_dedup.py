@@ -68,6 +68,17 @@ def test_names_are_of_contents_not_of_hashes(spark):
     assert len(name) == 7 and name[0] == name[2] and len(set(name.values())) == 6
 
 
+def test_blocks_are_cut_once_and_carry_no_text(spark):
+    texts = ["", "é" * 9000, "a😀" * 9000, "😀\n\r\u2028x" * 3000, "ab" * 2048, "y" * 4097]
+    frame = spark.createDataFrame(list(enumerate(texts)), "row long, text string")
+    blocks = exact_dedup.text_blocks(frame)
+    got = {(r.row, r.n, r.place): r.block for r in blocks.collect()}
+    cuts = {k: [t[i : i + 4096] for i in range(0, len(t), 4096)] or [""] for k, t in enumerate(texts)}
+    assert got == {(k, len(own), i): block for k, own in cuts.items() for i, block in enumerate(own)}
+    kept = re.findall(r"Generate \w*explode\(.*\), \[([^\]]*)\]", blocks._jdf.queryExecution().executedPlan().toString())
+    assert kept and not any("text#" in own for own in kept)
+
+
 def test_lines_on_about_a_tenth_of_the_pages_of_each_source(spark):
     rows = [
         (1000 * share + k, f"source {share}", f"own {share} {k}" + ("\nall rights" if k < share else "") + ("\nrare" if k >= 96 else ""))

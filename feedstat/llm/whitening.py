@@ -198,12 +198,15 @@ def whiten(
 
     Components c of a vector become the long ``floor(scale * c) + shift``. Rows whose vector
     is null or holds null or non-finite entries are dropped. Entries that a shorter vector
-    lacks count as x = 0. Repeated rows, equal vectors and null ids stay rows of their own. Fewer components come where the
-    covariance has a smaller rank: equal vectors, or a single one, have none and give no
-    rows; neither does an empty table. Other columns are not read.
+    lacks count as c = 0. Repeated rows, equal vectors and null ids stay rows of their own.
+    Fewer components come where the covariance has a smaller rank: equal vectors, or a single
+    one, have none and give no rows; neither does an empty table. Other columns are not read.
     """
     cells = F.transform("vector", lambda c: F.floor(c * scale).cast("long") + F.lit(shift).cast("long"))
     vectors = materialize(finite_vectors(rows, id_col, vec_col).select("id", cells.alias("x")), "whiten-vectors")
+    width = vectors.agg(F.max(F.size("x"))).first()[0] or 0
+    lacking = F.array_repeat(F.lit(shift).cast("long"), F.lit(width) - F.size("x"))
+    vectors = vectors.withColumn("x", F.concat("x", lacking))
     found = fit(vectors, most)
     if found is None:
         found = Whitening(0, np.zeros(0, np.int64), 0.0, np.zeros(0), np.zeros((0, 0)))

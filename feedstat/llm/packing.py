@@ -20,16 +20,22 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window, functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
-from feedstat.llm.arrays import TASK_BYTES, starts_of, text_batches
-from feedstat.llm.bpe import encode_texts
+from feedstat.llm.arrays import gather, starts_of, text_batches
 from feedstat.session import materialize
 
 CAPACITY = 1024
 END_ID = 2
+#: Bytes of text encoded at a time, units a task remembers, and units encoded in one string.
+BATCH_BYTES, STORE_UNITS, JOINED_UNITS = 4 << 20, 1 << 20, 4096
+#: Unicode's white space; a space with white space on both sides, or at the end, does not start a unit.
+WHITE = r"\s\x0b\x1c-\x1f\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
+SPACE_RUNS = rf"[{WHITE}] (?:[{WHITE}]|\z)"
+PLAIN_UNIT = rf"(?s)\A [^{WHITE}](?:.*[^{WHITE}])?\z"
 
 
 def reduce_by_dominance(counts: list[int], capacity: int) -> list[tuple[tuple[int, ...], int]]:
@@ -182,37 +188,120 @@ def tokenizer_of(path: str):
     return tokenizer
 
 
-def encode_units(path: str, units: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    encoded = [own.ids for own in tokenizer_of(path).encode_batch_fast(units, add_special_tokens=False)]
-    lengths = np.fromiter(map(len, encoded), np.int64, len(encoded))
-    flat = np.fromiter((x for own in encoded for x in own), np.int64, int(lengths.sum()))
-    return flat, starts_of(lengths)
+class UnitStore:
+    """Ids of the units of text that a task has met, each encoded once.
+
+    A unit is a space and what follows up to the next space: the tokenizer's own split never
+    crosses its start, so units with no white space behind that space or at their end can be
+    encoded in one string, and the ids are dealt back by the bytes that each stands for. When more than ``most`` units
+    are held, all are forgotten.
+    """
+
+    def __init__(self, path: str, most: int = STORE_UNITS):
+        self.tokenizer, self.most = tokenizer_of(path), most
+        vocabulary = self.tokenizer.get_vocab(with_added_tokens=False)
+        self.token_bytes = np.zeros(max(vocabulary.values()) + 1, np.int64)
+        for token, number in vocabulary.items():
+            self.token_bytes[number] = len(token)  # a byte-level token has one character per byte
+        self.forget()
+
+    def forget(self) -> None:
+        self.units = pa.array([], pa.string())
+        self.ids, self.starts = np.zeros(0, np.int32), np.zeros(1, np.int64)
+
+    def one_by_one(self, units: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        encoded = [own.ids for own in self.tokenizer.encode_batch_fast(units.to_pylist(), add_special_tokens=False)]
+        lengths = np.fromiter(map(len, encoded), np.int64, len(encoded))
+        return np.fromiter((x for own in encoded for x in own), np.int32, int(lengths.sum())), lengths
+
+    def together(self, units: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of units with no white space behind their space or at their end, and how many each has."""
+        ids, counts = [], []
+        for start in range(0, len(units), JOINED_UNITS):
+            own = units.slice(start, JOINED_UNITS)
+            joined = "".join(own.to_pylist())
+            found = np.array(self.tokenizer.encode_batch_fast([joined], add_special_tokens=False)[0].ids, np.int32)
+            ends = np.cumsum(self.token_bytes[found])
+            wanted = np.cumsum(pc.binary_length(own).to_numpy(), dtype=np.int64)
+            stops = np.searchsorted(ends, wanted)
+            if len(found) and stops[-1] < len(ends) and (ends[stops] == wanted).all() and stops[-1] == len(ends) - 1:
+                own_counts = np.diff(stops, prepend=-1)
+            else:
+                found, own_counts = self.one_by_one(own)
+            ids.append(found)
+            counts.append(own_counts)
+        return (np.concatenate(ids), np.concatenate(counts)) if ids else (np.zeros(0, np.int32), np.zeros(0, np.int64))
+
+    def places(self, units: pa.Array) -> np.ndarray:
+        """Where each of the distinct ``units`` stands in the store; new ones are encoded."""
+        if len(self.units) > self.most:
+            self.forget()
+        place = pc.fill_null(pc.index_in(units, self.units), -1).to_numpy().copy()
+        new = np.flatnonzero(place < 0)
+        alone = pc.match_substring_regex(units.take(pa.array(new)), PLAIN_UNIT).to_numpy(zero_copy_only=False)
+        for rows, encode in ((new[alone], self.together), (new[~alone], self.one_by_one)):
+            own = units.take(pa.array(rows))
+            ids, counts = encode(own)
+            place[rows] = len(self.units) + np.arange(len(rows))
+            self.units = pa.concat_arrays([self.units, own])
+            self.ids = np.concatenate([self.ids, ids])
+            self.starts = np.concatenate([self.starts, self.starts[-1] + np.cumsum(counts, dtype=np.int64)])
+        return place
+
+    def encode(self, texts: pa.Array, matcher) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts, joined, and where each text's ids start."""
+        runs = pc.match_substring_regex(texts, SPACE_RUNS)
+        pieces = pc.split_pattern(pc.if_else(runs, "", texts), " ")
+        counts = pc.list_value_length(pieces).to_numpy().astype(np.int64)
+        flat = pieces.flatten()
+        starts = starts_of(counts)[:-1]
+        # the first piece of a text has no space before it
+        first = np.zeros(len(flat), bool)
+        first[starts] = True
+        units = pc.if_else(pa.array(first), flat, pc.binary_join_element_wise("", flat, " "))
+        if pc.any(runs).as_py():
+            own = [matcher.findall(text) for text in texts.filter(runs).to_pylist()]
+            where = np.flatnonzero(runs.to_numpy(zero_copy_only=False))
+            counts[where] = [len(matches) for matches in own]
+            keep = np.ones(len(flat), bool)
+            keep[starts[where]] = False  # the empty stand-in of such a text
+            units = units.filter(pa.array(keep))
+            more = pa.array([match for matches in own for match in matches], units.type)
+            order = np.argsort(np.concatenate([
+                np.repeat(np.delete(np.arange(len(texts)), where), np.delete(counts, where)), np.repeat(where, counts[where])
+            ]), kind="stable")
+            units = pa.concat_arrays([units, more]).take(pa.array(order))
+        known = units.dictionary_encode()
+        place = self.places(known.dictionary)[known.indices.to_numpy()]
+        out, lengths = gather(self.ids, self.starts, place)
+        return out, starts_of(lengths)[starts_of(counts)]
 
 
 def tokenize_pieces(
     docs: DataFrame, tokenizer_path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text",
-    capacity: int = CAPACITY, end_id: int = END_ID, batch_bytes: int = TASK_BYTES,
+    capacity: int = CAPACITY, end_id: int = END_ID, batch_bytes: int = BATCH_BYTES,
 ) -> DataFrame:
     """A row per piece: ``doc_id``, ``piece``, ``start``, ``length``, ``ids_crc32``, ``block``, ``place``.
 
     A document is the tokenizer's ids of its whole text and then ``end_id``; a null text is
-    empty. ``pattern`` is the tokenizer's own split, which tells where a text can be cut: each
-    distinct unit of a batch is encoded once.
+    empty. ``pattern`` is the tokenizer's own split, which tells where a text can be cut: a task
+    encodes each distinct unit once, as long as its store of units has room. A text is one
+    row: a very long one is encoded whole, at about 30 bytes of memory a byte.
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import regex
 
-        matcher, block = regex.compile(pattern), TaskContext.get().partitionId()
+        matcher, block, store = regex.compile(pattern), TaskContext.get().partitionId(), UnitStore(tokenizer_path)
         seen = np.zeros(capacity + 1, np.int64)
         for table in text_batches(batches, text_col, batch_bytes):
-            texts = [text or "" for text in table[text_col].to_pylist()]
-            ids, starts = encode_texts(texts, matcher, lambda units: encode_units(tokenizer_path, units))
+            texts = pc.fill_null(table[text_col].combine_chunks(), "")
+            ids, starts = store.encode(texts, matcher)
             # the end id goes behind each document
-            own = np.insert(ids, starts[1:], end_id).astype("<u4")
+            own = np.insert(ids, starts[1:], end_id).astype("<u4", copy=False)
             starts = starts + np.arange(len(starts))
             doc, number, start, length = cut_pieces(np.diff(starts), capacity)
             begin = starts[:-1][doc] + start
-            data = memoryview(own.tobytes())
+            data = memoryview(own).cast("B")
             crc = np.fromiter(
                 (zlib.crc32(data[4 * a : 4 * b]) for a, b in zip(begin.tolist(), (begin + length).tolist())),
                 np.int64, len(begin),

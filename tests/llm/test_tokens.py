@@ -151,3 +151,21 @@ def test_reduction_never_needs_more_sequences():
         fixed = packing.reduce_by_dominance(counts, 12)
         rest = [x for x, n in enumerate(counts) for _ in range(n)]
         assert sum(n for _, n in fixed) + (best(rest, 12) if rest else 0) == best(lengths, 12)
+
+
+def test_units_join_and_come_apart():
+    """Random white space of all kinds, units that share a string, and a store that forgets."""
+    import pyarrow as pa
+    import regex
+
+    own = random.Random(7)
+    parts = [" ", " ", " ", "\n", "\t", "\x1c", "\x85", " ", " ", "a", "bc", "'s", "é", "🎉", "1", ".", "ab.\ncd", "<|endoftext|>", "̀"]
+    texts = ["".join(own.choice(parts) for _ in range(own.randrange(30))) for _ in range(3000)] + [t or "" for t in TEXTS]
+    tokenizer = Tokenizer.from_file(P.path("byte_bpe_50k.json"))
+    tokenizer.encode_special_tokens = True
+    store, matcher = packing.UnitStore(P.path("byte_bpe_50k.json"), most=300), regex.compile(P.PATTERN)
+    for start in range(0, len(texts), 200):
+        some = texts[start : start + 200]
+        ids, starts = store.encode(pa.array(some), matcher)
+        got = [ids[a:b].tolist() for a, b in zip(starts, starts[1:])]
+        assert got == [tokenizer.encode(text, add_special_tokens=False).ids for text in some]

@@ -5,8 +5,9 @@ gives each an integer name; then adjacent names are paired and the distinct pair
 the same way, until every text has one name. Two texts have the same name of the same level
 exactly when they are equal: names are given to contents, never to hashes.
 
-A 64-bit hash decides only which texts are named at all: a text whose hash no other text
-has cannot equal another one, so it is the only member of its group.
+Every text is named. A block is shuffled once, to be sorted among the distinct blocks. A
+128-bit key carries its name back to the texts; each key is checked to stand for one block
+only, and if one ever stood for two, all blocks would get keys of another seed.
 """
 
 from __future__ import annotations
@@ -25,7 +26,7 @@ def normalised(text) -> F.Column:
 
 
 def name_keys(rows: DataFrame, keys: list[str], label: str) -> DataFrame:
-    """Replaces ``keys`` by ``name``: the integer that stands for their values.
+    """Replaces ``keys`` by ``name``: the integer that stands for their values, nulls too.
 
     The distinct keys are dealt out by hash, sorted in each partition and numbered in that order.
 
@@ -45,27 +46,54 @@ def name_keys(rows: DataFrame, keys: list[str], label: str) -> DataFrame:
     return rows.join(named, condition).drop(*keys, *[f"_{key}" for key in keys])
 
 
+def cut(text: F.Column, block_chars: int) -> F.Column:
+    """The blocks of a text in order, one at least."""
+    parts = F.regexp_extract_all(text, F.lit(f"(?s).{{1,{block_chars}}}"), F.lit(0))
+    return F.when(F.length(text) == 0, F.array(F.lit(""))).otherwise(parts)
+
+
 def text_blocks(texts: DataFrame, block_chars: int = BLOCK_CHARS) -> DataFrame:
     """``row``, ``n``, ``place`` and ``block``: the blocks of each text, ``n`` of them, one at least.
 
     A text is cut in one pass, and rows of blocks carry their block only: a very long text costs in proportion.
     """
     count = F.greatest(F.lit(1), F.ceil(F.length("text") / F.lit(block_chars)).cast("int"))
-    cut = F.regexp_extract_all("text", F.lit(f"(?s).{{1,{block_chars}}}"), F.lit(0))
-    cut = F.when(F.length("text") == 0, F.array(F.lit(""))).otherwise(cut)
     # the count goes along inside the array: as a column of its own it would be taken from the text again, block by block
-    sized = F.zip_with(cut, F.array_repeat(count, count), lambda block, n: F.struct(n.alias("n"), block.alias("block")))
+    sized = F.zip_with(
+        cut(F.col("text"), block_chars), F.array_repeat(count, count), lambda block, n: F.struct(n.alias("n"), block.alias("block"))
+    )
     return texts.select("row", F.posexplode(sized).alias("place", "own")).select("row", "own.n", "place", "own.block")
 
 
+def block_key(block: F.Column, seed: int) -> F.Column:
+    return F.struct(F.xxhash64(F.lit(seed), block).alias("a"), F.xxhash64(block, F.lit(seed)).alias("b"))
+
+
+def block_names(texts: DataFrame, seed: int, block_chars: int = BLOCK_CHARS) -> DataFrame | None:
+    """``a``, ``b`` and ``name`` of each distinct block of ``text``; None if a key stands for two blocks."""
+    distinct = text_blocks(texts, block_chars).select(block_key(F.col("block"), seed).alias("key"), "block").distinct()
+    names = materialize(
+        distinct.sortWithinPartitions("block").select("key.a", "key.b", F.monotonically_increasing_id().alias("name")),
+        "block-names",
+    )
+    clash = names.groupBy("a", "b").agg(F.count("*").alias("n")).where("n > 1")
+    return None if clash.head(1) else names
+
+
 def name_texts(texts: DataFrame, block_chars: int = BLOCK_CHARS) -> DataFrame:
-    """``row``, ``level`` and ``name`` of each row of ``texts`` (``row`` long, ``text`` string).
+    """``row``, ``level`` and ``name`` of each row of ``texts`` (``row``, ``text``), with its other columns.
 
     A text of n blocks gets a name of level ceil(log2(n)). The number of levels is the only
-    value the driver reads.
+    value the driver reads. Rows are numbered where they are written, so ``row`` may be computed.
     """
-    blocks = text_blocks(texts, block_chars)
-    parts = materialize(name_keys(blocks, ["block"], "block"), "block-parts")
+    seed = 0
+    while (names := block_names(texts, seed, block_chars)) is None:
+        seed += 1
+    keys = F.transform(cut(F.col("text"), block_chars), lambda block: block_key(block, seed))
+    keyed = materialize(texts.withColumn("keys", keys).drop("text"), "keyed-texts")
+    parts = keyed.select("row", F.size("keys").alias("n"), F.posexplode("keys").alias("place", "key"))
+    parts = parts.select("row", "n", "place", "key.a", "key.b").join(names, ["a", "b"]).select("row", "n", "place", "name")
+    parts = materialize(parts, "block-parts")
     longest = parts.agg(F.max("n")).first()[0] or 1
     finished = [parts.where("n = 1").select("row", F.lit(0).alias("level"), "name")]
     level = 0
@@ -86,7 +114,7 @@ def name_texts(texts: DataFrame, block_chars: int = BLOCK_CHARS) -> DataFrame:
     result = finished[0]
     for more in finished[1:]:
         result = result.unionByName(more)
-    return result
+    return keyed.drop("keys").join(result, "row")
 
 
 def exact_groups(
@@ -100,27 +128,10 @@ def exact_groups(
     An empty table gives an empty result.
     """
     clean = docs.select(F.col(id_col).alias("doc_id"), normalised(F.col(text_col)).alias("text"))
-    clean = clean.withColumn("mark", F.xxhash64("text"))
-    rows = materialize(
-        clean.select("doc_id", "mark", F.sha2("text", 256).alias("text_sha256")), "exact-rows"
-    )
-    shared = materialize(
-        rows.groupBy("mark").agg(F.count("*").alias("n")).where("n > 1").select("mark"), "exact-shared"
-    )
-    alone = rows.join(shared, "mark", "left_anti").select(
-        "doc_id", F.col("doc_id").alias("keep_id"), F.lit(1).cast("long").alias("group_size"),
-        F.lit(True).alias("kept"), "text_sha256",
-    )
-    texts = materialize(
-        clean.join(shared, "mark", "left_semi")
-        .select(F.monotonically_increasing_id().alias("row"), "doc_id", "text"),
-        "exact-texts",
-    )
-    named = materialize(
-        texts.select("row", "doc_id", F.sha2("text", 256).alias("text_sha256"))
-        .join(name_texts(texts.select("row", "text"), block_chars), "row"),
-        "exact-named",
+    texts = clean.select(
+        F.monotonically_increasing_id().alias("row"), "doc_id", "text", F.sha2("text", 256).alias("text_sha256")
     )
+    named = materialize(name_texts(texts, block_chars), "exact-named")
     groups = named.groupBy("level", "name").agg(
         F.min("doc_id").alias("keep_id"), F.count("*").alias("group_size"),
     )
@@ -131,10 +142,9 @@ def exact_groups(
         .groupBy("level", "name").agg(F.min("row").alias("first")),
         "exact-first",
     )
-    members = joined.join(first, ["level", "name"]).select(
+    result = joined.join(first, ["level", "name"]).select(
         "doc_id", "keep_id", "group_size", (F.col("row") == F.col("first")).alias("kept"), "text_sha256"
     )
-    result = alone.unionByName(members)
     return result.withColumnRenamed("doc_id", id_col) if id_col != "doc_id" else result
 
 

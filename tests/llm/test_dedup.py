@@ -7,6 +7,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from feedstat.llm import exact_dedup, line_dedup, ngram_join, passages, substring_dedup, suffix_dedup
 from feedstat.llm.arrays import anchors, window_hashes, window_minima
@@ -68,6 +69,19 @@ def test_names_are_of_contents_not_of_hashes(spark):
     assert len(name) == 7 and name[0] == name[2] and len(set(name.values())) == 6
 
 
+def test_a_key_of_two_blocks_gives_all_new_keys(spark, monkeypatch):
+    """Keys of the first seeds stand for many blocks; the names still tell all contents apart."""
+    own_key = exact_dedup.block_key
+
+    def poor_key(block, seed):
+        key = own_key(block, seed)
+        return key if seed == 2 else F.struct((key["a"] % (2 + seed)).alias("a"), F.lit(0).cast("long").alias("b"))
+
+    monkeypatch.setattr(exact_dedup, "block_key", poor_key)
+    result = exact_dedup.exact_groups(frame(spark, ODD), block_chars=50)
+    assert Counter(map(tuple, result.collect())) == exact_expected(ODD)
+
+
 def test_blocks_are_cut_once_and_carry_no_text(spark):
     texts = ["", "é" * 9000, "a😀" * 9000, "😀\n\r\u2028x" * 3000, "ab" * 2048, "y" * 4097]
     frame = spark.createDataFrame(list(enumerate(texts)), "row long, text string")

@@ -31,8 +31,8 @@ RECALL = 0.9995
 POSITIONS = 64
 #: Members a bucket may have to be compared at once, and the most levels of splitting.
 BUCKET, LEVELS = 512, 3
-#: Pairs whose signatures agree less than this are not compared: 5 standard deviations under the threshold.
-SIGNATURE_FLOOR = 0.55
+#: Pairs whose signatures agree in fewer positions are not compared: so many standard deviations under the threshold.
+FLOOR_DEVIATIONS = 5
 BATCH_BYTES = 4 << 20
 SPACE = np.zeros(256, bool)
 SPACE[[9, 10, 11, 12, 13, 32]] = True
@@ -99,7 +99,7 @@ def runs_needed(threshold: float, recall: float, levels: int) -> int:
 
     Signatures agree in fewer positions than the similarity by chance; two standard deviations are allowed for.
     """
-    more = 1 / threshold - 1
+    more = min(1.0, 1 / threshold - 1)
     agree = threshold - 2 * math.sqrt(threshold * (1 - threshold) / POSITIONS)
     chance = 1.0
     for _ in range(levels):
@@ -107,6 +107,11 @@ def runs_needed(threshold: float, recall: float, levels: int) -> int:
     return math.ceil(math.log(1 - recall) / math.log(1 - chance))
 
 
+def signature_floor(threshold: float) -> float:
+    """The share of positions in which the signatures of a pair to be compared agree at least."""
+    return threshold - FLOOR_DEVIATIONS * math.sqrt(threshold * (1 - threshold) / POSITIONS)
+
+
 def with_sets(docs: DataFrame, width: int) -> DataFrame:
     """``docs`` (``doc_id``, ``mark``, ``text``) as ``doc_id``, ``mark``, ``key_a``, ``key_b``, ``size``, ``signature``."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -202,8 +207,8 @@ def _tasks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
         yield pa.concat_tables(held)
 
 
-def candidate_pairs(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
-    """Pairs of a task's rows that belong to its bucket and whose signatures agree enough."""
+def candidate_pairs(table: pa.Table, floor: float) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs of a task's rows that belong to its bucket and whose signatures agree in a share of ``floor`` or more."""
     side, rep = table["side"].to_numpy(), table["rep"].to_numpy()
     if (side == 0).all():
         left, right = np.triu_indices(len(side), 1)
@@ -226,7 +231,7 @@ def candidate_pairs(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
         agree = np.zeros(len(a), np.int32)
         for position in range(POSITIONS):
             agree += own[a, position] == own[b, position]
-        keep = np.flatnonzero((agree >= SIGNATURE_FLOOR * POSITIONS) & (rep[a] != rep[b]))
+        keep = np.flatnonzero((agree >= floor * POSITIONS) & (rep[a] != rep[b]))
         if len(keep):
             earlier = np.zeros(len(keep), bool)  # a bucket with a smaller name holds both
             for name in range(most):
@@ -238,13 +243,15 @@ def candidate_pairs(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
     return left[chosen], right[chosen]
 
 
-def needed_members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def needed_members(floor: float):
     """The members of each task that are in a candidate pair."""
-    for table in _tasks(batches):
-        left, right = candidate_pairs(table)
-        if len(left):
-            rows = pa.array(np.unique(np.concatenate((left, right))))
-            yield from table.take(rows).combine_chunks().to_batches()
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table in _tasks(batches):
+            left, right = candidate_pairs(table, floor)
+            if len(left):
+                rows = pa.array(np.unique(np.concatenate((left, right))))
+                yield from table.take(rows).combine_chunks().to_batches()
+    return run
 
 
 def intersections(sets: list[np.ndarray], left: np.ndarray, right: np.ndarray) -> np.ndarray:
@@ -267,10 +274,12 @@ def intersections(sets: list[np.ndarray], left: np.ndarray, right: np.ndarray) -
 
 def compare(threshold: float):
     """Links of each task: ``rep``, ``links`` (linked documents) and ``root`` (the least member connected here)."""
+    floor = signature_floor(threshold)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in _tasks(batches):
             table = table.take(pa.array(np.unique(table["rep"].to_numpy(), return_index=True)[1]))
-            left, right = candidate_pairs(table)
+            left, right = candidate_pairs(table, floor)
             if not len(left):
                 continue
             sets = [np.frombuffer(own, np.uint64) for own in table["grams"].to_pylist()]
@@ -361,7 +370,7 @@ def classes(
     members = in_blocks(buckets, bucket).join(known.drop("row"), "rep")
     members = members.select("bucket", "task", "side", "rep", "copies", "signature", "paths")
     dealt = members.repartition("bucket", "task").sortWithinPartitions("bucket", "task")
-    needed = materialize(dealt.mapInArrow(needed_members, members.schema), "needed-members")
+    needed = materialize(dealt.mapInArrow(needed_members(signature_floor(threshold)), members.schema), "needed-members")
 
     wanted = needed.select("rep").distinct().join(known.select("rep", "row"), "rep")
     wanted = materialize(wanted.select("rep", "row.doc_id", "row.mark"), "wanted-sets")
@@ -411,9 +420,12 @@ def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """
     found = classes(docs, id_col, text_col, **options)
     kept = found.where(F.col("doc_id").eqNullSafe(F.col("class_id")))
-    kept = materialize(kept.select(F.col("doc_id").alias("_id"), F.col("mark").alias("_mark")).distinct(), "kept-rows")
-    same = F.col(id_col).eqNullSafe(F.col("_id")) & F.xxhash64(text_col).eqNullSafe(F.col("_mark"))
-    return docs.join(kept, same, "left_semi").dropDuplicates([id_col, text_col])
+    kept = materialize(kept.select("doc_id", "mark").distinct(), "kept-rows")
+    # the columns go along in one, so that none of their names meets those of the join
+    rows = docs.select(F.struct(*docs.columns).alias("row"), F.col(id_col).alias("id"), F.xxhash64(text_col).alias("text_mark"))
+    same = F.col("id").eqNullSafe(F.col("doc_id")) & F.col("text_mark").eqNullSafe(F.col("mark"))
+    rows = rows.join(kept, same, "left_semi").dropDuplicates(["id", "text_mark"])
+    return rows.select(*[F.col("row").getField(name).alias(name) for name in docs.columns])
 
 
 def op2_ngram_join(spark, sf_dir: str) -> DataFrame:

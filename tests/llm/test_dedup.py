@@ -264,3 +264,25 @@ def test_anchors_of_equal_windows_are_equal():
     assert (window_minima(values, 7) == [values[i : i + 7].min() for i in range(294)]).all()
     hashes = window_hashes(np.tile(values[:20], 2), 13)
     assert (hashes[:8] == hashes[20:]).all() and len(set(hashes[:20].tolist())) == 20
+
+
+@pytest.mark.parametrize("threshold", [0.5, 0.6, 0.8])
+def test_near_pairs_at_other_thresholds(spark, threshold):
+    """Pairs just over the threshold and under it, each of its own words."""
+    rng = random.Random(int(threshold * 10))
+    rows = []
+    for k in range(300):
+        base = [f"{k}w{i}" for i in range(120)]
+        other = list(base)
+        for _ in range(rng.randrange(0, 22)):
+            other[rng.randrange(len(other))] = f"{k}x{rng.random()}"
+        rows += [(2 * k, " ".join(base)), (2 * k + 1, " ".join(other))]
+    expected = {}
+    for k in range(300):
+        sets = [{tuple(words[i : i + 5]) for i in range(len(words) - 4)} for words in (rows[2 * k][1].split(), rows[2 * k + 1][1].split())]
+        near = len(sets[0] & sets[1]) >= threshold * len(sets[0] | sets[1])
+        expected |= {2 * k: near, 2 * k + 1: near}
+    got = {r.doc_id: r.n_links == 1 for r in ngram_join.near_duplicates(frame(spark, rows), threshold=threshold).collect()}
+    assert sum(expected.values()) > 80 and got.keys() == expected.keys()
+    assert not any(got[k] for k in got if not expected[k])
+    assert sum(got[k] for k in got if expected[k]) >= 0.999 * sum(expected.values())

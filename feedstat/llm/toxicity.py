@@ -13,7 +13,7 @@ lexicon was not learned from, is the score.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
@@ -31,8 +31,8 @@ CONTEXT = 4
 #: Evidence: least G statistic of a term, most log-odds of one, least of a stem.
 LEAST_G, MOST_ODDS, LEAST_STEM = 24.0, 6.0, 2.0
 #: Evidence of a misspelled term of six letters or more, of a shorter one, if the term has ``MOST_ODDS``; it falls
-#: with this power of the term's odds, as weak terms lie near many ordinary words.
-NEAR_LONG_ODDS, NEAR_SHORT_ODDS, NEAR_POWER = 5.5, 5.0, 3
+#: with a power of the term's odds, as weak terms lie near many ordinary words. Each fit picks one of these powers.
+NEAR_LONG_ODDS, NEAR_SHORT_ODDS, NEAR_POWERS = 5.5, 5.0, (1, 2, 3, 5)
 #: What a quotation leaves of any evidence.
 QUOTED_SHARE = 0.25
 QUOTES = "\"“”„«»‹›‘’"
@@ -63,7 +63,7 @@ class LexiconAutomaton:
     ``terms`` and ``stems`` give the log-odds of each; terms may be misspelled, stems not. A state is a set of (trie node, edits left). ``match`` gives the evidence of a word.
     """
 
-    def __init__(self, terms: dict[str, float], stems: dict[str, float]):
+    def __init__(self, terms: dict[str, float], stems: dict[str, float], power: float = 3):
         self.children: list[dict[str, int]] = []
         self.ends: list[list[tuple[float, float, bool]]] = []
         start: dict[int, int] = {}
@@ -77,7 +77,7 @@ class LexiconAutomaton:
                 if letter not in self.children[node]:
                     self.children[node][letter] = self._node()
                 node = self.children[node][letter]
-            near = (NEAR_LONG_ODDS if len(text) >= 6 else NEAR_SHORT_ODDS) * (odds / MOST_ODDS) ** NEAR_POWER
+            near = (NEAR_LONG_ODDS if len(text) >= 6 else NEAR_SHORT_ODDS) * (odds / MOST_ODDS) ** power
             self.ends[node].append((odds, near, stem))
         self.allowed = {}
         for allowed, root in start.items():
@@ -160,6 +160,7 @@ class Lexicon:
     ordinary: frozenset = frozenset()
     weights: tuple[float, float] = (0.0, 0.0)
     bias: float = -3.0
+    power: float = 3
 
     def __post_init__(self):
         self.automaton = None
@@ -169,11 +170,22 @@ class Lexicon:
 
     def evidence(self, word: str) -> tuple[float, bool]:
         if self.automaton is None:
-            self.automaton = LexiconAutomaton(self.terms, self.stems)
+            self.automaton = LexiconAutomaton(self.terms, self.stems, self.power)
         word = plain(word)
         odds, near = self.automaton.match(word) if word else (0.0, False)
         return (0.0, False) if near and word in self.ordinary else (odds, near)
 
+    def misspelled(self, text: str) -> str:
+        """``text`` with one letter of each term that may be misspelled replaced."""
+        words = []
+        for word in text.split():
+            own = plain(word)
+            if own in self.terms and edits_allowed(own):
+                at = 1 + sum(map(ord, own)) % (len(own) - 1)
+                word = word.lower().replace(own, own[:at] + ("x" if own[at] != "x" else "z") + own[at + 1 :])
+            words.append(word)
+        return " ".join(words)
+
     def measures(self, texts: list[str]) -> np.ndarray:
         """Per text, the most evidence that a word gives in its context, and the logarithm of all evidence."""
         words, flat, counts = words_of(texts)
@@ -282,12 +294,21 @@ def fit_weights(measures: np.ndarray, labels: np.ndarray) -> tuple[tuple[float,
     return (float(weights[0]), float(weights[1])), float(bias)
 
 
+def balanced_loss(measures: np.ndarray, labels: np.ndarray, weights: tuple[float, float], bias: float) -> float:
+    """Mean log loss with the same weight for both classes; 0 without rows."""
+    chance = 1 / (1 + np.exp(-np.clip(measures @ np.array(weights) + bias, -30, 30)))
+    loss = -np.log(np.where(labels == 1, chance, 1 - chance))
+    return float(sum(loss[labels == label].mean() for label in (0, 1) if (labels == label).any()))
+
+
 def fit(docs: DataFrame, labels: DataFrame, most: int = TRAIN_ROWS) -> Lexicon:
     """A lexicon and its weights from at most ``most`` toxic and three times as many clean labelled rows.
 
     ``docs`` has ``doc_id`` and ``text``, ``labels`` has ``doc_id`` and ``label`` (1 toxic, 0 not;
     null is left out). Equal texts count once. A quarter of the texts, by hash, fits the weights and is
-    not used for the lexicon. Without toxic rows nothing is evidence and all texts score low.
+    not used for the lexicon. Toxic texts of this quarter stand there twice, as they are and with
+    their terms misspelled; the power of ``NEAR_POWERS`` with the least loss on it is taken.
+    Without toxic rows nothing is evidence and all texts score low.
     """
     def first(label: int, rows: int) -> DataFrame:
         return labels.where(F.col("label") == label).orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows)
@@ -302,14 +323,25 @@ def fit(docs: DataFrame, labels: DataFrame, most: int = TRAIN_ROWS) -> Lexicon:
 
     def measures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in text_batches(batches, "text"):
-            found = lexicon.measures([t or "" for t in table["text"].to_pylist()])
-            yield pa.RecordBatch.from_arrays(
-                [table["label"].combine_chunks(), pa.array(found[:, 0]), pa.array(found[:, 1])], ["label", "most", "all"],
-            )
-
-    fits = texts.where("fits").select("text", "label").mapInArrow(measures, "label int, most double, all double")
-    rows = np.array(sorted(tuple(r) for r in fits.collect())).reshape(-1, 3)
-    lexicon.weights, lexicon.bias = fit_weights(rows[:, 1:], rows[:, 0])
+            texts, labels = [t or "" for t in table["text"].to_pylist()], table["label"].to_numpy()
+            texts += [lexicon.misspelled(t) for t, label in zip(texts, labels) if label == 1]
+            labels = np.concatenate((labels, labels[labels == 1]))
+            for power in NEAR_POWERS:
+                found = replace(lexicon, power=power).measures(texts)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.full(len(labels), float(power))), pa.array(labels, pa.int32()), pa.array(found[:, 0]), pa.array(found[:, 1])],
+                    ["power", "label", "most", "all"],
+                )
+
+    fits = texts.where("fits").select("text", "label").mapInArrow(measures, "power double, label int, most double, all double")
+    rows = np.array(sorted(tuple(r) for r in fits.collect())).reshape(-1, 4)
+    least = np.inf
+    for power in NEAR_POWERS:
+        own = rows[rows[:, 0] == power]
+        weights, bias = fit_weights(own[:, 2:], own[:, 1])
+        if (loss := balanced_loss(own[:, 2:], own[:, 1], weights, bias)) < least:
+            least = loss
+            lexicon.power, lexicon.weights, lexicon.bias = power, weights, bias
     return lexicon
 
 

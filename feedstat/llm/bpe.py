@@ -227,8 +227,10 @@ def encode(
     ``ranks_path`` names a rank file that every executor has (tokenizer files are installed
     with the software). Each match of ``pattern`` is encoded by itself, with no special
     tokens. A null text has no ids. Rows, repeated or not, are encoded one by one; other
-    columns pass through.
+    columns pass through, but for one named ``ids``, which gives way to the result.
     """
+    docs = docs.drop("ids")
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         matcher, replay = regex.compile(pattern), replay_of(ranks_path)
         for table in text_batches(batches, text_col, batch_bytes):

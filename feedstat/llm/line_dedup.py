@@ -68,24 +68,23 @@ def drop_boilerplate(
     Lines are cut at ``\\n``. Lines without a word are never counted nor dropped. A page that
     would lose all its lines with a word keeps them: it is a copy of other pages, not their
     frame. A null host is a host of its own, a null text is empty, repeated rows are pages of
-    their own. The other columns pass through.
+    their own. The other columns pass through; those named as a result give way to it.
     """
     host = F.col(host) if isinstance(host, str) else host
     hot = boilerplate_lines(docs, host, text_col, ratio, min_pages)
-    hot = hot.select(F.col("host").alias("_host"), F.col("hot").alias("_hot"))
-    lines = text_lines(F.col(text_col))
-    wanted = F.filter(
-        lines, lambda x: ~(x.rlike(WORD) & F.array_contains(F.col("_hot"), line_key(x)))
-    )
-    joined = docs.join(hot, host.eqNullSafe(F.col("_host")), "left")
-    joined = joined.withColumn("_kept", F.when(F.col("_hot").isNull(), lines).otherwise(wanted))
-    emptied = ~F.exists("_kept", lambda x: x.rlike(WORD))
-    joined = joined.withColumn("_kept", F.when(emptied, lines).otherwise(F.col("_kept")))
+    # the columns go along in one, so that none of their names meets those of the join
+    rows = docs.select(F.struct(*docs.columns).alias("row"), host.alias("page_host"))
+    lines = text_lines(F.col("row").getField(text_col))
+    wanted = F.filter(lines, lambda x: ~(x.rlike(WORD) & F.array_contains("hot", line_key(x))))
+    joined = rows.join(hot, F.col("page_host").eqNullSafe(F.col("host")), "left")
+    joined = joined.withColumn("left", F.when(F.col("hot").isNull(), lines).otherwise(wanted))
+    emptied = ~F.exists("left", lambda x: x.rlike(WORD))
+    joined = joined.withColumn("left", F.when(emptied, lines).otherwise(F.col("left")))
     return joined.select(
-        *[docs[name] for name in docs.columns],
-        F.array_join("_kept", "\n").alias("kept_text"),
+        *[F.col("row").getField(name).alias(name) for name in docs.columns if name not in ("kept_text", "n_lines", "n_dropped")],
+        F.array_join("left", "\n").alias("kept_text"),
         F.size(lines).cast("long").alias("n_lines"),
-        (F.size(lines) - F.size("_kept")).cast("long").alias("n_dropped"),
+        (F.size(lines) - F.size("left")).cast("long").alias("n_dropped"),
     )
 
 

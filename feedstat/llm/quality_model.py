@@ -163,8 +163,9 @@ def score(docs: DataFrame, model, text_col: str = "text", batch_bytes: int = TAS
     """``docs`` with ``score``, from 0 to 1; null and empty texts get the model's prior.
 
     ``model`` has ``scores(texts)`` and a fixed size; it goes to the executors once. Other
-    columns pass through, rows are scored one by one.
+    columns pass through, but for one named ``score``; rows are scored one by one.
     """
+    docs = docs.drop("score")
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -246,11 +246,12 @@ def judge(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
 def keep_good(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` that ``judge`` keeps, with their columns.
 
-    The statistics are computed once to learn and once to decide, so texts are never shuffled.
+    Rows are written once with their statistics, to learn and then to decide, so texts are
+    neither read through twice nor shuffled.
     """
-    rules = learn_rules(materialize(base_statistics(docs, id_col, text_col), "text-statistics"), labels)
-    judged = base_statistics(docs, id_col, text_col, docs.columns).where(verdict(rules) & (F.col("row") >= 0))
-    return judged.select(*[F.col("carried")[name].alias(name) for name in docs.columns])
+    statistics = materialize(base_statistics(docs, id_col, text_col, docs.columns), "text-statistics")
+    rules = learn_rules(statistics.drop("row", "carried"), labels)
+    return statistics.where(verdict(rules)).select(*[F.col("carried").getField(name).alias(name) for name in docs.columns])
 
 
 def op5_quality_rules(spark, sf_dir: str) -> DataFrame:

@@ -13,10 +13,20 @@ def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return quality_rules.keep_good(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
+def apart(docs: DataFrame, *names: str) -> DataFrame:
+    """The columns ``names``, and all but the text in one, ``row``, so that no name meets those of an operator."""
+    return docs.select(*names, F.struct(*[name for name in docs.columns if name not in ("text", "n_chars")]).alias("row"))
+
+
+def with_text(rows: DataFrame, docs: DataFrame, text: str) -> DataFrame:
+    """The columns of ``docs`` out of ``row``, with the column ``text`` as their text."""
+    new = {"text": F.col(text), "n_chars": F.length(text).cast("long")}
+    return rows.select(*[(new[name] if name in new else F.col("row").getField(name)).alias(name) for name in docs.columns])
+
+
 def drop_boilerplate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without the boilerplate lines of their source."""
-    clean = line_dedup.drop_boilerplate(docs)
-    return clean.withColumns({"text": F.col("kept_text"), "n_chars": F.length("kept_text").cast("long")}).select(*docs.columns)
+    return with_text(line_dedup.drop_boilerplate(apart(docs, "source", "text")), docs, "kept_text")
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -26,9 +36,7 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 def drop_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without the 13-word passages of documents with smaller ids; words are joined by one space."""
-    carry = [name for name in docs.columns if name not in ("doc_id", "text", "n_chars")]
-    clean = substring_dedup.drop_passages(docs, carry=carry)
-    return clean.withColumns({"text": F.col("kept"), "n_chars": F.length("kept").cast("long")}).select(*docs.columns)
+    return with_text(substring_dedup.drop_passages(apart(docs, "doc_id", "text"), carry=["row"]), docs, "kept")
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -48,7 +56,7 @@ STAGES = [
     ("packing", pack),
 ]
 
-#: The learned rules and the tokenizer can't be written in SQL; tests compare the stages with brute force.
+#: The learned rules and the tokenizer can't be written in SQL; tests compare each stage with brute force on what it gets.
 ORACLE_SQL = None
 
 

@@ -56,6 +56,13 @@ def member_rows(spark, sf_dir):
     return show_bars(rename_columns(rows))
 
 
+def zip_source(spark, sf_dir):
+    """The members as a data source, from archives in a folder; some lines are short."""
+    path = scratch_path(spark, "archives")
+    archives.write_archives(feed_archives(spark, sf_dir, short_lines=True), path)
+    return show_bars(rename_columns(archives.read_members(spark, path, delimited.PRICE_FEED).drop("archive", "member")))
+
+
 def unexpanded(spark, sf_dir):
     members = archives.list_members(feed_archives(spark, sf_dir))
     period = listing.add_ticker_period(members, "member")
@@ -135,6 +142,7 @@ QUERIES = {
     "s04_plain_scan": plain_scan,
     "s05_expand_archives": expand,
     "s05_member_rows": member_rows,
+    "s05_zip_source": zip_source,
     "s06_unexpanded_members": unexpanded,
     "s07_suffix_filter": suffix_filter,
     "s08_file_listing": file_listing,
@@ -162,6 +170,9 @@ ORACLES = {
     "s05_expand_archives": f"""WITH {DAILY_SQL}, {_MEMBERS}
         SELECT archive, member, true AS has_content FROM members""",
     "s05_member_rows": f"WITH {DAILY_SQL} SELECT {BARS_SQL} FROM daily",
+    "s05_zip_source": f"""WITH {DAILY_SQL} SELECT Script_name, strftime(Date, '%Y-%m-%d') AS Date, Open, High, Low, Close,
+        CASE WHEN Volume = 1 THEN NULL ELSE round(Adj_Close + 1e-9, 6) END AS Adj_Close,
+        CASE WHEN Volume = 1 THEN NULL ELSE Volume END AS Volume FROM daily""",
     "s06_unexpanded_members": f"""WITH {DAILY_SQL}, {_MEMBERS}
         SELECT archive, member FROM members WHERE period >= '199801'""",
     "s07_suffix_filter": f"WITH {DAILY_SQL} {PERIODS_SQL}",

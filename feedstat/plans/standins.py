@@ -103,13 +103,18 @@ def _zip_year(rows: pd.DataFrame) -> pd.DataFrame:
     })
 
 
-def feed_archives(spark: SparkSession, sf_dir: str) -> DataFrame:
+def feed_archives(spark: SparkSession, sf_dir: str, short_lines: bool = False) -> DataFrame:
     """(path, content) of one zip per ticker and year with a gzip CSV per month.
 
+    With ``short_lines`` the lines of days with one order end before their last two cells.
+
     A group holds one bar per day, so at most 366 rows whatever the size of orders.
     """
+    cells = [F.col(c).cast("string") for c in BAR_COLUMNS]
+    line = F.concat_ws(",", *cells)
+    if short_lines:
+        line = F.when(F.col("Volume") == 1, F.concat_ws(",", *cells[:-2])).otherwise(line)
     rows = with_period(daily_bars(spark, sf_dir)).select(
-        "ticker", "period", "Date", F.date_format("Date", "yyyy").alias("year"),
-        F.concat_ws(",", *[F.col(c).cast("string") for c in BAR_COLUMNS]).alias("line"),
+        "ticker", "period", "Date", F.date_format("Date", "yyyy").alias("year"), line.alias("line"),
     )
     return rows.groupBy("ticker", "year").applyInPandas(_zip_year, "path string, content binary")

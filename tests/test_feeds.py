@@ -1,4 +1,5 @@
 import gzip
+import io
 import os
 import time
 import zipfile
@@ -116,6 +117,45 @@ def test_members_with_quoted_breaks_blank_lines_and_many_columns(spark, tmp_path
     assert sorted((r["Script name"], r.Close, r.Open) for r in rows.collect()) == [("A\nB", 1.5, None), ("C", None, None)]
 
 
+def test_short_lines_are_filled_and_long_ones_fail(spark, tmp_path):
+    text = HEADER + '\nA,2020-01-05,1,2\n"B\n""b""",2020-01-06\nC,2020-01-07,1,2,3,4,5,6\n\nD\n'
+    make_zip(tmp_path / "one.zip", {"AAA_202001.csv.gz": gzip.compress(text.encode())})
+    zipped = archives.read_archives(spark, str(tmp_path))
+    expected = [("A", "2020-01-05", 2.0, None), ('B\n"b"', "2020-01-06", None, None), ("C", "2020-01-07", 2.0, 6.0), ("D", None, None, None)]
+    for rows in (archives.member_rows(zipped, archives.choose_members(zipped), delimited.PRICE_FEED),
+                 archives.read_members(spark, str(tmp_path), delimited.PRICE_FEED)):
+        assert sorted((r["Script name"], r.Date, r.High, r.Volume) for r in rows.collect()) == expected
+    make_zip(tmp_path / "two.zip", {"BBB_202001.csv.gz": gzip.compress((HEADER + "\n" + "1," * 9 + "\n").encode())})
+    with pytest.raises(Exception, match="Expected 8 columns, got 10"):
+        archives.read_members(spark, str(tmp_path), delimited.PRICE_FEED).collect()
+
+
+def test_lines_longer_than_a_block(tmp_path):
+    lines = [f"{k},{'x' * (300_000 if k in (3, 90) else 5)}" for k in range(100)] + ["100"]
+    own = archives.BLOCK_BYTES
+    archives.BLOCK_BYTES = 1 << 10
+    try:
+        text = ("a,b\n" + "\n".join(lines) + "\n").encode()
+        rows = [row for batch in archives.cell_batches(lambda: io.BufferedReader(io.BytesIO(text)), ["a", "b"]) for row in batch.to_pylist()]
+    finally:
+        archives.BLOCK_BYTES = own
+    assert [(r["a"], r["b"]) for r in rows] == [tuple(line.split(",")) for line in lines[:-1]] + [("100", None)]
+
+
+def test_zip_source_has_a_partition_per_member(spark, inbound):
+    rows = archives.read_members(spark, str(inbound), delimited.PRICE_FEED)
+    assert rows.rdd.getNumPartitions() == 4
+    got = {r.member: r for r in rows.collect()}
+    assert got["AAA_202001.csv.gz"].Close == 99.0 and got["AAA_202001.csv.gz"].archive.endswith("two.zip")
+    assert got["AAA_202002.csv.gz"].Close is None and got["BBB_202002.csv.gz"].Close == 20.5
+    plain = inbound / "more" / "plain.zip"
+    plain.parent.mkdir()
+    make_zip(plain, {"folder/CCC.csv": f"{HEADER}\nC,2020-01-05,1,2,3,4,5,6\n".encode(), "empty.csv": b""})
+    assert archives.read_members(spark, f"file:{inbound}", delimited.PRICE_FEED, suffix=".csv").collect()[0].Volume == 6.0
+    (inbound / "none").mkdir()
+    assert archives.read_members(spark, str(inbound / "none"), delimited.PRICE_FEED).count() == 0
+
+
 def test_archive_job_adds_no_rows_the_second_time(spark, inbound, tmp_path):
     landing, ledger = str(tmp_path / "landing"), str(tmp_path / "ledger")
     current = jobs.archive_job(spark, str(inbound), landing, ledger, "feed_rows")

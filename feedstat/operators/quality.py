@@ -2,26 +2,118 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import re
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from feedstat.sources.sidecars import first_lines, split_header
 
-def feed_facts(spark: SparkSession, path: str, dataset_pattern: str) -> DataFrame:
-    """(dataset, header, n_rows) of delimited files with a header line, in one text scan.
+#: From inside a quoted cell to behind the quote that ends it; a doubled quote stays inside.
+CLOSING = re.compile(r'[^"]*(?:""[^"]*)*"(?!")')
+
+
+def ends_inside(line: str, inside: bool, sep: str) -> bool:
+    """Whether a line leaves a quoted cell open, if it starts inside one or not.
+
+    A quote opens a cell only where the cell starts; elsewhere it is a letter like others.
+    """
+    place = 0 if inside else -1
+    if not inside and line.startswith('"'):
+        place = 1
+    while True:
+        if place >= 0:
+            closed = CLOSING.match(line, place)
+            if closed is None:
+                return True
+            place = closed.end()
+        opens = line.find(sep + '"', max(place, 0))
+        if opens < 0:
+            return False
+        place = opens + len(sep) + 1
+
+
+def record_counts(lines: DataFrame, sep: str) -> DataFrame:
+    """(file, n_records) from lines (file, start, value) in the order in which a scan gives them.
+
+    A record is a line that is not blank and does not start inside a quoted cell. Whether a
+    block of a file starts inside one is known only from the blocks before, so each block is
+    counted for both cases, with the case it leaves to the next; running sums over the blocks
+    of a file then pick one. Only lines with quotes leave the JVM.
+    """
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        block, now, counts = None, [0, 1], [0, 0]  # state and records, by the state at the block's start
+
+        def out() -> pa.RecordBatch:
+            kinds = [pa.string(), *[pa.int64()] * 3, *[pa.int32()] * 2]
+            names = ["file", "start", "outside", "inside", "then_outside", "then_inside"]
+            return pa.RecordBatch.from_arrays([pa.array([v], kind) for v, kind in zip((*block, *counts, *now), kinds)], names)
+
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            start, file = batch["start"].to_numpy(), batch["file"]
+            filled = np.concatenate(([0], np.cumsum(batch["filled"].to_numpy(zero_copy_only=False))))
+            quoted = np.flatnonzero(batch["quoted"].is_valid().to_numpy(zero_copy_only=False))
+            other = pc.not_equal(file.slice(1), file.slice(0, len(file) - 1)).to_numpy(zero_copy_only=False)
+            edges = np.flatnonzero(other | (start[1:] != start[:-1])) + 1
+            for a, b in zip([0, *edges.tolist()], [*edges.tolist(), batch.num_rows]):
+                own = file[a].as_py(), int(start[a])
+                if own != block:
+                    if block is not None:
+                        yield out()
+                    block, now, counts = own, [0, 1], [0, 0]
+                done = a
+                for line in [*quoted[np.searchsorted(quoted, a) : np.searchsorted(quoted, b)].tolist(), None]:
+                    # the line with quotes itself is counted by the state before it
+                    stop = b if line is None else line + 1
+                    for k in (0, 1):
+                        counts[k] += int(filled[stop] - filled[done]) if now[k] == 0 else 0
+                    done = stop
+                    if line is not None:
+                        text = batch["quoted"][line].as_py()
+                        after = [int(ends_inside(text, inside, sep)) for inside in (False, True)]
+                        now = [after[now[0]], after[now[1]]]
+        if block is not None:
+            yield out()
+
+    narrow = lines.select(
+        "file", "start", (F.length(F.trim("value")) > 0).alias("filled"), F.when(F.contains("value", F.lit('"')), F.col("value")).alias("quoted")
+    )
+    blocks = narrow.mapInArrow(
+        count, "file string, start long, outside long, inside long, then_outside int, then_inside int"
+    )
+    upto = Window.partitionBy("file").orderBy("start").rowsBetween(Window.unboundedPreceding, 0)
+    before = Window.partitionBy("file").orderBy("start").rowsBetween(Window.unboundedPreceding, -1)
+    # a block sets the state, keeps it, or turns it over
+    sets, turns = F.col("then_outside") == F.col("then_inside"), (F.col("then_outside") > F.col("then_inside")).cast("int")
+    states = blocks.withColumn("turns", F.sum(turns).over(upto)).withColumns({
+        "set": F.coalesce(F.last(F.when(sets, F.col("then_outside")), ignorenulls=True).over(before), F.lit(0)),
+        "since": F.coalesce(F.last("turns").over(before), F.lit(0))
+        - F.coalesce(F.last(F.when(sets, F.col("turns")), ignorenulls=True).over(before), F.lit(0)),
+    })
+    inside = (F.col("set") + F.col("since")) % 2 == 1
+    return states.groupBy("file").agg(F.sum(F.when(inside, F.col("inside")).otherwise(F.col("outside"))).alias("n_records"))
+
+
+def feed_facts(spark: SparkSession, path: str, dataset_pattern: str, sep: str = "|") -> DataFrame:
+    """(dataset, headers, n_rows) of delimited files with a header line, in one text scan.
 
     A dataset can have many files, and a file many splits: the header is the first
-    line of a file's first split. Rows are lines that are not blank, as the delimited reader
-    counts them; cells must not hold line breaks, so count a parsed table with
-    :func:`row_counts` where they do. Lines are only counted, never sorted.
+    line of a file's first split. Rows are records as the delimited reader counts them: blank
+    lines are none, and a quoted cell may hold line breaks. Lines are only counted, never sorted.
     """
     lines = spark.read.option("recursiveFileLookup", True).text(path)
-    dataset = F.regexp_extract("_metadata.file_path", dataset_pattern, 1).alias("dataset")
-    filled = F.sum((F.length(F.trim("value")) > 0).cast("bigint")).alias("filled")
-    files = lines.select(dataset, F.col("_metadata.file_path").alias("file"), "value").groupBy("dataset", "file").agg(filled)
-    counts = files.groupBy("dataset").agg(F.sum(F.greatest(F.col("filled") - 1, F.lit(0))).alias("n_rows"))
+    lines = lines.select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"), "value")
+    dataset = F.regexp_extract("file", dataset_pattern, 1).alias("dataset")
+    rows = record_counts(lines, sep).select(dataset, F.greatest(F.col("n_records") - 1, F.lit(0)).alias("n_rows"))
+    counts = rows.groupBy("dataset").agg(F.sum("n_rows").alias("n_rows"))
     headers = first_lines(spark, path, dataset_pattern).groupBy("dataset").agg(F.collect_set("value").alias("headers"))
-    return counts.join(headers, "dataset").select("dataset", "headers", "n_rows")
+    return headers.join(counts, "dataset", "left").select("dataset", "headers", F.coalesce("n_rows", F.lit(0)).cast("long").alias("n_rows"))
 
 
 def row_counts(df: DataFrame, dataset: str) -> DataFrame:

@@ -14,12 +14,18 @@ from feedstat.sources import sidecars
 PATTERN = "dataset=([^/]+)"
 
 
-def _feed(spark, sf_dir):
-    """Pipe files per dataset with header and counter files; two datasets have faults."""
+def _feed(spark, sf_dir, breaks: bool = False):
+    """Pipe files per dataset with header and counter files; two datasets have faults.
+
+    With ``breaks`` cells hold quotes, separators, line breaks and blank lines.
+    """
     bars = materialize(daily_bars(spark, sf_dir).withColumn("dataset", ticker()), "bars")
     path = scratch_path(spark, "feed")
-    feed_text(bars).withColumn("dataset", F.regexp_replace("Script name", "[^A-Za-z0-9]+", "-")) \
-        .write.partitionBy("dataset").options(header=True, sep="|").csv(path)
+    rows = feed_text(bars).withColumn("dataset", F.regexp_replace("Script name", "[^A-Za-z0-9]+", "-"))
+    if breaks:
+        note = F.when(F.col("Volume") > 1, F.lit('lot "A|B"\n\n"|second\n')).otherwise(F.lit('5" pipe'))
+        rows = rows.withColumn("Script name", F.concat_ws("\n", "Script name", note))
+    rows.write.partitionBy("dataset").options(header=True, sep="|", escape='"').csv(path)
     names = ["Script name" if c == "Script_name" else "Adj Close" if c == "Adj_Close" else c
              for c in BAR_COLUMNS]
     datasets = bars.groupBy("dataset").count()
@@ -50,15 +56,23 @@ def counters(spark, sf_dir):
     return quality.check_counts(facts, sidecars.read_counters(spark, counter_path, PATTERN))
 
 
-QUERIES = {"q01_header_check": headers, "q02_count_check": counters}
+def counters_with_breaks(spark, sf_dir):
+    facts, _, counter_path = _feed(spark, sf_dir, breaks=True)
+    return quality.check_counts(facts, sidecars.read_counters(spark, counter_path, PATTERN))
+
+
+QUERIES = {"q01_header_check": headers, "q02_count_check": counters, "q02_quoted_breaks": counters_with_breaks}
+
+_COUNTS = f"""WITH {DAILY_SQL}, sizes AS (SELECT Script_name, count(*) AS n FROM daily GROUP BY 1)
+        SELECT {TICKER_SQL} AS dataset,
+        CAST(CASE WHEN Script_name = '2-HIGH' THEN n + 1 ELSE n END AS BIGINT) AS expected,
+        CAST(n AS BIGINT) AS actual, Script_name <> '2-HIGH' AS passed FROM sizes"""
 
 ORACLES = {
     "q01_header_check": f"""WITH {DAILY_SQL} SELECT DISTINCT {TICKER_SQL} AS dataset,
         Script_name <> '5-LOW' AS passed,
         CASE WHEN Script_name = '5-LOW' THEN 'Turnover' ELSE '' END AS missing,
         CASE WHEN Script_name = '5-LOW' THEN 'Volume' ELSE '' END AS extra FROM daily""",
-    "q02_count_check": f"""WITH {DAILY_SQL}, sizes AS (SELECT Script_name, count(*) AS n FROM daily GROUP BY 1)
-        SELECT {TICKER_SQL} AS dataset,
-        CAST(CASE WHEN Script_name = '2-HIGH' THEN n + 1 ELSE n END AS BIGINT) AS expected,
-        CAST(n AS BIGINT) AS actual, Script_name <> '2-HIGH' AS passed FROM sizes""",
+    "q02_count_check": _COUNTS,
+    "q02_quoted_breaks": _COUNTS,
 }

@@ -34,7 +34,7 @@ LANDED_KEYS = ["ticker", "period", "member"]
 def _gates(
     spark: SparkSession, feed: str, header_file: str, counter_file: str, pattern: str, sep: str
 ) -> DataFrame:
-    facts = materialize(quality.feed_facts(spark, feed, pattern), "feed-facts")
+    facts = materialize(quality.feed_facts(spark, feed, pattern, sep), "feed-facts")
     names = quality.check_headers(
         quality.feed_columns(facts, sep), sidecars.read_headers(spark, header_file, pattern)
     ).withColumnRenamed("passed", "header_passed")

@@ -1,6 +1,8 @@
+import csv
 import gzip
 import io
 import os
+import random
 import time
 import zipfile
 
@@ -229,6 +231,29 @@ def test_gates(spark, tmp_path):
     assert sidecars.read_header_names(spark, str(tmp_path / "headers" / "equal")) == ["b", "a"]
 
 
+@pytest.mark.parametrize("split", [7, 40, 333, 100_000])
+def test_records_with_breaks_that_cross_splits(spark, tmp_path, split):
+    """Against the csv module, whatever the splits: quotes, doubled ones, stray ones, blank lines inside and outside."""
+    rng = random.Random(split)
+    cells = ["", "x", "5\" pipe", "\n", "\n\n", 'a"b\n"', '"', '""\n', "|", "a|b\n\nc", "x\n   \ny", '\n"|"\n']
+    expected = {}
+    for name in ("one", "two"):
+        text = "a|b|c\n"
+        for _ in range(60):
+            row = [rng.choice(cells) for _ in range(3)]
+            quoted = ['"' + c.replace('"', '""') + '"' if "\n" in c or "|" in c or c.startswith('"') or rng.random() < 0.3 else c for c in row]
+            text += "|".join(quoted) + "\n" + ("\n" if rng.random() < 0.1 else "")
+        write(tmp_path / "feed" / name / "f.csv", text)
+        expected[name] = sum(1 for row in csv.reader(io.StringIO(text, newline=""), delimiter="|") if row) - 1
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(split))
+    try:
+        facts = quality.feed_facts(spark, str(tmp_path / "feed"), FOLDER).collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert {r.dataset: r.n_rows for r in facts} == expected
+
+
 def test_header_of_a_file_with_many_splits(spark, tmp_path):
     write(tmp_path / "feed" / "d" / "f.csv", "a|b\n" + "".join(f"{i}|x\n" for i in range(20_000)))
     before = spark.conf.get("spark.sql.files.maxPartitionBytes")

@@ -2,22 +2,24 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from feedstat.functions.casting import natural_log
-from feedstat.operators.ranks import long_form, quantiles
+from feedstat.operators.ranks import long_form, quantiles, with_groups
 from feedstat.session import materialize
 
 # Whisker reach in interquartile ranges; points of a density curve.
 WHISKER_REACH = 1.5
 DENSITY_POINTS = 200
-REACH_BANDWIDTHS = 39.0
-DENSITY_BLOCK = 20
 BIN_BLOCK = 10_000
+#: Values weighed at once, and curves that a task holds before it sends them on.
+DENSITY_VALUES, DENSITY_CURVES = 4_096, 4_096
 
 
 def log_values(df: DataFrame, column: str, name: str | None = None) -> DataFrame:
@@ -101,8 +103,7 @@ def histogram(
     typed = df.where(F.col(hue).isNotNull()) if hue else df
     layout = bin_layout(typed, columns, by, bins)
     filled = materialize(
-        long_form(typed, columns, [*by, *split])
-        .join(layout, keys)
+        with_groups(long_form(typed, columns, [*by, *split]), layout, keys)
         .withColumn("bin", _bin_number())
         .groupBy(*keys, *split, "bin")
         .agg(F.count(F.lit(1)).alias("n")),
@@ -120,6 +121,42 @@ def histogram(
     )
 
 
+def _curve_sums(batches: Iterator[pa.RecordBatch], points: int) -> Iterator[pa.RecordBatch]:
+    """(curve, point, weight): sums of the kernels of a task's values at the points of each curve's grid."""
+    held: dict[int, np.ndarray] = {}
+    steps = np.arange(points)
+
+    def out() -> pa.RecordBatch:
+        curves = np.repeat(np.fromiter(held, np.int64, len(held)), points)
+        weights = np.concatenate(list(held.values()))
+        point = np.tile(steps.astype(np.int32), len(held))
+        return pa.RecordBatch.from_arrays([pa.array(curves), pa.array(point), pa.array(weights)], ["curve", "point", "weight"])
+
+    for batch in batches:
+        curve, value, start, step, bandwidth = (
+            batch[name].to_numpy() for name in ("curve", "value", "start", "step", "bandwidth")
+        )
+        order = np.lexsort((value, curve))
+        curve, value = curve[order], value[order]
+        # equal values of a curve count together
+        fresh = np.flatnonzero(np.concatenate(([True], (curve[1:] != curve[:-1]) | (value[1:] != value[:-1])))) if len(curve) else order
+        n = np.diff(np.concatenate((fresh, [len(curve)])))
+        edges = np.flatnonzero(np.concatenate(([True], np.diff(curve[fresh]) != 0))) if len(fresh) else fresh
+        for a, b in zip(edges.tolist(), [*edges[1:].tolist(), len(fresh)]):
+            name, row = int(curve[fresh[a]]), order[fresh[a]]
+            grid = (start[row] + steps * step[row]) / bandwidth[row]
+            total = held.setdefault(name, np.zeros(points))
+            for k in range(a, b, DENSITY_VALUES):
+                part = slice(k, min(b, k + DENSITY_VALUES))
+                z = value[fresh[part]][:, None] / bandwidth[row] - grid
+                total += n[part] @ np.exp(-0.5 * z * z)
+        if len(held) >= DENSITY_CURVES:
+            yield out()
+            held = {}
+    if held:
+        yield out()
+
+
 def density(
     df: DataFrame,
     columns: Sequence[str],
@@ -130,12 +167,11 @@ def density(
     """Gaussian kernel density with Scott's bandwidth on an even grid per (variable, by).
 
     The grid runs from ``cut`` bandwidths below the minimum to as many above the
-    maximum. Each distinct value contributes to the grid points in its reach inside
-    its own task, a block of points at a time; only sums per point are shuffled.
+    maximum. Each task adds up the kernels of its rows at the grid points, where it reads
+    them; what is shuffled is one number per point and task, and no value.
     """
     keys = ["variable", *by]
     rows = long_form(df, columns, by)
-    counts = rows.groupBy(*keys, "value").agg(F.count(F.lit(1)).alias("n"))
     summary = rows.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("total"),
         F.stddev_samp("value").alias("deviation"),
@@ -148,6 +184,7 @@ def density(
         .withColumn("bandwidth", bandwidth)
         .select(
             *keys,
+            F.monotonically_increasing_id().alias("curve"),
             "total",
             "bandwidth",
             (F.col("min") - cut * F.col("bandwidth")).alias("start"),
@@ -155,33 +192,13 @@ def density(
         ),
         "density-grid",
     )
-    # Farther than this many bandwidths exp(-z*z/2) is zero in double precision.
-    reach = REACH_BANDWIDTHS * F.col("bandwidth")
-    first = F.greatest(F.lit(0), F.ceil((F.col("value") - reach - F.col("start")) / F.col("step")))
-    last = F.least(F.lit(points - 1), F.floor((F.col("value") + reach - F.col("start")) / F.col("step")))
-    near = F.when(
-        first <= last,
-        F.sequence(F.floor(first / DENSITY_BLOCK).cast("int"), F.floor(last / DENSITY_BLOCK).cast("int")),
-    )
-
-    def weight(i: int) -> Column:
-        point = F.col("block") * DENSITY_BLOCK + i
-        z = (F.col("value") - F.col("start") - point * F.col("step")) / F.col("bandwidth")
-        return F.sum(F.col("n") * F.exp(-z * z / 2))
-
-    blocks = (
-        counts.join(grid, keys)
-        .withColumn("block", F.explode(near))
-        .groupBy(*keys, "block")
-        .agg(*[weight(i).alias(f"w{i}") for i in range(DENSITY_BLOCK)])
-    )
-    sums = blocks.select(
-        *keys, "block", F.posexplode(F.array(*[f"w{i}" for i in range(DENSITY_BLOCK)])).alias("i", "weight")
-    ).select(*keys, (F.col("block") * DENSITY_BLOCK + F.col("i")).alias("point"), "weight")
+    near = with_groups(rows, grid, keys).select("curve", "value", "start", "step", "bandwidth")
+    sums = near.mapInArrow(lambda batches: _curve_sums(batches, points), "curve long, point int, weight double")
+    sums = sums.groupBy("curve", "point").agg(F.sum("weight").alias("weight"))
     x = F.col("start") + F.col("point") * F.col("step")
     every = grid.withColumn("point", F.explode(F.sequence(F.lit(0), F.lit(points - 1))))
     scale = F.col("total") * F.col("bandwidth") * F.sqrt(2 * F.pi())
-    return every.join(sums, [*keys, "point"], "left").select(
+    return every.join(sums, ["curve", "point"], "left").select(
         *keys,
         "point",
         x.alias("x"),
@@ -203,7 +220,7 @@ def box_summary(df: DataFrame, columns: Sequence[str], by: Sequence[str] = ()) -
     """Quartiles, whiskers at the last values inside the fences, and the number of outliers."""
     keys = ["variable", *by]
     fences = _fences(df, columns, by)
-    reach = long_form(df, columns, by).join(fences, keys).groupBy(*keys).agg(
+    reach = with_groups(long_form(df, columns, by), fences, keys).groupBy(*keys).agg(
         F.min(F.when(_inside(), F.col("value"))).alias("lowest"),
         F.max(F.when(_inside(), F.col("value"))).alias("highest"),
         F.count_if(~_inside()).alias("n_outliers"),
@@ -223,5 +240,5 @@ def box_summary(df: DataFrame, columns: Sequence[str], by: Sequence[str] = ()) -
 def box_outliers(df: DataFrame, columns: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
     """Every distinct value outside the whiskers, with its number of rows."""
     keys = ["variable", *by]
-    rows = long_form(df, columns, by).join(_fences(df, columns, by), keys)
+    rows = with_groups(long_form(df, columns, by), _fences(df, columns, by), keys)
     return rows.where(~_inside()).groupBy(*keys, "value").agg(F.count(F.lit(1)).alias("n"))

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from feedstat.functions.normal import inverse_normal
 from feedstat.functions.tails import chi_square_tail, f_tail, normal_tail, t_two_sided
 from feedstat.operators.association import contingency, contingency_cells, expected_frequencies, group_moments
-from feedstat.operators.ranks import long_form, quantiles, rank_positions, value_counts
+from feedstat.operators.ranks import long_form, quantiles, rank_positions, value_counts, with_groups
 from feedstat.operators.sampling import sample_per_group
 from feedstat.session import materialize
 
@@ -107,7 +107,7 @@ def anova(df: DataFrame, columns: Sequence[str], group: str) -> DataFrame:
 def levene(df: DataFrame, columns: Sequence[str], group: str) -> DataFrame:
     """Equal-variance test on distances from the group medians."""
     medians = quantiles(df, columns, {"median": 0.5}, [group]).select("variable", group, "median")
-    distances = long_form(df, columns, [group]).join(medians, ["variable", group])
+    distances = with_groups(long_form(df, columns, [group]), medians, ["variable", group])
     spread = F.abs(F.col("value") - F.col("median"))
     return _variance_ratio(
         distances.groupBy("variable", group).agg(

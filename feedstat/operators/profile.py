@@ -69,20 +69,15 @@ def null_counts(df: DataFrame, columns: Iterable[str] | None = None) -> DataFram
 
 
 def describe(df: DataFrame, columns: Sequence[str], rows_per_bucket: int = ROWS_PER_BUCKET) -> DataFrame:
-    """Count, mean, sample deviation, minimum, exact quartiles and maximum per column."""
-    order_statistics = quantiles(df, columns, QUARTILES, rows_per_bucket=rows_per_bucket)
-    present = {c: F.when(~_missing(df, c), F.col(c).cast("double")) for c in columns}
-    moments = df.agg(*[
-        expression.alias(f"{c}|{name}")
-        for c, value in present.items()
-        for name, expression in (
-            ("count", F.count(value)), ("mean", F.avg(value)), ("std", F.stddev_samp(value))
-        )
-    ])
-    return (
-        _stack(moments, columns, ["count", "mean", "std"])
-        .join(order_statistics.drop("total"), "variable", "left")
-        .select("variable", "count", "mean", "std", "min", *QUARTILES, "max")
+    """Count, mean, sample deviation, minimum, exact quartiles and maximum per column.
+
+    All but the quartiles come from the same sums per bucket that tell where the quartiles lie.
+    A column without values has a row with a count of 0.
+    """
+    found = quantiles(df, columns, QUARTILES, rows_per_bucket=rows_per_bucket, moments=True)
+    named = df.sparkSession.createDataFrame([(c,) for c in columns], "variable string")
+    return named.join(found, "variable", "left").select(
+        "variable", F.coalesce("total", F.lit(0)).cast("long").alias("count"), "mean", "std", "min", *QUARTILES, "max"
     )
 
 

@@ -23,6 +23,21 @@ ROWS_PER_BUCKET = 100_000
 SAMPLE_PER_BUCKET = 100
 #: Bounds that come from the sample at most, and parts that a bucket is cut into again.
 SAMPLED_BOUNDS, PARTS = 1_024, 1_024
+#: Parts that the rows of a group are dealt to when they are joined with what is known of their group.
+SALTS = 16
+
+
+def with_groups(rows: DataFrame, groups: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """``rows`` with the columns of their group, from a written table with one row per group.
+
+    A small table is broadcast. For a large one both sides are shuffled, by group and a number
+    that goes round from row to row, with the group's row repeated for each number: a group, or
+    a value, that fills a third of the rows is dealt to as many tasks.
+    """
+    salt = F.pmod(F.monotonically_increasing_id(), F.lit(SALTS)).cast("int")
+    salts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))
+    dealt = rows.withColumn("salt", salt).join(groups.withColumn("salt", salts), [*keys, "salt"])
+    return dealt.drop("salt")
 
 
 def long_form(df: DataFrame, columns: Sequence[str], keys: Iterable[str] = ()) -> DataFrame:
@@ -72,20 +87,21 @@ def _cut_again(bucketed: DataFrame, keys: Sequence[str], overfull: DataFrame) ->
 
 
 def _cells(
-    bucketed: DataFrame, keys: Sequence[str], n: Column, rows_per_bucket: int
+    bucketed: DataFrame, keys: Sequence[str], n: Column, rows_per_bucket: int, *more: Column
 ) -> tuple[DataFrame, DataFrame]:
     """The rows with final buckets, and a written table of (keys, bucket): rows, rows of
-    earlier buckets, all rows, smallest, largest.
+    earlier buckets, all rows, smallest, largest, and the aggregates ``more``.
 
-    A bucket of more than four times ``rows_per_bucket`` different values is cut again.
+    A bucket of more than four times ``rows_per_bucket`` different values is cut again. They are
+    counted only in buckets with so many rows.
     """
+    cell, limit = [*keys, "bucket"], 4 * rows_per_bucket
     previous = Window.partitionBy(*keys).orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     finite = F.when(F.abs("value") < float("inf"), F.col("value"))
     while True:
-        sums = bucketed.groupBy(*keys, "bucket").agg(
+        sums = bucketed.groupBy(*cell).agg(
             F.sum(n).alias("size"), F.min("value").alias("min"), F.max("value").alias("max"),
-            F.min(finite).alias("low"), F.max(finite).alias("high"),
-            F.approx_count_distinct("value").alias("different"),
+            F.min(finite).alias("low"), F.max(finite).alias("high"), *more,
         )
         cells = materialize(
             sums.select(
@@ -95,7 +111,13 @@ def _cells(
             ),
             "bucket-cells",
         )
-        overfull = cells.where((F.col("different") > 4 * rows_per_bucket) & (F.col("low") < F.col("high")))
+        large = cells.where((F.col("size") > limit) & (F.col("low") < F.col("high"))).select(*cell, "low", "high")
+        if large.isEmpty():
+            return bucketed, cells
+        large = materialize(large, "large-cells")
+        different = with_groups(bucketed.select(*cell, "value"), large.select(*cell), cell)
+        different = different.groupBy(*cell).agg(F.approx_count_distinct("value").alias("different"))
+        overfull = materialize(large.join(different.where(F.col("different") > limit), cell).drop("different"), "overfull-cells")
         if overfull.isEmpty():
             return bucketed, cells
         bucketed = _cut_again(bucketed, keys, overfull)
@@ -171,26 +193,29 @@ def quantiles(
     probabilities: Mapping[str, float],
     by: Iterable[str] = (),
     rows_per_bucket: int = ROWS_PER_BUCKET,
+    moments: bool = False,
 ) -> DataFrame:
     """Written table with one row per (variable, by): total, min, max and the named exact quantiles.
 
     Nothing but bucket sums is shuffled, until the buckets that hold a wanted position
-    are known; only their values are counted and sorted. ``df`` is read once for the
-    sums and once for the values of those buckets.
+    are known; only their values are counted and sorted. ``df`` is read for a sample, for
+    the sums and for the values of those buckets. With ``moments`` the sums also give ``mean`` and
+    ``std``, the sample deviation, from the mean and spread of each bucket.
     """
     keys = ["variable", *by]
     rows = long_form(df, columns, by)
     named = [_quantile(p).alias(name) for name, p in probabilities.items()]
     cell = [*keys, "bucket"]
     bucketed = cut(rows, df.count() * len(columns), rows_per_bucket)
-    bucketed, cells = _cells(bucketed, keys, F.lit(1), rows_per_bucket)
+    more = [F.avg("value").alias("mean"), F.var_pop("value").alias("spread")] if moments else []
+    bucketed, cells = _cells(bucketed, keys, F.lit(1), rows_per_bucket, *more)
     inside = F.lit(False)
     for p in probabilities.values():
         for position in _targets(p)[:2]:
             inside |= (F.col("earlier") <= position) & (position < F.col("earlier") + F.col("size"))
     wanted = materialize(cells.where(inside).select(*cell, "earlier", "total"), "wanted-cells")
     counts = (
-        bucketed.join(wanted, cell)
+        with_groups(bucketed, wanted, cell)
         .groupBy(*cell, "earlier", "total", "value")
         .agg(F.count(F.lit(1)).alias("n"))
     )
@@ -198,4 +223,13 @@ def quantiles(
     bounds = cells.groupBy(*keys).agg(
         F.max("total").alias("total"), F.min("min").alias("min"), F.max("max").alias("max")
     )
+    if moments:
+        share = F.col("size").cast("double")
+        means = cells.groupBy(*keys).agg((F.sum(share * F.col("mean")) / F.sum(share)).alias("whole"))
+        apart = F.col("mean") - F.col("whole")
+        squares = F.sum(share * (F.col("spread") + apart * apart))
+        spread = F.sqrt(squares / F.when(F.sum("size") > 1, F.sum("size") - 1))
+        bounds = bounds.join(
+            cells.join(means, keys).groupBy(*keys).agg(F.max("whole").alias("mean"), spread.alias("std")), keys
+        )
     return materialize(bounds.join(found, keys), "quantiles")

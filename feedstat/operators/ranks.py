@@ -213,13 +213,19 @@ def quantiles(
     for p in probabilities.values():
         for position in _targets(p)[:2]:
             inside |= (F.col("earlier") <= position) & (position < F.col("earlier") + F.col("size"))
-    wanted = materialize(cells.where(inside).select(*cell, "earlier", "total"), "wanted-cells")
+    # values are counted by the number of their cell, two plain columns
+    wanted = materialize(
+        cells.where(inside).select(*cell, "earlier", "total", F.monotonically_increasing_id().alias("cell")), "wanted-cells"
+    )
     counts = (
-        with_groups(bucketed, wanted, cell)
-        .groupBy(*cell, "earlier", "total", "value")
-        .agg(F.count(F.lit(1)).alias("n"))
+        with_groups(bucketed, wanted.select(*cell, "cell"), cell)
+        .groupBy("cell", "value")
+        .agg(F.count(F.lit(1)).alias("ties"))
     )
-    found = _place(counts, cell, F.col("earlier")).groupBy(*keys).agg(*named)
+    # a value is one row here, so a running sum by rows places it
+    before = F.sum("ties").over(Window.partitionBy("cell").orderBy("value").rowsBetween(Window.unboundedPreceding, -1))
+    placed = counts.withColumn("before", F.coalesce(before, F.lit(0))).join(wanted, "cell")
+    found = placed.withColumn("before", F.col("earlier") + F.col("before")).groupBy(*keys).agg(*named)
     bounds = cells.groupBy(*keys).agg(
         F.max("total").alias("total"), F.min("min").alias("min"), F.max("max").alias("max")
     )

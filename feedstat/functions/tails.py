@@ -47,8 +47,8 @@ def _fraction(terms) -> float:
         change = upper * lower
         value *= change
         if abs(change - 1) < _CLOSE:
-            break
-    return value
+            return value
+    raise ArithmeticError(f"a tail probability did not settle within {_MAX_STEPS} steps")
 
 
 def _beta_terms(a: float, b: float, x: float):

@@ -12,6 +12,10 @@ from feedstat.operators.ranks import long_form
 from feedstat.session import materialize
 
 
+#: Tasks that lay out the grid of a contingency table.
+GRID_PARTS = 64
+
+
 def correlation_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Pearson correlations in long form, both triangles and the diagonal, in one pass.
 
@@ -92,18 +96,20 @@ def contingency(df: DataFrame, rows: str, columns: str, values: Sequence | None
     """Contingency table in long form (row, column, n), with a row for every empty cell.
 
     The grid of all row categories and all column categories is the result; with ``values``
-    only these column categories are in it. Both lists are written tables that are joined by a
-    stored key, so Spark splits the rows of a long grid over tasks.
+    only these column categories are in it. Both lists are written tables; one is dealt to
+    ``GRID_PARTS`` parts and the other repeated for each, so a long grid is made by as many tasks.
     """
     cells = contingency_cells(df, rows, columns)
     if values is not None:
         cells = cells.where(F.col(columns).isin(list(values)))
+    part = F.pmod(F.monotonically_increasing_id(), F.lit(GRID_PARTS)).cast("int")
+    every = F.explode(F.sequence(F.lit(0), F.lit(GRID_PARTS - 1)))
     sides = [
-        materialize(cells.select(F.col(name).alias(f"_{k}")).distinct().withColumn("_grid", F.lit(0)), "categories")
-        for k, name in enumerate((rows, columns))
+        materialize(cells.select(F.col(name).alias(f"_{k}")).distinct().withColumn("_part", where), "categories")
+        for k, (name, where) in enumerate(((rows, part), (columns, every)))
     ]
     filled = cells.select(F.col(rows).alias("_row"), F.col(columns).alias("_column"), "n")
-    grid = sides[0].join(sides[1], "_grid")
+    grid = sides[0].join(sides[1], "_part")
     joined = grid.join(filled, (F.col("_0") == F.col("_row")) & (F.col("_1") == F.col("_column")), "left")
     return joined.select(
         F.col("_0").alias(rows), F.col("_1").alias(columns), F.coalesce("n", F.lit(0)).alias("n")

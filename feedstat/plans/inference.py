@@ -72,7 +72,7 @@ def compared(spark, sf_dir):
     tests = hypothesis.compare_groups(
         _orders(spark, sf_dir), ["o_totalprice"], "o_orderstatus", ["o_orderkey"], seed=7
     )
-    return _rounded(tests).drop("normality_p", "variance_p")
+    return _rounded(tests, "statistic", "p_value", "normality_p", "variance_p")
 
 
 QUERIES = {
@@ -108,8 +108,8 @@ SELECT 'o_totalprice' AS variable, CAST(n0 AS BIGINT) AS n_first, CAST(n1 AS BIG
   round(1 - sin(atan(abs(t) / sqrt(dof))) * total, 6) AS p_value FROM s, a"""
 
 
-def _variance_ratio_sql(values):
-    return f"""WITH long AS ({_LONG}), z AS ({values}),
+def _variance_ratio_sql(values, long=_LONG):
+    return f"""WITH long AS ({long}), z AS ({values}),
     g AS (SELECT variable, g, count(*) AS n, avg(z) AS m, var_samp(z) AS v FROM z GROUP BY 1, 2),
     c AS (SELECT variable, avg(z) AS centre, count(*) AS total FROM z GROUP BY 1),
     f AS (SELECT variable, count(*) AS k, max(total) AS total,
@@ -196,13 +196,14 @@ SELECT 'l_quantity' AS variable, l_returnflag, value, CAST(n AS BIGINT) AS n, fi
   round(z0, 6) AS normal_first, round(z1, 6) AS normal_last,
   round(mu + sd * z0, 6) AS line_first, round(mu + sd * z1, 6) AS line_last FROM q"""
 
+_DISTANCES = "SELECT variable, g, abs(value - median(value) OVER (PARTITION BY variable, g)) AS z FROM long"
+_PRICES = "SELECT 'o_totalprice' AS variable, o_orderstatus AS g, o_totalprice AS value FROM orders"
+
 ORACLES = {
     "h01_t_test": _T_TEST,
     "h02_shapiro": _SHAPIRO,
     "h03_qq_points": _QQ,
-    "h04_levene": _variance_ratio_sql(
-        "SELECT variable, g, abs(value - median(value) OVER (PARTITION BY variable, g)) AS z FROM long"
-    ),
+    "h04_levene": _variance_ratio_sql(_DISTANCES),
     "h04_anova": _variance_ratio_sql("SELECT variable, g, value AS z FROM long"),
     "h05_kruskal": f"{_kruskal_sql(_LONG)} SELECT {_KRUSKAL_COLUMNS} FROM h",
     "h06_chi_square": _EXPECTED + """,
@@ -216,8 +217,10 @@ ORACLES = {
         CAST(n AS BIGINT) AS n, round(e, 6) AS expected FROM e""",
     "h07_verdict": f"""{_kruskal_sql(_LONG)} SELECT {_KRUSKAL_COLUMNS},
         CASE WHEN exp(-h / 2) < 0.05 THEN 'reject' ELSE 'fail to reject' END AS verdict FROM h""",
-    "h08_compare_groups": _kruskal_sql(
-        "SELECT 'o_totalprice' AS variable, o_orderstatus AS g, o_totalprice AS value FROM orders"
-    ) + """ SELECT variable, 'kruskal' AS test, round(h, 6) AS statistic, round(exp(-h / 2), 6) AS p_value,
-        CASE WHEN exp(-h / 2) < 0.05 THEN 'reject' ELSE 'fail to reject' END AS verdict FROM h""",
+    "h08_compare_groups": f"""WITH tests AS ({_kruskal_sql(_PRICES)}
+          SELECT variable, 'kruskal' AS test, round(h, 6) AS statistic, round(exp(-h / 2), 6) AS p_value,
+          CASE WHEN exp(-h / 2) < 0.05 THEN 'reject' ELSE 'fail to reject' END AS verdict FROM h),
+        normal AS (SELECT variable, min(p_value) AS normality_p FROM ({_SHAPIRO}) GROUP BY 1),
+        equal AS (SELECT variable, p_value AS variance_p FROM ({_variance_ratio_sql(_DISTANCES, _PRICES)}))
+        SELECT * FROM tests JOIN normal USING (variable) JOIN equal USING (variable)""",
 }

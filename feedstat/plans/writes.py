@@ -89,6 +89,36 @@ def current_snapshot(spark, sf_dir):
     return show_bars(current)
 
 
+def _delivered(spark, sf_dir):
+    """Bars per ticker and year, the years to 1995 delivered again after the rest."""
+    path = scratch_path(spark, "delivered")
+    rows = materialize(with_period(daily_bars(spark, sf_dir), "yyyy"), "deliveries")
+    files.write_partitioned(rows, path, ["ticker", "period"])
+    files.write_partitioned(rows.where("period <= '1995'"), path, ["ticker", "period"], replace_all=False)
+    # the last of them goes once more, alone, so that no two have the same time
+    last = rows.where("period = '1995'")
+    files.write_partitioned(last, path, ["ticker", "period"], replace_all=False)
+    return path, rows
+
+
+def ticker_tables(spark, sf_dir):
+    """One table per ticker over the folder that was delivered last, all of them united by name."""
+    path, _ = _delivered(spark, sf_dir)
+    newest = tables.newest_periods(tables.file_manifest(spark, path))
+    names = tables.register_ticker_tables(spark, newest, f"bars_{uuid.uuid4().hex}", path, "parquet")
+    return show_bars(delimited.union_batches([spark.table(name) for name in names]))
+
+
+def redelivered(spark, sf_dir):
+    path, rows = _delivered(spark, sf_dir)
+    stored = spark.read.schema(rows.schema).parquet(path)
+    current, archive = scratch_path(spark, "current"), scratch_path(spark, "archive")
+    table = zones.rotate(
+        spark, f"redelivered_{uuid.uuid4().hex}", stored, current, archive, manifest=tables.file_manifest(spark, path)
+    )
+    return _zones_of(spark, table, archive, rows.schema)
+
+
 def promoted(spark, sf_dir):
     source = scratch_path(spark, "zone")
     bars = daily_bars(spark, sf_dir).withColumn("dataset", ticker())
@@ -96,17 +126,21 @@ def promoted(spark, sf_dir):
     return zones.promote(spark, source, scratch_path(spark, "zone"), dataset_pattern="dataset=([^/]+)")
 
 
-def rotated(spark, sf_dir):
-    rows = materialize(with_period(daily_bars(spark, sf_dir), "yyyy"), "snapshots")
-    current, archive = scratch_path(spark, "current"), scratch_path(spark, "archive")
-    table = zones.rotate(spark, f"rotated_{uuid.uuid4().hex}", rows, current, archive)
-    archived = spark.read.schema(rows.schema).parquet(archive)
+def _zones_of(spark, table, archive, schema):
+    archived = spark.read.schema(schema).parquet(archive)
     both = table.select("ticker", "period", F.lit("current").alias("zone")).unionAll(
         archived.select("ticker", "period", F.lit("archive").alias("zone"))
     )
     return both.groupBy("ticker", "period", "zone").agg(F.count(F.lit(1)).alias("n_rows"))
 
 
+def rotated(spark, sf_dir):
+    rows = materialize(with_period(daily_bars(spark, sf_dir), "yyyy"), "snapshots")
+    current, archive = scratch_path(spark, "current"), scratch_path(spark, "archive")
+    table = zones.rotate(spark, f"rotated_{uuid.uuid4().hex}", rows, current, archive)
+    return _zones_of(spark, table, archive, rows.schema)
+
+
 QUERIES = {
     "k01_partitioned_write": partitioned,
     "k01_partitioned_write_keeps_others": partitioned_keep_others,
@@ -117,7 +151,9 @@ QUERIES = {
     "k06_summary_write": summary_text,
     "k07_registered_table": registered,
     "k08_current_snapshot": current_snapshot,
+    "k08_ticker_tables": ticker_tables,
     "k09_promoted_zone": promoted,
+    "l02_redelivered_periods": redelivered,
     "l02_rotated_snapshots": rotated,
 }
 
@@ -139,6 +175,10 @@ ORACLES = {
     "k08_current_snapshot": f"""WITH {DAILY_SQL} SELECT {BARS_SQL} FROM (
         SELECT *, max(year(Date)) OVER (PARTITION BY Script_name) AS newest FROM daily) b
         WHERE year(b.Date) = newest""",
+    "k08_ticker_tables": f"""WITH {DAILY_SQL} SELECT {BARS_SQL} FROM daily WHERE year(Date) = 1995""",
+    "l02_redelivered_periods": f"""WITH {DAILY_SQL} SELECT {TICKER_SQL} AS ticker, strftime(Date, '%Y') AS period,
+        CASE WHEN strftime(Date, '%Y') = '1995' THEN 'current' ELSE 'archive' END AS zone,
+        CAST(count(*) AS BIGINT) AS n_rows FROM daily GROUP BY ALL""",
     "k09_promoted_zone": f"""WITH {DAILY_SQL} SELECT {TICKER_SQL} AS dataset,
         CAST(count(*) AS BIGINT) AS n_rows FROM daily GROUP BY 1""",
     "l02_rotated_snapshots": f"""WITH {DAILY_SQL}, periods AS (

@@ -8,9 +8,11 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feedstat.session import materialize
 from pyspark.sql.types import StructType
 
+from feedstat.session import materialize, scratch_path
+from feedstat.sources.listing import list_files
+
 
 def _quoted(name: str) -> str:
     return ".".join(f"`{part}`" for part in name.split("."))
@@ -77,25 +79,39 @@ def escaped(name: str) -> str:
     return "".join(f"%{ord(c):02X}" if c in special or ord(c) < 32 else c for c in name)
 
 
-def newest_periods(table: DataFrame, ticker: str = "ticker", period: str = "period") -> DataFrame:
-    """The rows of every ticker's newest period.
+def file_manifest(spark: SparkSession, root: str) -> DataFrame:
+    """(ticker, period, modified) of the folders ``ticker=.../period=...`` below ``root``, by their last modified file."""
+    files = list_files(spark, root)
+    raw = {name: F.regexp_extract("path", f"/{name}=([^/]+)/", 1) for name in ("ticker", "period")}
+    parts = [F.url_decode(F.replace(value, F.lit("+"), F.lit("%2B"))).alias(name) for name, value in raw.items()]
+    return files.select(*parts, "modified").groupBy("ticker", "period").agg(F.max("modified").alias("modified"))
 
-    The newest period per ticker is one small row each, written and joined back; no ticker's
-    rows are sorted or brought together.
-    """
-    newest = materialize(table.groupBy(ticker).agg(F.max(period).alias(period)), "newest-periods")
-    return table.join(newest, [ticker, period], "left_semi")
+
+def newest_periods(manifest: DataFrame) -> DataFrame:
+    """Written (ticker, period): the period of every ticker that was delivered last, of several the latest period."""
+    last = manifest.groupBy("ticker").agg(F.max(F.struct("modified", "period")).alias("last"))
+    return materialize(last.select("ticker", F.col("last.period").alias("period")), "newest-periods")
 
 
 def register_current(
-    spark: SparkSession, name: str, table: str, ticker: str = "ticker", period: str = "period"
+    spark: SparkSession, name: str, table: str, ticker: str = "ticker", period: str = "period",
+    manifest: DataFrame | None = None,
 ) -> DataFrame:
-    """A view that always shows the newest period of every ticker."""
+    """A view of the newest period of every ticker.
+
+    Without a ``manifest`` the newest period is the greatest one, whenever the view is read. With
+    the (ticker, period, modified) rows of one it is the period delivered last, as of now, so a
+    month that is delivered again becomes current.
+    """
     t, p = f"`{ticker}`", f"`{period}`"
+    newest = f"SELECT {t}, max({p}) AS {p} FROM {_quoted(table)} GROUP BY {t}"
+    if manifest is not None:
+        path = scratch_path(spark, "current-periods")
+        newest_periods(manifest).write.parquet(path)
+        newest = f"SELECT `ticker` AS {t}, `period` AS {p} FROM parquet.`{path}`"
     spark.sql(
         f"CREATE OR REPLACE VIEW {_quoted(name)} AS SELECT a.* FROM {_quoted(table)} a "
-        f"LEFT SEMI JOIN (SELECT {t}, max({p}) AS {p} FROM {_quoted(table)} GROUP BY {t}) b "
-        f"ON a.{t} = b.{t} AND a.{p} = b.{p}"
+        f"LEFT SEMI JOIN ({newest}) b ON a.{t} = b.{t} AND a.{p} = b.{p}"
     )
     return spark.table(name)
 
@@ -109,12 +125,12 @@ def register_ticker_tables(
     the driver, one per ticker, streamed. Two tickers whose table names would be the same
     stop the job before the second takes the first one's table.
     """
-    names = []
+    names: dict[str, str] = {}
     for row in newest.select("ticker", "period").toLocalIterator():
         name = f"{prefix}_{row.ticker}".lower().replace("-", "_").replace(" ", "_")
         if name in names:
-            raise ValueError(f"two tickers would have the table {name}, one is {row.ticker}")
+            raise ValueError(f"two tickers would have the table {name}, {names[name]} and {row.ticker}")
         folder = f"ticker={escaped(row.ticker)}/period={escaped(row.period)}"
         register_table(spark, name, f"{root}/{folder}", fmt, **options)
-        names.append(name)
-    return names
+        names[name] = row.ticker
+    return list(names)

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from feedstat.session import materialize
 from feedstat.sinks.files import together
-from feedstat.sinks.tables import register_table
+from feedstat.sinks.tables import newest_periods, register_table
 from feedstat.sources.listing import dataset_name
 
 
@@ -44,16 +44,21 @@ def promote(
 
 def rotate(
     spark: SparkSession, table: str, rows: DataFrame, current: str, archive: str,
-    ticker: str = "ticker", period: str = "period",
+    ticker: str = "ticker", period: str = "period", manifest: DataFrame | None = None,
 ) -> DataFrame:
     """Keep the newest period of every ticker in ``current`` and add the rest to ``archive``.
 
+    The newest period is the greatest one or, with a ``manifest`` (ticker, period, modified) of the
+    files, the one delivered last.
+
     Both are new paths or append targets, never the one ``rows`` are read from; the
     table is pointed at ``current`` only after it is complete.
     """
-    newest = rows.groupBy(ticker).agg(F.max(period).alias(period))
     # written first, so its size is known where it is joined and large tables stay where they are
-    newest = materialize(newest, "newest-periods")
+    if manifest is None:
+        newest = materialize(rows.groupBy(ticker).agg(F.max(period).alias(period)), "newest-periods")
+    else:
+        newest = newest_periods(manifest).withColumnsRenamed({"ticker": ticker, "period": period})
     for how, path, mode in (("left_anti", archive, "overwrite"), ("left_semi", current, "errorifexists")):
         part = together(rows.join(newest, [ticker, period], how), [ticker, period])
         # a retry replaces the folders of its own periods in the archive and adds no row twice

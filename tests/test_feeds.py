@@ -336,6 +336,26 @@ def test_rotation_keeps_newest_and_adds_to_archive(spark, tmp_path):
     assert sorted(r.v for r in spark.read.schema(rows.schema).parquet(archive).collect()) == [1, 3]
 
 
+def test_a_period_delivered_again_becomes_current(spark, tmp_path):
+    rows = spark.createDataFrame(
+        [("A", "1", 1), ("A", "2", 2), ("A", "3", 3), ("B b", "1", 4), ("B b", "2", 5)], "ticker string, period string, v int"
+    )
+    path = files.write_partitioned(rows, str(tmp_path / "rows"), ["ticker", "period"])
+    later = time.time() + 100
+    for file in (tmp_path / "rows").glob("ticker=A/period=2/*.parquet"):
+        os.utime(file, (later, later))
+    for file in (tmp_path / "rows").glob("ticker=B*/*/*.parquet"):
+        os.utime(file, (later, later))  # of the same time the later period counts
+    manifest = tables.file_manifest(spark, path)
+    stored = spark.read.schema(rows.schema).parquet(path)
+    current = zones.rotate(spark, "again", stored, str(tmp_path / "now"), str(tmp_path / "old"), manifest=manifest)
+    assert sorted(r.v for r in current.collect()) == [2, 5]
+    assert sorted(r.v for r in spark.read.schema(rows.schema).parquet(str(tmp_path / "old")).collect()) == [1, 3, 4]
+    tables.register_table(spark, "all_periods", path, schema=rows.schema, partitioned_by=["ticker", "period"])
+    assert sorted(r.v for r in tables.register_current(spark, "last_periods", "all_periods", manifest=manifest).collect()) == [2, 5]
+    assert sorted(r.v for r in tables.register_current(spark, "last_periods", "all_periods").collect()) == [3, 5]
+
+
 def test_weekly_job(spark, tmp_path):
     write(tmp_path / "feed" / "prices" / "f.csv", PIPE)
     write(tmp_path / "headers" / "prices" / "h.csv", HEADER + "\n")

@@ -87,10 +87,10 @@ def _cut_again(bucketed: DataFrame, keys: Sequence[str], overfull: DataFrame) ->
 
 
 def _cells(
-    bucketed: DataFrame, keys: Sequence[str], n: Column, rows_per_bucket: int, *more: Column
+    bucketed: DataFrame, keys: Sequence[str], n: Column, rows_per_bucket: int
 ) -> tuple[DataFrame, DataFrame]:
     """The rows with final buckets, and a written table of (keys, bucket): rows, rows of
-    earlier buckets, all rows, smallest, largest, and the aggregates ``more``.
+    earlier buckets, all rows, smallest, largest.
 
     A bucket of more than four times ``rows_per_bucket`` different values is cut again. They are
     counted only in buckets with so many rows.
@@ -101,7 +101,7 @@ def _cells(
     while True:
         sums = bucketed.groupBy(*cell).agg(
             F.sum(n).alias("size"), F.min("value").alias("min"), F.max("value").alias("max"),
-            F.min(finite).alias("low"), F.max(finite).alias("high"), *more,
+            F.min(finite).alias("low"), F.max(finite).alias("high"),
         )
         cells = materialize(
             sums.select(
@@ -193,22 +193,19 @@ def quantiles(
     probabilities: Mapping[str, float],
     by: Iterable[str] = (),
     rows_per_bucket: int = ROWS_PER_BUCKET,
-    moments: bool = False,
 ) -> DataFrame:
     """Written table with one row per (variable, by): total, min, max and the named exact quantiles.
 
     Nothing but bucket sums is shuffled, until the buckets that hold a wanted position
     are known; only their values are counted and sorted. ``df`` is read for a sample, for
-    the sums and for the values of those buckets. With ``moments`` the sums also give ``mean`` and
-    ``std``, the sample deviation, from the mean and spread of each bucket.
+    the sums and for the values of those buckets.
     """
     keys = ["variable", *by]
     rows = long_form(df, columns, by)
     named = [_quantile(p).alias(name) for name, p in probabilities.items()]
     cell = [*keys, "bucket"]
     bucketed = cut(rows, df.count() * len(columns), rows_per_bucket)
-    more = [F.avg("value").alias("mean"), F.var_pop("value").alias("spread")] if moments else []
-    bucketed, cells = _cells(bucketed, keys, F.lit(1), rows_per_bucket, *more)
+    bucketed, cells = _cells(bucketed, keys, F.lit(1), rows_per_bucket)
     inside = F.lit(False)
     for p in probabilities.values():
         for position in _targets(p)[:2]:
@@ -229,13 +226,4 @@ def quantiles(
     bounds = cells.groupBy(*keys).agg(
         F.max("total").alias("total"), F.min("min").alias("min"), F.max("max").alias("max")
     )
-    if moments:
-        share = F.col("size").cast("double")
-        means = cells.groupBy(*keys).agg((F.sum(share * F.col("mean")) / F.sum(share)).alias("whole"))
-        apart = F.col("mean") - F.col("whole")
-        squares = F.sum(share * (F.col("spread") + apart * apart))
-        spread = F.sqrt(squares / F.when(F.sum("size") > 1, F.sum("size") - 1))
-        bounds = bounds.join(
-            cells.join(means, keys).groupBy(*keys).agg(F.max("whole").alias("mean"), spread.alias("std")), keys
-        )
     return materialize(bounds.join(found, keys), "quantiles")

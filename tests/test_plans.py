@@ -87,8 +87,8 @@ def test_large_groups_are_salted(spark, sf_dir):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
 
 
-def test_describe_reads_its_rows_three_times(spark, sf_dir, tmp_path):
-    """For a sample, for the sums and for the values around the quartiles."""
+def test_quartiles_read_written_rows_twice(spark, sf_dir):
+    """Beside the sample: once for the sums and once for the values around the quartiles."""
     rows = table(spark, sf_dir, "lineitem")
     read = []
 
@@ -98,7 +98,7 @@ def test_describe_reads_its_rows_three_times(spark, sf_dir, tmp_path):
 
     ranks.materialize, before = seen, ranks.materialize
     try:
-        profile.describe(rows, ["l_quantity", "l_tax"]).collect()
+        profile.describe(rows, ["l_quantity", "l_tax"])
     finally:
         ranks.materialize = before
     assert dict(read)["bucket-cells"] == 1 and sum(count for _, count in read) == 2

@@ -37,21 +37,29 @@ def ends_inside(line: str, inside: bool, sep: str) -> bool:
         place = opens + len(sep) + 1
 
 
-def record_counts(lines: DataFrame, sep: str) -> DataFrame:
-    """(file, n_records) from lines (file, start, value) in the order in which a scan gives them.
+def block_records(lines: DataFrame, sep: str) -> DataFrame:
+    """The records of each block of a file, from lines (file, start, place, value) in the order in which a scan gives them.
 
     A record is a line that is not blank and does not start inside a quoted cell. Whether a
     block of a file starts inside one is known only from the blocks before, so each block is
     counted for both cases, with the case it leaves to the next; running sums over the blocks
     of a file then pick one. Only lines with quotes leave the JVM.
+
+    Returns (file, start, place, n_lines, n_records, lead, head): the place of the block's first line,
+    its number of lines, the records that start in it, the lines in front that end a record of a
+    block before, and the lines up to the end of its first record (null where that isn't in it).
     """
+    counted = "outside long, inside long, then_outside int, then_inside int, lead long, head long"
+
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         block, now, counts = None, [0, 1], [0, 0]  # state and records, by the state at the block's start
+        place, seen, lead, opened, head = 0, 0, None, False, None
 
         def out() -> pa.RecordBatch:
-            kinds = [pa.string(), *[pa.int64()] * 3, *[pa.int32()] * 2]
-            names = ["file", "start", "outside", "inside", "then_outside", "then_inside"]
-            return pa.RecordBatch.from_arrays([pa.array([v], kind) for v, kind in zip((*block, *counts, *now), kinds)], names)
+            kinds = [pa.string(), *[pa.int64()] * 5, *[pa.int32()] * 2, *[pa.int64()] * 2]
+            names = ["file", "start", "place", "n_lines", "outside", "inside", "then_outside", "then_inside", "lead", "head"]
+            row = (*block, place, seen, *counts, *now, seen if lead is None else lead, head)
+            return pa.RecordBatch.from_arrays([pa.array([v], kind) for v, kind in zip(row, kinds)], names)
 
         for batch in batches:
             if not batch.num_rows:
@@ -67,26 +75,33 @@ def record_counts(lines: DataFrame, sep: str) -> DataFrame:
                     if block is not None:
                         yield out()
                     block, now, counts = own, [0, 1], [0, 0]
+                    place, seen, lead, opened, head = batch["place"][a].as_py(), 0, None, False, None
                 done = a
                 for line in [*quoted[np.searchsorted(quoted, a) : np.searchsorted(quoted, b)].tolist(), None]:
                     # the line with quotes itself is counted by the state before it
                     stop = b if line is None else line + 1
                     for k in (0, 1):
                         counts[k] += int(filled[stop] - filled[done]) if now[k] == 0 else 0
-                    done = stop
+                    if now[0] == 0 and not opened and filled[stop] > filled[done]:
+                        first = int(np.searchsorted(filled, filled[done] + 1))  # behind the first line that is not blank
+                        opened, head = True, seen + first - done if first < stop or line is None else None
+                    seen, done = seen + stop - done, stop
                     if line is not None:
                         text = batch["quoted"][line].as_py()
                         after = [int(ends_inside(text, inside, sep)) for inside in (False, True)]
                         now = [after[now[0]], after[now[1]]]
+                    if opened and head is None and now[0] == 0:
+                        head = seen
+                    if lead is None and now[1] == 0:
+                        lead = seen
         if block is not None:
             yield out()
 
     narrow = lines.select(
-        "file", "start", (F.length(F.trim("value")) > 0).alias("filled"), F.when(F.contains("value", F.lit('"')), F.col("value")).alias("quoted")
-    )
-    blocks = narrow.mapInArrow(
-        count, "file string, start long, outside long, inside long, then_outside int, then_inside int"
+        "file", "start", "place", (F.length(F.trim("value")) > 0).alias("filled"),
+        F.when(F.contains("value", F.lit('"')), F.col("value")).alias("quoted"),
     )
+    blocks = narrow.mapInArrow(count, f"file string, start long, place long, n_lines long, {counted}")
     upto = Window.partitionBy("file").orderBy("start").rowsBetween(Window.unboundedPreceding, 0)
     before = Window.partitionBy("file").orderBy("start").rowsBetween(Window.unboundedPreceding, -1)
     # a block sets the state, keeps it, or turns it over
@@ -97,7 +112,15 @@ def record_counts(lines: DataFrame, sep: str) -> DataFrame:
         - F.coalesce(F.last(F.when(sets, F.col("turns")), ignorenulls=True).over(before), F.lit(0)),
     })
     inside = (F.col("set") + F.col("since")) % 2 == 1
-    return states.groupBy("file").agg(F.sum(F.when(inside, F.col("inside")).otherwise(F.col("outside"))).alias("n_records"))
+    return states.select(
+        "file", "start", "place", "n_lines", F.when(inside, F.col("inside")).otherwise(F.col("outside")).alias("n_records"),
+        F.when(inside, F.col("lead")).otherwise(F.lit(0)).alias("lead"), F.when(~inside, F.col("head")).alias("head"),
+    )
+
+
+def record_counts(lines: DataFrame, sep: str) -> DataFrame:
+    """(file, n_records) from lines as :func:`block_records` takes them."""
+    return block_records(lines, sep).groupBy("file").agg(F.sum("n_records").alias("n_records"))
 
 
 def feed_facts(spark: SparkSession, path: str, dataset_pattern: str, sep: str = "|") -> DataFrame:
@@ -108,7 +131,10 @@ def feed_facts(spark: SparkSession, path: str, dataset_pattern: str, sep: str =
     lines are none, and a quoted cell may hold line breaks. Lines are only counted, never sorted.
     """
     lines = spark.read.option("recursiveFileLookup", True).text(path)
-    lines = lines.select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"), "value")
+    lines = lines.select(
+        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"),
+        F.monotonically_increasing_id().alias("place"), "value",
+    )
     dataset = F.regexp_extract("file", dataset_pattern, 1).alias("dataset")
     rows = record_counts(lines, sep).select(dataset, F.greatest(F.col("n_records") - 1, F.lit(0)).alias("n_rows"))
     counts = rows.groupBy("dataset").agg(F.sum("n_rows").alias("n_rows"))

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from feedstat.operators.quality import block_records, record_counts
 from feedstat.session import materialize
 from feedstat.sinks.files import together
 from feedstat.sinks.tables import newest_periods, register_table
@@ -18,30 +19,70 @@ def promote(
 
     A dataset is named by its file, up to the first dot, or by the group of a regular
     expression on the file path. Lines are carried as they are, each file into a folder of its
-    own below its dataset's: every file keeps its header, its columns and its quoted line breaks. Only
-    the folders of files carried over are replaced in ``target``; other datasets stay. Returns
+    own below its dataset's: every file keeps its header, its columns and its quoted line breaks. A file of
+    several blocks becomes a part per block, each with the header (which ends in the first block) and
+    whole records, so a large file is many tasks. Only the folders of files carried over are replaced in ``target``; other datasets stay. Returns
     the datasets of ``source`` with their number of rows in ``target``.
     """
+    read = spark.read.options(recursiveFileLookup=True, lineSep="\n").text(source)
     path = F.col("_metadata.file_path")
     name = (
         F.regexp_extract(path, dataset_pattern, 1) if dataset_pattern
         else dataset_name(F.col("_metadata.file_name"))
     )
-    lines = spark.read.options(recursiveFileLookup=True, lineSep="\n").text(source).select(
+    folder = ["dataset", "source_file"]
+    lines = read.select(
         name.alias("dataset"), F.col("_metadata.file_name").alias("source_file"), path.alias("file"),
         F.col("_metadata.file_block_start").alias("start"), F.monotonically_increasing_id().alias("place"), "value",
     )
-    ordered = lines.repartition("dataset", "file").sortWithinPartitions("dataset", "source_file", "file", "start", "place")
-    writer = ordered.select("dataset", "source_file", "value").write.partitionBy("dataset", "source_file")
+    plain = lines.withColumn("value", F.rtrim("value", F.lit("\r")))
+    parts = materialize(part_plan(block_records(plain, sep), lines.select(*folder, "file").distinct()), "promoted-parts")
+    spread = parts.agg(F.max("part")).first()[0] or 0
+    width = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spread + 1)
+    keyed = lines.join(parts.drop(*folder), ["file", "start"])
+    line = F.col("place") - F.col("first_place")
+    of_header = (line < F.col("head")) & (F.col("last_part") > F.col("part"))
+    own = F.when(line < F.col("lead"), F.col("lead_part")).otherwise(F.col("part"))
+    dealt = keyed.select(
+        *folder, "file", "start", "place", "value",
+        F.explode(F.when(of_header, F.sequence("part", "last_part")).otherwise(F.array(own))).alias("part"),
+    )
+    # no task gets two parts of a folder, so a header stands only at the top of what is written
+    task = F.pmod(F.hash(*folder).cast("long") + F.col("part"), F.lit(width)).cast("int")
+    ordered = dealt.repartitionById(width, task).sortWithinPartitions(*folder, "part", "file", "start", "place")
+    writer = ordered.select(*folder, "value").write.partitionBy(*folder)
     writer.mode("overwrite").options(partitionOverwriteMode="dynamic", lineSep="\n").text(target)
-    carried = materialize(lines.select("dataset").distinct(), "carried-datasets")
-    # one column is enough to count rows as the CSV reader sees them
-    layout = "first string, dataset string, source_file string"
-    written = spark.read.schema(layout).options(header=True, sep=sep, multiLine=True).csv(target)
-    counts = written.groupBy("dataset").agg(F.count(F.lit(1)).alias("n_rows"))
+    carried = materialize(parts.select("dataset").distinct(), "carried-datasets")
+    # paths have no line breaks, so the name of the dataset can follow them
+    written = spark.read.schema("value string, dataset string, source_file string").text(target).select(
+        F.concat_ws("\n", path, "dataset").alias("file"), F.col("_metadata.file_block_start").alias("start"),
+        F.monotonically_increasing_id().alias("place"), "value",
+    )
+    rows = record_counts(written, sep).select(
+        F.regexp_extract("file", "^.*\n?([\\s\\S]*)$", 1).alias("dataset"), F.greatest(F.col("n_records") - 1, F.lit(0)).alias("n_rows")
+    )
+    counts = rows.groupBy("dataset").agg(F.sum("n_rows").alias("n_rows"))
     return carried.join(counts, "dataset", "left").select("dataset", F.coalesce("n_rows", F.lit(0)).alias("n_rows"))
 
 
+def part_plan(blocks: DataFrame, names: DataFrame) -> DataFrame:
+    """Which part of its folder each block of a file goes to, from ``block_records`` and (dataset, source_file, file).
+
+    ``part`` takes the lines from the block's first record on, ``lead_part`` those before; ``head`` is
+    set in the first block of a file, with ``last_part`` the last part of the file. One row per block.
+    """
+    whole = Window.partitionBy("dataset", "source_file").orderBy("file", "start")
+    file = Window.partitionBy("dataset", "source_file", "file")
+    begins = (F.col("lead") < F.col("n_lines")).cast("int")
+    numbered = blocks.join(names, "file").withColumn("part", F.sum(begins).over(whole) - 1)
+    first = F.col("start") == F.min("start").over(file)
+    return numbered.select(
+        "dataset", "source_file", "file", "start", F.col("place").alias("first_place"), "lead",
+        (F.col("part") - begins).alias("lead_part"), "part", F.max("part").over(file).alias("last_part"),
+        F.when(first, F.coalesce("head", F.lit(0))).otherwise(F.lit(0)).alias("head"),
+    )
+
+
 def rotate(
     spark: SparkSession, table: str, rows: DataFrame, current: str, archive: str,
     ticker: str = "ticker", period: str = "period", manifest: DataFrame | None = None,

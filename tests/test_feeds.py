@@ -408,6 +408,42 @@ def test_promote_keeps_each_header_and_other_datasets(spark, tmp_path):
     assert [r.asDict() for r in read("C").collect()] == [{"z": "9"}]
 
 
+@pytest.mark.parametrize("split", [40, 97, 1000])
+def test_promote_cuts_files_between_records(spark, tmp_path, split):
+    """Against the csv module: parts by block, each with the header, hold the records of the file in order and whole."""
+    rng = random.Random(split)
+    cells = ["", "x", "\n", "\n\n\n", 'a"b\n"', "a,b\n\nc", "long " * 30, "y\n" * 40]
+    texts = {}
+    for name, header in (("one", "a,b,c\r\n"), ("two", '"a\n1",b,c\n'), ("three", "a,b,c\n")):
+        text = header
+        for _ in range(0 if name == "three" else 80):
+            row = [rng.choice(cells) for _ in range(3)]
+            text += ",".join('"' + c.replace('"', '""') + '"' for c in row) + ("\r\n" if rng.random() < 0.2 else "\n")
+            text += "\n" if rng.random() < 0.1 else ""
+        texts[name] = text
+        write(tmp_path / "in" / f"{name}.csv", text)
+    records = {name: [row for row in csv.reader(io.StringIO(text, newline="")) if row] for name, text in texts.items()}
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(split))
+    try:
+        done = {r.dataset: r.n_rows for r in zones.promote(spark, str(tmp_path / "in"), str(tmp_path / "out")).collect()}
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert done == {name: len(rows) - 1 for name, rows in records.items()}
+    for name, rows in records.items():
+        parts = list((tmp_path / "out" / f"dataset={name}").glob("source_file=*/part-*"))
+        assert name == "three" or len(parts) > 3
+        found = []
+        for part in parts:
+            own = [row for row in csv.reader(io.StringIO(part.read_bytes().decode(), newline="")) if row]
+            assert own[0] == rows[0]
+            found.append(own[1:])
+        wanted = [str(row) for row in rows[1:]]
+        assert sorted(str(row) for own in found for row in own) == sorted(wanted)
+        # each part is a stretch of the file
+        assert all(str([str(r) for r in own])[1:-1] in str(wanted) for own in found)
+
+
 def test_control_files_are_their_first_lines_and_headers_are_unquoted(spark, tmp_path):
     write(tmp_path / "headers" / "px" / "h.csv", '"Script name", "a,b",Date\nAAA,1,2020\n')
     write(tmp_path / "counters" / "px" / "c.txt", "Rows:3\nRows:9\n")

@@ -5,15 +5,19 @@ the positions whose short hash is the least of the window. The search goes in ro
 blocks of documents, as one lazy job whose stages Spark can run again:
 
 1. each block sends the hashes of its anchors to the shard that owns them;
-2. a shard returns to each block those that another anchor has too;
-3. each block sends what surrounds these anchors to the shards, as sorted runs, a row per
-   shard; what a block holds twice is settled inside it and sent once;
-4. a shard finds which windows occur earlier elsewhere, and returns the spans they cover;
-5. each block removes its spans.
+2. a shard returns to each block those that another anchor has too, and says which are hot:
+   those with many different surroundings, as a short line has that stands everywhere;
+3. each block sends, for its hot anchors, the hashes of the windows around them, cut to what all
+   windows of a class (whose starts lie close together) have in common; those that come twice return;
+4. each block sends what surrounds its repeated anchors to the shards, as sorted runs, a row per
+   shard; what a block holds twice is settled inside it and sent once. Around a hot anchor
+   only the classes of windows that come twice are sent, each to the shard of its own hash;
+5. a shard finds which windows occur earlier elsewhere, and returns the spans they cover;
+6. each block removes its spans.
 
 Only the anchors of passages that repeat carry any text, so the volume follows the repeated
 part of the corpus. A shard gets each distinct surrounding once per block at most, however
-many copies there are.
+many copies there are, and the different surroundings of a hot anchor go to different shards.
 """
 
 from __future__ import annotations
@@ -26,30 +30,38 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import StructType
 
+from feedstat.llm.arrays import mixed, starts_of, window_hashes
+
 #: Bytes of text in a block of documents.
 BLOCK_BYTES = 2 << 20
 #: Shards that one task settles, one after the other.
 SHARDS_PER_TASK = 4
+#: Different surroundings, and at least two in each block on average, that make an anchor a hot one.
+HOT_ROWS = 2048
+#: Low bits of an entry that hold a count and a flag in place of the hash.
+COUNT_BITS = np.uint64(8)
+ONE = np.uint64(1)
 BLOCK_SCHEMA = "block long, shard long, data binary"
 
 
-def shard_rows(block: int, shards: np.ndarray, count: int, pack: Callable[[int, int], bytes]) -> pa.RecordBatch:
+def shard_rows(block: int, shards: np.ndarray, pack: Callable[[int, int], bytes]) -> pa.Table:
     """A row for each shard that has entries; ``shards`` is sorted, ``pack(a, b)`` gives the entries' bytes."""
-    edges = np.searchsorted(shards, np.arange(count + 1))
-    own = [(k, a, b) for k, (a, b) in enumerate(zip(edges[:-1].tolist(), edges[1:].tolist())) if a < b]
-    return pa.RecordBatch.from_arrays(
-        [pa.array([block] * len(own), pa.int64()), pa.array([k for k, _, _ in own], pa.int64()),
-         pa.array([pack(a, b) for _, a, b in own], pa.binary())],
-        ["block", "shard", "data"],
-    )
+    edges = np.flatnonzero(np.concatenate(([True], shards[1:] != shards[:-1], [True]))) if len(shards) else np.zeros(1, int)
+    own = list(zip(edges[:-1].tolist(), edges[1:].tolist()))
+    return pa.table({
+        "block": pa.array([block] * len(own), pa.int64()), "shard": pa.array([int(shards[a]) for a, _ in own], pa.int64()),
+        "data": pa.array([pack(a, b) for a, b in own], pa.binary()),
+    })
 
 
-def known(hashes: np.ndarray, wanted: np.ndarray) -> np.ndarray:
-    """Which 64-bit hashes have their upper 63 bits in the sorted ``wanted``."""
-    if not len(wanted):
-        return np.zeros(len(hashes), bool)
-    upper = hashes >> np.uint64(1)
-    return wanted[np.minimum(np.searchsorted(wanted, upper), len(wanted) - 1)] == upper
+def lookup(hashes: np.ndarray, replies: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Which 64-bit hashes have their upper bits in the sorted ``replies``, and which of them are hot."""
+    if not len(replies):
+        return np.zeros(len(hashes), bool), np.zeros(len(hashes), bool)
+    upper = hashes >> COUNT_BITS
+    at = np.minimum(np.searchsorted(replies >> COUNT_BITS, upper), len(replies) - 1)
+    known = replies[at] >> COUNT_BITS == upper
+    return known, known & (replies[at] & ONE == ONE)
 
 
 def inner_windows(lengths: np.ndarray, width: int) -> np.ndarray:
@@ -65,8 +77,8 @@ def shard_of(hashes: np.ndarray, count: int) -> np.ndarray:
     return ((hashes >> np.uint64(32)) * np.uint64(count) >> np.uint64(32)).astype(np.int64)
 
 
-def repeated_hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Per block, the hashes that come twice: from another block too, or marked (lowest bit) as twice in it."""
+def repeated_hashes(batches: Iterator[pa.RecordBatch], hot_rows: int) -> Iterator[pa.RecordBatch]:
+    """Per block, the hashes that come twice, from another block too or twice in it, with a lowest bit for hot ones."""
     blocks, parts = [], []
     for batch in batches:
         blocks.extend(batch["block"].to_pylist())
@@ -76,15 +88,20 @@ def repeated_hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
     sizes = [len(part) for part in parts]
     flat = np.concatenate(parts)
     owner = np.repeat(np.arange(len(parts)), sizes)
-    order = np.argsort(flat >> np.uint64(1), kind="stable")
-    hashes, owner = flat[order], owner[order]
-    same = hashes[1:] >> np.uint64(1) == hashes[:-1] >> np.uint64(1)
-    twice = np.concatenate((same, [False])) | np.concatenate(([False], same)) | (hashes & np.uint64(1) == 1)
-    hashes, owner = hashes[twice] >> np.uint64(1), owner[twice]
+    order = np.argsort(flat >> COUNT_BITS, kind="stable")
+    flat, owner = flat[order], owner[order]
+    hashes = flat >> COUNT_BITS
+    first = np.flatnonzero(np.concatenate(([True], hashes[1:] != hashes[:-1])))
+    members = np.diff(np.append(first, len(flat)))
+    different = np.add.reduceat((flat >> ONE & np.uint64(127)).astype(np.int64), first)
+    hot = (different >= hot_rows) & (different >= 2 * members)
+    twice = (members > 1) | (flat[first] & ONE == ONE)
+    keep = np.repeat(twice, members)
+    replies, owner = (hashes << COUNT_BITS | np.repeat(hot, members).astype(np.uint64))[keep], owner[keep]
     back = np.argsort(owner, kind="stable")
-    hashes, owner = hashes[back], owner[back]
+    replies, owner = replies[back], owner[back]
     edges = np.searchsorted(owner, np.arange(len(parts) + 1))
-    out = [(blocks[k], hashes[a:b].tobytes()) for k, (a, b) in enumerate(zip(edges[:-1], edges[1:])) if a < b]
+    out = [(blocks[k], replies[a:b].tobytes()) for k, (a, b) in enumerate(zip(edges[:-1], edges[1:])) if a < b]
     for k in range(0, len(out), 1000):
         rows = out[k : k + 1000]
         yield pa.RecordBatch.from_arrays(
@@ -92,10 +109,76 @@ def repeated_hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
         )
 
 
-def anchor_entries(hashes: np.ndarray) -> np.ndarray:
-    """Distinct 63-bit hashes with a lowest bit that says whether one comes twice, sorted."""
-    own, counts = np.unique(hashes >> np.uint64(1), return_counts=True)
-    return own * np.uint64(2) + (counts > 1)
+def entries_of(hashes: np.ndarray, around: np.ndarray) -> np.ndarray:
+    """Distinct hashes, sorted; the low bits say how many values of ``around`` each has (up to 127), and if it comes twice."""
+    if not len(hashes):
+        return np.zeros(0, np.uint64)
+    upper = hashes >> COUNT_BITS
+    order = np.lexsort((around, upper))
+    upper, around = upper[order], around[order]
+    fresh = np.concatenate(([True], upper[1:] != upper[:-1]))
+    other = fresh | np.concatenate(([True], around[1:] != around[:-1]))
+    first = np.flatnonzero(fresh)
+    several = np.diff(np.append(first, len(upper))) > 1
+    different = np.minimum(np.add.reduceat(other.astype(np.int64), first), 127).astype(np.uint64)
+    return upper[first] << COUNT_BITS | different << ONE | several
+
+
+def replies_of(data: pa.ChunkedArray) -> np.ndarray:
+    """The sorted replies of all shards to a block."""
+    parts = [np.frombuffer(part, np.uint64) for part in data.to_pylist()]
+    return np.sort(np.concatenate(parts)) if parts else np.zeros(0, np.uint64)
+
+
+def around_hashes(units: np.ndarray, places: np.ndarray, before: int, length: int) -> np.ndarray:
+    """A hash of what surrounds each place; near the ends of the block, of the nearest stretch of that length."""
+    hashes = window_hashes(units, before + length)
+    return hashes[np.clip(places - before, 0, len(hashes) - 1)] if len(hashes) else np.zeros(len(places), np.uint64)
+
+
+class Anchors:
+    """Anchors of a block: places, hashes, documents, and the units before (at most ``most``) and behind (``length``).
+
+    Windows of ``length`` units that start ``k`` units before an anchor are of the class ``k // step``.
+    """
+
+    def __init__(self, units: np.ndarray, lengths: np.ndarray, places: np.ndarray, hashes: np.ndarray, most: int, length: int, step: int):
+        self.units, self.most, self.length, self.step = units, most, length, step
+        self.starts = starts_of(lengths)
+        self.places, self.hashes = places, hashes
+        self.doc = np.searchsorted(self.starts, places, side="right") - 1
+        self.before = np.minimum(places - self.starts[self.doc], most)
+        self.behind = np.minimum(self.starts[self.doc + 1] - places, length)
+
+    def classes(self, hot: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """For anchors with the numbers ``hot``: anchor, least start and hash of each class of windows they stand in."""
+        if not len(hot):
+            return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint64)
+        least = np.arange(0, self.most + 1, self.step)
+        reach = np.minimum(self.before[hot, None], least + self.step - 1) + np.minimum(self.behind[hot, None], self.length - least)
+        anchor, number = np.nonzero(reach >= self.length)
+        anchor, least = hot[anchor], least[number]
+        common = window_hashes(self.units, self.length - self.step + 1)[self.places[anchor] - least]
+        return anchor, least, mixed(common + least.astype(np.uint64))
+
+    def hot_hashes(self, replies: np.ndarray) -> np.ndarray:
+        """The hashes of all classes of the hot anchors."""
+        return self.classes(np.flatnonzero(lookup(self.hashes, replies)[1]))[2]
+
+    def sent(self, replies: np.ndarray, again: np.ndarray) -> tuple[np.ndarray, ...]:
+        """Place, document, units before and behind, and hash that deals it, of all passages to send.
+
+        Of a hot anchor a passage for each class whose hash is in ``again``, cut to what the class spans.
+        """
+        known, hot = lookup(self.hashes, replies)
+        plain = np.flatnonzero(known & ~hot)
+        anchor, least, hashes = self.classes(np.flatnonzero(hot))
+        keep = lookup(hashes, again)[0]
+        anchor, least, hashes = anchor[keep], least[keep], hashes[keep]
+        both = np.concatenate((plain, anchor))
+        before = np.concatenate((self.before[plain], np.minimum(self.before[anchor], least + self.step - 1)))
+        behind = np.concatenate((self.behind[plain], np.minimum(self.behind[anchor], self.length - least)))
+        return self.places[both], self.doc[both], before, behind, np.concatenate((self.hashes[plain], hashes))
 
 
 class Block:
@@ -117,13 +200,13 @@ class Block:
 
 def search(
     docs: DataFrame, id_col: str, text_col: str,
-    anchors_of: Callable, surroundings: Callable, settle: Callable, remove: Callable, schema: str,
+    anchors_of: Callable, surroundings: Callable, settle: Callable, remove: Callable, schema: str, hot_rows: int,
     carry: list[str] | None = None, block_bytes: int = BLOCK_BYTES,
 ) -> DataFrame:
     """The rounds above over ``docs``.
 
-    ``anchors_of(block)`` gives hashes; ``surroundings(block, hashes, shards)`` gives (shard,
-    bytes) rows and the spans settled inside; ``settle(parts)`` gives (block, spans); and
+    ``anchors_of(block)`` gives :class:`Anchors`; ``surroundings(block, units, starts, sent, shards)`` gives (shard,
+    bytes) rows of what ``Anchors.sent`` names and the spans settled inside; ``settle(parts)`` gives (block, spans); and
     ``remove(block, spans)`` the result columns in the order of the block's rows. Spans are
     int64 triples (document of the block, first, end). Columns of ``carry`` come along unread.
     """
@@ -139,21 +222,37 @@ def search(
     # the id and the text say where a row goes, so a row is found again whenever a stage runs again
     blocks = plain.withColumn("block", F.pmod(F.xxhash64("doc_id", F.octet_length(F.coalesce("text", F.lit("")))), F.lit(count)))
 
+    def dealt(number: int, own: np.ndarray) -> pa.Table:
+        return shard_rows(number, shard_of(own, shards), lambda a, b: own[a:b].tobytes())
+
     def entries(key, table):
-        own = anchor_entries(anchors_of(Block(table)))
-        batch = shard_rows(key[0].as_py(), shard_of(own, shards), shards, lambda a, b: own[a:b].tobytes())
-        return pa.Table.from_batches([batch])
+        own = anchors_of(Block(table))
+        return dealt(key[0].as_py(), entries_of(own.hashes, around_hashes(own.units, own.places, own.most, own.length)))
+
+    def repeated_of(found: DataFrame) -> DataFrame:
+        return found.repartition(width, "shard").mapInArrow(lambda rows: repeated_hashes(rows, hot_rows), "block long, data binary")
 
     found = blocks.groupBy("block").applyInArrow(entries, BLOCK_SCHEMA)
     width = max(int(spark.conf.get("spark.sql.shuffle.partitions")), shards)
-    repeated = found.repartition(width, "shard").mapInArrow(repeated_hashes, "block long, data binary")
+    repeated = repeated_of(found)
+
+    def hot_entries(key, table, replies):
+        hot = replies_of(replies["data"])
+        hot = hot[hot & ONE == ONE]
+        own = anchors_of(Block(table)).hot_hashes(hot) if len(hot) else np.zeros(0, np.uint64)
+        return dealt(table["block"][0].as_py() if len(own) else 0, entries_of(own, own))
+
+    again = repeated_of(blocks.groupBy("block").cogroup(repeated.groupBy("block")).applyInArrow(hot_entries, BLOCK_SCHEMA))
+    said = repeated.withColumn("of_class", F.lit(False)).unionAll(again.withColumn("of_class", F.lit(True)))
 
     def send(key, table, replies):
         if not table.num_rows or not replies.num_rows:
-            return pa.table({"block": pa.array([], pa.int64()), "shard": pa.array([], pa.int64()), "data": pa.array([], pa.binary())})
-        hashes = np.sort(np.concatenate([np.frombuffer(data, np.uint64) for data in replies["data"].to_pylist()]))
+            return shard_rows(0, np.zeros(0, np.int64), bytes)
         number = table["block"][0].as_py()
-        rows, spans = surroundings(Block(table), number, hashes, SHARDS_PER_TASK * shards)
+        block = Block(table)
+        own = anchors_of(block)
+        sent = own.sent(*(replies_of(replies["data"].filter(kind)) for kind in (pc.invert(replies["of_class"]), replies["of_class"])))
+        rows, spans = surroundings(block, own.units, own.starts, sent, SHARDS_PER_TASK * shards)
         # what is settled here travels with the rest, to a shard that hands it back
         rows.append((number % (SHARDS_PER_TASK * shards), b"S" + spans.tobytes()))
         return pa.table({
@@ -161,7 +260,7 @@ def search(
             "data": pa.array([r[1] for r in rows], pa.binary()),
         })
 
-    sent = blocks.groupBy("block").cogroup(repeated.groupBy("block")).applyInArrow(send, BLOCK_SCHEMA)
+    sent = blocks.groupBy("block").cogroup(said.groupBy("block")).applyInArrow(send, BLOCK_SCHEMA)
 
     def decide(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parts, by_block = {}, {}

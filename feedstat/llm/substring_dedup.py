@@ -25,23 +25,22 @@ from feedstat.llm.ngram_join import word_hashes
 LENGTH = 13
 GRAM = 5
 BEFORE = LENGTH - GRAM
+#: Windows in a class of those around a hot anchor.
+STEP = 1
 WIDTH = BEFORE + LENGTH
 #: Bits of a word's hash that are sent.
 WORD_BITS = 40
 
 
-def anchor_places(block: passages.Block) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Word hashes of a block, words per document, the places of its anchors and their hashes."""
+def anchors_of(block: passages.Block) -> passages.Anchors:
+    """The word hashes of a block and its anchors."""
     words, counts = word_hashes(block.texts)
-    if len(words) < LENGTH:
-        return words, counts, np.zeros(0, np.int64), np.zeros(0, np.uint64)
-    hashes = mixed(window_hashes(words, GRAM))
-    places = anchors(hashes, passages.inner_windows(counts, LENGTH), BEFORE + 1)
-    return words, counts, places, hashes[places]
-
-
-def anchors_of(block: passages.Block) -> np.ndarray:
-    return anchor_places(block)[3]
+    places, own = np.zeros(0, np.int64), np.zeros(0, np.uint64)
+    if len(words) >= LENGTH:
+        hashes = mixed(window_hashes(words, GRAM))
+        places = anchors(hashes, passages.inner_windows(counts, LENGTH), BEFORE + 1)
+        own = hashes[places]
+    return passages.Anchors(words, counts, places, own, BEFORE, LENGTH, STEP)
 
 
 def same_rows(rows: np.ndarray) -> np.ndarray:
@@ -50,15 +49,9 @@ def same_rows(rows: np.ndarray) -> np.ndarray:
     return np.unique(keys, return_inverse=True)[1].ravel()
 
 
-def surroundings(block: passages.Block, number: int, wanted: np.ndarray, shards: int):
-    """The passages around the block's repeated anchors, and the spans of what smaller ids in it hold too."""
-    words, counts, places, hashes = anchor_places(block)
-    keep = passages.known(hashes, wanted)
-    places, hashes = places[keep], hashes[keep]
-    starts = starts_of(counts)
-    doc = np.searchsorted(starts, places, side="right") - 1
-    before = np.minimum(places - starts[doc], BEFORE)
-    behind = np.minimum(starts[doc + 1] - places, LENGTH)
+def surroundings(block: passages.Block, words: np.ndarray, starts: np.ndarray, sent: tuple[np.ndarray, ...], shards: int):
+    """The passages to send, and the spans of what smaller ids in the block hold too."""
+    places, doc, before, behind, hashes = sent
     steps = np.arange(-BEFORE, LENGTH)
     at = places[:, None] + steps[None, :]
     inside = (steps[None, :] >= -before[:, None]) & (steps[None, :] < behind[:, None])
@@ -184,7 +177,8 @@ def remove(block: passages.Block, spans: np.ndarray) -> dict[str, pa.Array]:
 
 
 def drop_passages(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", carry: list[str] | None = None
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", carry: list[str] | None = None,
+    hot_rows: int = passages.HOT_ROWS,
 ) -> DataFrame:
     """One row per row of ``docs``: its id, ``n_words``, ``n_removed`` and ``kept`` (words joined by a space).
 
@@ -192,10 +186,12 @@ def drop_passages(
     which also starts in a document with a smaller id; windows never cross documents and are
     judged on the input. Null texts have no words; null ids come last; rows with the same id
     (and all with a null id) remove nothing from each other. Of the other columns those in
-    ``carry`` come along, the rest is not read. An empty table gives an empty result.
+    ``carry`` come along, the rest is not read. ``hot_rows`` different surroundings of an anchor
+    make it one whose passages are dealt window by window; it has no part in the result. An empty table gives an empty result.
     """
     return passages.search(
-        docs, id_col, text_col, anchors_of, surroundings, settle, remove, "n_words long, n_removed long, kept string", carry
+        docs, id_col, text_col, anchors_of, surroundings, settle, remove, "n_words long, n_removed long, kept string",
+        hot_rows, carry,
     )
 
 

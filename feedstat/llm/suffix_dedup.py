@@ -23,20 +23,19 @@ from feedstat.llm.arrays import anchors, binary_column, mixed, segment_sums, sta
 LENGTH = 100
 GRAM = 24
 BEFORE = LENGTH - GRAM
+#: Windows in a class of those around a hot anchor; they have 94 bytes in common.
+STEP = 7
 
 
-def anchor_places(block: passages.Block) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """The bytes of a block, the places of its anchors and their hashes."""
+def anchors_of(block: passages.Block) -> passages.Anchors:
+    """The bytes of a block and its anchors."""
     data = np.frombuffer(b"".join(block.texts), np.uint8)
-    if len(data) < LENGTH:
-        return data, np.zeros(0, np.int64), np.zeros(0, np.uint64)
-    hashes = mixed(window_hashes(data.astype(np.uint64) + np.uint64(1), GRAM))
-    places = anchors(hashes, passages.inner_windows(block.lengths, LENGTH), BEFORE + 1)
-    return data, places, hashes[places]
-
-
-def anchors_of(block: passages.Block) -> np.ndarray:
-    return anchor_places(block)[2]
+    places, own = np.zeros(0, np.int64), np.zeros(0, np.uint64)
+    if len(data) >= LENGTH:
+        hashes = mixed(window_hashes(data.astype(np.uint64) + np.uint64(1), GRAM))
+        places = anchors(hashes, passages.inner_windows(block.lengths, LENGTH), BEFORE + 1)
+        own = hashes[places]
+    return passages.Anchors(data, block.lengths, places, own, BEFORE, LENGTH, STEP)
 
 
 def taken(data: np.ndarray, places: np.ndarray, low: np.ndarray, high: np.ndarray, steps: np.ndarray) -> np.ndarray:
@@ -62,19 +61,13 @@ def as_strings(rows: np.ndarray) -> np.ndarray:
     return np.ascontiguousarray(rows).view(f"S{rows.shape[1]}").ravel()
 
 
-def surroundings(block: passages.Block, number: int, wanted: np.ndarray, shards: int):
-    """Front-coded runs of the block's repeated anchors, and the spans of what the block holds twice."""
-    data, places, hashes = anchor_places(block)
-    keep = passages.known(hashes, wanted)
-    places, hashes = places[keep], hashes[keep]
-    starts = starts_of(block.lengths)
-    doc = np.searchsorted(starts, places, side="right") - 1
-    before = np.minimum(places - starts[doc], BEFORE)
-    behind = np.minimum(starts[doc + 1] - places, LENGTH)
-    right = taken(data, places, starts[doc], starts[doc + 1], np.arange(LENGTH))
-    left = taken(data, places, starts[doc], starts[doc + 1], -np.arange(1, BEFORE + 1))
+def surroundings(block: passages.Block, data: np.ndarray, starts: np.ndarray, sent: tuple[np.ndarray, ...], shards: int):
+    """Front-coded runs of the suffixes to send, and the spans of what the block holds twice."""
+    places, doc, before, behind, hashes = sent
+    right = taken(data, places, places - before, places + behind, np.arange(LENGTH))
+    left = taken(data, places, places - before, places + behind, -np.arange(1, BEFORE + 1))
     keys = as_strings(np.concatenate((right, left, before[:, None].astype(np.uint8), behind[:, None].astype(np.uint8) + 1), axis=1))
-    order = np.argsort(keys, kind="stable")  # places rise, so the first of equal ones is the earliest
+    order = np.argsort(keys, kind="stable")  # places of equal ones rise, so the first is the earliest
     fresh = np.ones(len(order), bool)
     fresh[1:] = keys[order][1:] != keys[order][:-1]
     again = order[~fresh]
@@ -242,18 +235,21 @@ def remove(block: passages.Block, spans: np.ndarray) -> dict[str, pa.Array]:
     }
 
 
-def drop_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def drop_repeats(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", hot_rows: int = passages.HOT_ROWS
+) -> DataFrame:
     """One row per row of ``docs``: its id, ``n_bytes``, ``n_removed``, ``n_spans`` and ``kept`` (binary).
 
     Texts are UTF-8 bytes; each byte is removed that lies in a 100-byte string that also starts
     earlier: in a document with a smaller id, or before it in the same one. Matches never cross
     documents and are judged on the input. Null texts are empty; null ids come last; of rows
     with the same id the shorter text counts as earlier, and of equal rows one of them. Other columns are
-    not read. An empty table gives an empty result.
+    not read. ``hot_rows`` different surroundings of an anchor make it one whose passages are dealt by
+    classes of windows; it has no part in the result. An empty table gives an empty result.
     """
     return passages.search(
         docs, id_col, text_col, anchors_of, surroundings, settle, remove,
-        "n_bytes long, n_removed long, n_spans long, kept binary",
+        "n_bytes long, n_removed long, n_spans long, kept binary", hot_rows,
     )
 
 

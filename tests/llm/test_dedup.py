@@ -6,6 +6,7 @@ import re
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -230,6 +231,44 @@ def test_passages_of_odd_rows(spark, monkeypatch, block_bytes):
     assert suffix_dedup.drop_repeats(frame(spark, rows).limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("block_bytes", [1 << 20, 30000])
+def test_passages_around_a_line_that_stands_everywhere(spark, monkeypatch, block_bytes):
+    """A short line with other neighbours each time, with repeated ones, and lines as long as a window or nearly."""
+    monkeypatch.setattr(passages.search, "__defaults__", (None, block_bytes))
+    own = random.Random(3)
+    word = lambda n: " ".join(f"n{own.randint(0, 10**6)}" for _ in range(n))
+    line = "All rights to these pages are with us alone"
+    common = [word(own.choice([2, 5, 9])) for _ in range(6)]
+    rows = [(k, f"{word(6)}\n{line}\n{word(own.choice([3, 12]))}") for k in range(120)]
+    rows += [(200 + k, f"{word(4)} {own.choice(common)} {line} {own.choice(common)} {word(4)}") for k in range(120)]
+    rows += [(400 + k, f"{own.choice(common)} {line} of {line} {own.choice(common)}") for k in range(60)]
+    rows += [(500 + k, f"{word(3)} {line} and with them that we chose for it so far {word(3)}") for k in range(40)] + ODD
+    repeats = suffix_dedup.drop_repeats(frame(spark, rows), hot_rows=4).collect()
+    assert Counter((*tuple(r)[:4], hashlib.sha256(bytes(r.kept)).hexdigest()) for r in repeats) == repeats_expected(rows)
+    kept = substring_dedup.drop_passages(frame(spark, rows), hot_rows=4).collect()
+    assert Counter((*tuple(r)[:3], hashlib.sha256(r.kept.encode()).hexdigest()) for r in kept) == passages_expected(rows)
+
+
+@pytest.mark.parametrize("operator", [substring_dedup, suffix_dedup])
+def test_nothing_is_sent_around_a_hot_line_whose_windows_stand_once(operator):
+    own = random.Random(8)
+    word = lambda n: " ".join(f"n{own.randint(0, 10**9)}" for _ in range(n))
+    texts = [f"{word(20)} All rights to these pages are with us alone {word(20)}" for _ in range(500)]
+    block = passages.Block(pa.table({"doc_id": pa.array(range(500), pa.int64()), "text": texts}))
+    found = operator.anchors_of(block)
+    around = passages.around_hashes(found.units, found.places, found.most, found.length)
+
+    def replies(hashes, around):
+        shard = pa.RecordBatch.from_pydict({"block": [0], "data": [passages.entries_of(hashes, around).tobytes()]})
+        return passages.replies_of(pa.chunked_array([b["data"] for b in passages.repeated_hashes(iter([shard]), 50)], pa.binary()))
+
+    known = replies(found.hashes, around)
+    hot = passages.lookup(found.hashes, known)[1]
+    assert 0 < len(known) < 100 and hot.sum() >= 300
+    classes = found.hot_hashes(known)
+    assert len(classes) >= 300 and len(found.sent(known, replies(classes, classes))[0]) < 20
+
+
 def test_merge_runs_equals_sort():
     own = random.Random(2)
     runs = [sorted(bytes(own.choice(b"ab") for _ in range(100 if own.random() < 0.3 else 3)).ljust(100, b"\0") for _ in range(own.randint(0, 30))) for _ in range(7)]

@@ -30,7 +30,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import StructType
 
-from feedstat.llm.arrays import mixed, starts_of, window_hashes
+from feedstat.llm.arrays import BASE, anchors, mixed, starts_of, window_hashes
 
 #: Bytes of text in a block of documents.
 BLOCK_BYTES = 2 << 20
@@ -113,15 +113,21 @@ def entries_of(hashes: np.ndarray, around: np.ndarray) -> np.ndarray:
     """Distinct hashes, sorted; the low bits say how many values of ``around`` each has (up to 127), and if it comes twice."""
     if not len(hashes):
         return np.zeros(0, np.uint64)
-    upper = hashes >> COUNT_BITS
-    order = np.lexsort((around, upper))
-    upper, around = upper[order], around[order]
-    fresh = np.concatenate(([True], upper[1:] != upper[:-1]))
-    other = fresh | np.concatenate(([True], around[1:] != around[:-1]))
-    first = np.flatnonzero(fresh)
-    several = np.diff(np.append(first, len(upper))) > 1
-    different = np.minimum(np.add.reduceat(other.astype(np.int64), first), 127).astype(np.uint64)
-    return upper[first] << COUNT_BITS | different << ONE | several
+    order = np.argsort(hashes >> COUNT_BITS, kind="stable")
+    upper = (hashes >> COUNT_BITS)[order]
+    first = np.flatnonzero(np.concatenate(([True], upper[1:] != upper[:-1])))
+    counts = np.diff(np.append(first, len(upper)))
+    different = np.ones(len(first), np.int64)
+    several = counts > 1
+    if several.any():
+        group = np.repeat(np.arange(len(first)), counts)
+        inside = several[group]
+        group, own = group[inside], around[order[inside]]
+        by_value = np.lexsort((own, group))
+        group, own = group[by_value], own[by_value]
+        other = (group[1:] == group[:-1]) & (own[1:] != own[:-1])
+        different += np.bincount(group[1:][other], minlength=len(first))
+    return upper[first] << COUNT_BITS | np.minimum(different, 127).astype(np.uint64) << ONE | several
 
 
 def replies_of(data: pa.ChunkedArray) -> np.ndarray:
@@ -130,22 +136,23 @@ def replies_of(data: pa.ChunkedArray) -> np.ndarray:
     return np.sort(np.concatenate(parts)) if parts else np.zeros(0, np.uint64)
 
 
-def around_hashes(units: np.ndarray, places: np.ndarray, before: int, length: int) -> np.ndarray:
-    """A hash of what surrounds each place; near the ends of the block, of the nearest stretch of that length."""
-    hashes = window_hashes(units, before + length)
-    return hashes[np.clip(places - before, 0, len(hashes) - 1)] if len(hashes) else np.zeros(len(places), np.uint64)
-
-
 class Anchors:
-    """Anchors of a block: places, hashes, documents, and the units before (at most ``most``) and behind (``length``).
+    """Anchors of a block of ``units``: places, hashes, documents, and the units before and behind (at most ``length``).
 
     Windows of ``length`` units that start ``k`` units before an anchor are of the class ``k // step``.
     """
 
-    def __init__(self, units: np.ndarray, lengths: np.ndarray, places: np.ndarray, hashes: np.ndarray, most: int, length: int, step: int):
+    def __init__(self, units: np.ndarray, lengths: np.ndarray, gram: int, length: int, step: int):
+        most = length - gram
         self.units, self.most, self.length, self.step = units, most, length, step
         self.starts = starts_of(lengths)
-        self.places, self.hashes = places, hashes
+        hashes = mixed(window_hashes(units.astype(np.uint64), gram))
+        self.places = places = anchors(hashes, inner_windows(lengths, length), most + 1) if len(units) >= length else np.zeros(0, np.int64)
+        self.hashes = hashes[places]
+        # grams that together cover what surrounds an anchor; near the ends of the block, others
+        self.around = np.zeros(len(places), np.uint64)
+        for at in sorted({*range(-most, 0, gram), *range(gram, most, gram), most}):
+            self.around = self.around * np.uint64(BASE) + hashes[np.clip(places + at, 0, max(len(hashes) - 1, 0))]
         self.doc = np.searchsorted(self.starts, places, side="right") - 1
         self.before = np.minimum(places - self.starts[self.doc], most)
         self.behind = np.minimum(self.starts[self.doc + 1] - places, length)
@@ -227,7 +234,7 @@ def search(
 
     def entries(key, table):
         own = anchors_of(Block(table))
-        return dealt(key[0].as_py(), entries_of(own.hashes, around_hashes(own.units, own.places, own.most, own.length)))
+        return dealt(key[0].as_py(), entries_of(own.hashes, own.around))
 
     def repeated_of(found: DataFrame) -> DataFrame:
         return found.repartition(width, "shard").mapInArrow(lambda rows: repeated_hashes(rows, hot_rows), "block long, data binary")

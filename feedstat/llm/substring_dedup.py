@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from feedstat.llm import passages
-from feedstat.llm.arrays import anchors, mixed, segment_sums, starts_of, window_hashes
+from feedstat.llm.arrays import segment_sums, starts_of
 from feedstat.llm.fm_index import FMIndex
 from feedstat.llm.ngram_join import word_hashes
 
@@ -33,14 +33,8 @@ WORD_BITS = 40
 
 
 def anchors_of(block: passages.Block) -> passages.Anchors:
-    """The word hashes of a block and its anchors."""
-    words, counts = word_hashes(block.texts)
-    places, own = np.zeros(0, np.int64), np.zeros(0, np.uint64)
-    if len(words) >= LENGTH:
-        hashes = mixed(window_hashes(words, GRAM))
-        places = anchors(hashes, passages.inner_windows(counts, LENGTH), BEFORE + 1)
-        own = hashes[places]
-    return passages.Anchors(words, counts, places, own, BEFORE, LENGTH, STEP)
+    """The anchors of a block's words, as hashes."""
+    return passages.Anchors(*word_hashes(block.texts), GRAM, LENGTH, STEP)
 
 
 def same_rows(rows: np.ndarray) -> np.ndarray:

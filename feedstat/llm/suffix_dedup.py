@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from feedstat.llm import passages
-from feedstat.llm.arrays import anchors, binary_column, mixed, segment_sums, starts_of, window_hashes
+from feedstat.llm.arrays import binary_column, segment_sums, starts_of
 
 LENGTH = 100
 GRAM = 24
@@ -28,14 +28,8 @@ STEP = 7
 
 
 def anchors_of(block: passages.Block) -> passages.Anchors:
-    """The bytes of a block and its anchors."""
-    data = np.frombuffer(b"".join(block.texts), np.uint8)
-    places, own = np.zeros(0, np.int64), np.zeros(0, np.uint64)
-    if len(data) >= LENGTH:
-        hashes = mixed(window_hashes(data.astype(np.uint64) + np.uint64(1), GRAM))
-        places = anchors(hashes, passages.inner_windows(block.lengths, LENGTH), BEFORE + 1)
-        own = hashes[places]
-    return passages.Anchors(data, block.lengths, places, own, BEFORE, LENGTH, STEP)
+    """The anchors of a block's bytes."""
+    return passages.Anchors(np.frombuffer(b"".join(block.texts), np.uint8), block.lengths, GRAM, LENGTH, STEP)
 
 
 def taken(data: np.ndarray, places: np.ndarray, low: np.ndarray, high: np.ndarray, steps: np.ndarray) -> np.ndarray:

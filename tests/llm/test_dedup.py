@@ -256,13 +256,12 @@ def test_nothing_is_sent_around_a_hot_line_whose_windows_stand_once(operator):
     texts = [f"{word(20)} All rights to these pages are with us alone {word(20)}" for _ in range(500)]
     block = passages.Block(pa.table({"doc_id": pa.array(range(500), pa.int64()), "text": texts}))
     found = operator.anchors_of(block)
-    around = passages.around_hashes(found.units, found.places, found.most, found.length)
 
     def replies(hashes, around):
         shard = pa.RecordBatch.from_pydict({"block": [0], "data": [passages.entries_of(hashes, around).tobytes()]})
         return passages.replies_of(pa.chunked_array([b["data"] for b in passages.repeated_hashes(iter([shard]), 50)], pa.binary()))
 
-    known = replies(found.hashes, around)
+    known = replies(found.hashes, found.around)
     comes_twice, hot = passages.lookup(found.hashes, known)
     assert 0 < len(known) < 100 and hot.sum() >= 300
     classes = found.hot_hashes(known)

@@ -11,7 +11,7 @@ takes the same way.
 from __future__ import annotations
 
 import math
-from collections.abc import Iterable, Mapping, Sequence
+from collections.abc import Callable, Iterable, Mapping, Sequence
 
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
@@ -51,11 +51,18 @@ def long_form(df: DataFrame, columns: Sequence[str], keys: Iterable[str] = ()) -
     return rows.where(present)
 
 
-def cut(rows: DataFrame, size: int, rows_per_bucket: int = ROWS_PER_BUCKET) -> DataFrame:
-    """Add a bucket, an array of numbers in the order of the values, that depends on nothing but the value."""
+def cut(
+    rows: DataFrame, size: int, rows_per_bucket: int = ROWS_PER_BUCKET,
+    sampled: Callable[[float], DataFrame] | None = None,
+) -> DataFrame:
+    """Add a bucket, an array of numbers in the order of the values, that depends on nothing but the value.
+
+    ``sampled`` gives a share of the rows more cheaply than by building all of them.
+    """
     buckets = min(SAMPLED_BOUNDS, max(2, math.ceil(size / rows_per_bucket)))
     shares = [i / buckets for i in range(1, buckets)]
-    sample = rows.sample(min(1.0, SAMPLE_PER_BUCKET * buckets / max(1, size)), seed=7)
+    share = min(1.0, SAMPLE_PER_BUCKET * buckets / max(1, size))
+    sample = sampled(share) if sampled else rows.sample(share, seed=7)
     bounds = sample.agg(
         F.percentile_approx("value", shares, max(1_000, 4 * buckets)).alias("bounds")
     ).first().bounds
@@ -201,29 +208,44 @@ def quantiles(
     the sums and for the values of those buckets.
     """
     keys = ["variable", *by]
-    rows = long_form(df, columns, by)
+    # a zero has one sign, so that values in order are buckets in order
+    rows = long_form(df, columns, by).withColumn("value", F.col("value") + F.lit(0.0))
     named = [_quantile(p).alias(name) for name, p in probabilities.items()]
     cell = [*keys, "bucket"]
-    bucketed = cut(rows, df.count() * len(columns), rows_per_bucket)
+    bucketed = cut(
+        rows, df.count() * len(columns), rows_per_bucket,
+        lambda share: long_form(df.sample(share, seed=7), columns, by),
+    )
     bucketed, cells = _cells(bucketed, keys, F.lit(1), rows_per_bucket)
-    inside = F.lit(False)
-    for p in probabilities.values():
-        for position in _targets(p)[:2]:
-            inside |= (F.col("earlier") <= position) & (position < F.col("earlier") + F.col("size"))
-    # values are counted by the number of their cell, two plain columns
-    wanted = materialize(
-        cells.where(inside).select(*cell, "earlier", "total", F.monotonically_increasing_id().alias("cell")), "wanted-cells"
+    positions = [position for p in probabilities.values() for position in _targets(p)[:2]]
+
+    def at(position: Column, name: str) -> Column:
+        holds = (F.col("earlier") <= position) & (position < F.col("earlier") + F.col("size"))
+        return F.max(F.when(holds, F.col(name)))
+
+    # one row per group: its bounds, and from where to where the cell of each wanted position goes
+    ends = cells.groupBy(*keys).agg(
+        F.max("total").alias("total"), F.min("min").alias("min"), F.max("max").alias("max"),
+        *[at(position, name).alias(f"{name}_{k}") for k, position in enumerate(positions) for name in ("min", "max", "earlier")],
     )
+    ends = materialize(ends.withColumn("_group", F.monotonically_increasing_id()), "wanted-cells")
+    # cells of a group are apart by their values; the first position in a cell names it
+    part = F.coalesce(*[
+        F.when(F.col("value").between(F.col(f"min_{k}"), F.col(f"max_{k}")), k) for k in range(len(positions))
+    ])
     counts = (
-        with_groups(bucketed, wanted.select(*cell, "cell"), cell)
-        .groupBy("cell", "value")
+        with_groups(rows, ends.drop("total", "min", "max"), keys)
+        .select("_group", part.alias("_part"), "value")
+        .where(F.col("_part").isNotNull())
+        .groupBy("_group", "_part", "value")
         .agg(F.count(F.lit(1)).alias("ties"))
     )
     # a value is one row here, so a running sum by rows places it
-    before = F.sum("ties").over(Window.partitionBy("cell").orderBy("value").rowsBetween(Window.unboundedPreceding, -1))
-    placed = counts.withColumn("before", F.coalesce(before, F.lit(0))).join(wanted, "cell")
-    found = placed.withColumn("before", F.col("earlier") + F.col("before")).groupBy(*keys).agg(*named)
-    bounds = cells.groupBy(*keys).agg(
-        F.max("total").alias("total"), F.min("min").alias("min"), F.max("max").alias("max")
+    previous = Window.partitionBy("_group", "_part").orderBy("value").rowsBetween(Window.unboundedPreceding, -1)
+    placed = counts.withColumn("before", F.coalesce(F.sum("ties").over(previous), F.lit(0)))
+    earlier = F.get(F.array(*[f"earlier_{k}" for k in range(len(positions))]), F.col("_part"))
+    found = (
+        placed.join(ends, "_group").withColumn("before", earlier + F.col("before")).groupBy(*keys)
+        .agg(*[F.max(name).alias(name) for name in ("total", "min", "max")], *named)
     )
-    return materialize(bounds.join(found, keys), "quantiles")
+    return materialize(found, "quantiles")

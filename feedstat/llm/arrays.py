@@ -3,12 +3,15 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
 TASK_BYTES = 16 << 20
+#: Values that the rolling functions take at a time, so that what they write in between stays in a core's cache.
+CHUNK = 1 << 14
 
 
 def text_batches(batches: Iterator[pa.RecordBatch], column: str, most: int = TASK_BYTES) -> Iterator[pa.Table]:
@@ -70,40 +73,50 @@ def binary_column(flat: np.ndarray, starts: np.ndarray) -> pa.Array:
 
 def mixed(values: np.ndarray) -> np.ndarray:
     """A bijective scramble of 64-bit values."""
-    values = values ^ (values >> np.uint64(33))
-    values = values * np.uint64(0xFF51AFD7ED558CCD)
-    values = values ^ (values >> np.uint64(33))
-    values = values * np.uint64(0xC4CEB9FE1A85EC53)
-    return values ^ (values >> np.uint64(33))
+    result = np.array(values, np.uint64, order="C")
+    flat = result.reshape(-1)
+    for k in range(0, len(flat), CHUNK):
+        own = flat[k : k + CHUNK]
+        own ^= own >> np.uint64(33)
+        own *= np.uint64(0xFF51AFD7ED558CCD)
+        own ^= own >> np.uint64(33)
+        own *= np.uint64(0xC4CEB9FE1A85EC53)
+        own ^= own >> np.uint64(33)
+    return result
 
 
 BASE = 0x9E3779B97F4A7C15 | 1
 
 
+@lru_cache(maxsize=8)
+def powers(base: int, count: int) -> np.ndarray:
+    """``base ** k`` for each k below ``count`` (64-bit, wrapping)."""
+    factors = np.full(count, base, np.uint64)
+    factors[0] = 1
+    return np.multiply.accumulate(factors)
+
+
 def window_hashes(values: np.ndarray, width: int, base: int = BASE) -> np.ndarray:
-    """Polynomial hash of each run of ``width`` values (64-bit, wrapping); the last ones are short of values.
+    """Polynomial hash of each run of ``width`` values (64-bit, wrapping); ``base`` is odd.
 
-    Doubles the window: the hash of 2n values is that of the first n times base**n plus that
-    of the next n. Gives ``len(values) - width + 1`` hashes.
+    Value j of a run counts ``base ** (width - 1 - j)``. An odd base has an inverse, so running
+    sums of ``values[k] * base ** -k`` give every run as a difference times a power. Gives
+    ``len(values) - width + 1`` hashes.
     """
     if len(values) < width:
         return np.zeros(0, np.uint64)
-    result, done = None, 0
-    block, size, power = values.astype(np.uint64), 1, base
-    while True:
-        if width & size:
-            if result is None:
-                result, done = block, size
-            else:
-                count = len(values) - done - size + 1
-                result = result[:count] * np.uint64(power) + block[done : done + count]
-                done += size
-        if size * 2 > width:
-            break
-        block = block[:-size] * np.uint64(power) + block[size:]
-        power = power * power % 2**64
-        size *= 2
-    return result[: len(values) - width + 1]
+    result = np.empty(len(values) - width + 1, np.uint64)
+    size = CHUNK * (2 + width // CHUNK)
+    up, down = powers(base, size), powers(pow(base, -1, 2**64), size)
+    sums = np.zeros(CHUNK + width, np.uint64)
+    for k in range(0, len(result), CHUNK):
+        own = values[k : k + CHUNK + width - 1].astype(np.uint64)
+        own *= down[: len(own)]
+        np.cumsum(own, out=sums[1 : len(own) + 1])
+        count = len(own) - width + 1
+        np.subtract(sums[width : len(own) + 1], sums[:count], out=result[k : k + count])
+        result[k : k + count] *= up[width - 1 : width - 1 + count]
+    return result
 
 
 def window_minima(values: np.ndarray, width: int, pick=np.minimum) -> np.ndarray:
@@ -126,7 +139,15 @@ def anchors(hashes: np.ndarray, valid: np.ndarray, width: int) -> np.ndarray:
     """
     if len(hashes) < width:
         return np.zeros(0, np.int64)
-    lowest = np.where(valid, window_minima(hashes, width), 0)
-    padded = np.concatenate((np.zeros(width - 1, hashes.dtype), lowest, np.zeros(width - 1, hashes.dtype)))
-    reach = window_minima(padded, width, np.maximum)
-    return np.flatnonzero((reach == hashes) & (reach > 0))
+    windows, found = len(hashes) - width + 1, []
+    for start in range(0, len(hashes), CHUNK):
+        own = hashes[start : start + CHUNK]
+        # windows that hold one of these places; before the first and behind the last there are none
+        low, high = max(0, start - width + 1), min(windows, start + len(own))
+        lowest = np.zeros(len(own) + width - 1, hashes.dtype)
+        lowest[low - start + width - 1 : high - start + width - 1] = np.where(
+            valid[low:high], window_minima(hashes[low : high + width - 1], width), 0
+        )
+        reach = window_minima(lowest, width, np.maximum)
+        found.append(np.flatnonzero((reach == own) & (reach > 0)) + start)
+    return np.concatenate(found)

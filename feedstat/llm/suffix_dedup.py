@@ -3,8 +3,8 @@
 Every 100-byte string that occurs twice holds an anchor in both places (see ``passages``), so
 only suffixes that start at repeated anchors are sorted. A block sends its suffixes as sorted
 runs, front-coded: how many bytes a suffix shares with the one before, and the rest. A shard
-merges the runs with a loser tree that compares from the known common prefix on, and gets the
-common prefix of neighbours with the order. Two suffixes that agree in r bytes, and in l bytes
+merges the runs with a loser tree that compares bytes only where known common prefixes are
+equally long, and gets the common prefix of neighbours with the order. Two suffixes that agree in r bytes, and in l bytes
 before the anchor, have all windows of 100 bytes in these l + r bytes in common; for each place
 of the anchor in a window, the earliest of the equal ones stays and the others are covered.
 """
@@ -32,14 +32,15 @@ def anchors_of(block: passages.Block) -> passages.Anchors:
     return passages.Anchors(np.frombuffer(b"".join(block.texts), np.uint8), block.lengths, GRAM, LENGTH, STEP)
 
 
-def taken(data: np.ndarray, places: np.ndarray, low: np.ndarray, high: np.ndarray, steps: np.ndarray) -> np.ndarray:
-    """``data[places + steps]`` as a matrix, 0 where that is outside [low, high)."""
-    result = np.zeros((len(places), len(steps)), np.uint8)
-    for k in range(0, len(places), 8192):
-        at = places[k : k + 8192, None] + steps[None, :]
-        inside = (at >= low[k : k + 8192, None]) & (at < high[k : k + 8192, None])
-        result[k : k + 8192] = np.where(inside, data[np.clip(at, 0, len(data) - 1)], 0)
-    return result
+def taken(data: np.ndarray, places: np.ndarray, before: np.ndarray, behind: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """``LENGTH`` bytes from each place on, and ``BEFORE`` bytes from there backwards; 0 where a row has fewer."""
+    padded = np.concatenate((np.zeros(BEFORE, np.uint8), data, np.zeros(LENGTH, np.uint8)))
+    right = np.lib.stride_tricks.sliding_window_view(padded, LENGTH)[places + BEFORE]
+    left = np.ascontiguousarray(np.lib.stride_tricks.sliding_window_view(padded, BEFORE)[places][:, ::-1])
+    for rows, held in ((right, behind), (left, before)):
+        short = np.flatnonzero(held < rows.shape[1])
+        rows[short] *= np.arange(rows.shape[1])[None, :] < held[short, None]
+    return right, left
 
 
 def common_prefixes(rows: np.ndarray) -> np.ndarray:
@@ -58,8 +59,7 @@ def as_strings(rows: np.ndarray) -> np.ndarray:
 def surroundings(block: passages.Block, data: np.ndarray, starts: np.ndarray, sent: tuple[np.ndarray, ...], shards: int):
     """Front-coded runs of the suffixes to send, and the spans of what the block holds twice."""
     places, doc, before, behind, hashes = sent
-    right = taken(data, places, places - before, places + behind, np.arange(LENGTH))
-    left = taken(data, places, places - before, places + behind, -np.arange(1, BEFORE + 1))
+    right, left = taken(data, places, before, behind)
     keys = as_strings(np.concatenate((right, left, before[:, None].astype(np.uint8), behind[:, None].astype(np.uint8) + 1), axis=1))
     order = np.argsort(keys, kind="stable")  # places of equal ones rise, so the first is the earliest
     fresh = np.ones(len(order), bool)
@@ -73,16 +73,17 @@ def surroundings(block: passages.Block, data: np.ndarray, starts: np.ndarray, se
     by_shard = np.argsort(shard, kind="stable")  # within a shard they stay in the order of suffixes
     first, shard = first[by_shard], shard[by_shard]
     edges = np.flatnonzero(np.concatenate(([True], shard[1:] != shard[:-1], [True]))) if len(first) else np.zeros(1, int)
+    right, left, held, doc, local = right[first], left[first], before[first], doc[first], local[first]
+    prefix = common_prefixes(right)
+    prefix[edges[:-1]] = 0
+    tails, tail_at = right[np.arange(LENGTH)[None, :] >= prefix[:, None]], starts_of(LENGTH - prefix)
+    lefts, left_at = left[np.arange(BEFORE)[None, :] < held[:, None]], starts_of(held)
+    small = np.stack((prefix, held, behind[first])).astype(np.uint8)
+    large = np.stack((block.order[doc], block.tie[doc], local))
     rows = []
     for a, b in zip(edges[:-1].tolist(), edges[1:].tolist()):
-        own = first[a:b]
-        prefix = common_prefixes(right[own])
-        tails = right[own][np.arange(LENGTH)[None, :] >= prefix[:, None]]
-        lefts = left[own][np.arange(BEFORE)[None, :] < before[own][:, None]]
-        small = np.stack((prefix, before[own], behind[own])).astype(np.uint8)
-        large = np.stack((block.order[doc[own]], block.tie[doc[own]], local[own]))
-        head = np.array([b - a], np.int64)
-        rows.append((int(shard[a]), b"R" + head.tobytes() + large.tobytes() + small.tobytes() + tails.tobytes() + lefts.tobytes()))
+        parts = (np.array([b - a], np.int64), large[:, a:b], small[:, a:b], tails[tail_at[a] : tail_at[b]], lefts[left_at[a] : left_at[b]])
+        rows.append((int(shard[a]), b"R" + b"".join(part.tobytes() for part in parts)))
     return rows, spans
 
 
@@ -107,69 +108,83 @@ class Run:
             self.suffixes.append(last)
 
 
-def first_difference(a: bytes, b: bytes, known: int) -> int:
-    """Where two suffixes differ first, ``LENGTH`` if nowhere; their first ``known`` bytes agree."""
-    gap = int.from_bytes(a[known:], "big") ^ int.from_bytes(b[known:], "big")
-    return LENGTH - (gap.bit_length() + 7) // 8
-
-
 def merge_runs(runs: list[list[bytes]], prefixes: list[list[int]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Run and place in it of all suffixes in order, and the common prefix of each with the one before.
 
     A loser tree. Each entry that waits in it knows the prefix it shares with the last suffix
     given out, or with the one that beat it. Of two that share different lengths the longer
-    is the smaller suffix, with no byte compared; of two that share the same length only what
-    follows is compared.
+    is the smaller suffix, with no byte compared; of two that share the same length the first byte that
+    differs decides. Suffixes that wait are numbers of ``LENGTH`` bytes; a run that has ended shares -1.
     """
     width = 1
     while width < max(1, len(runs)):
         width *= 2
     total = sum(map(len, runs))
-    out_run, out_place, out_prefix = np.zeros(total, np.int64), np.zeros(total, np.int64), np.zeros(total, np.int64)
-    place = [0] * width
-    current = [own[0] if own else None for own in runs] + [None] * (width - len(runs))
-    shared = [0] * width
-    losers = [-1] * width
-
-    def play(a: int, b: int) -> tuple[int, int]:
-        """The winner and the loser; what the loser shares is then what it shares with the winner."""
-        if current[a] is None or current[b] is None:
-            return (b, a) if current[a] is None else (a, b)
-        if shared[a] != shared[b]:
-            return (a, b) if shared[a] > shared[b] else (b, a)
-        known = shared[a]
-        x, y = current[a], current[b]
-        at = first_difference(x, y, known)
-        if at == LENGTH or x[at] < y[at]:
-            shared[b] = at
-            return a, b
-        shared[a] = at
-        return b, a
+    number = int.from_bytes
+    current = [number(own[0], "big") if own else 0 for own in runs] + [0] * (width - len(runs))
+    shared = [0 if own else -1 for own in runs] + [-1] * (width - len(runs))
+    place, losers = [0] * width, [-1] * width
+    out_run, out_place, out_prefix = [], [], []
+
+    def climb(best: int, node: int, until: int) -> int:
+        """The winner of ``best`` against the losers on its way from ``node`` up to ``until``; they stay behind."""
+        x, known = current[best], shared[best]
+        while node > until:
+            other = losers[node]
+            rest = shared[other]
+            if rest > known:
+                losers[node], best = best, other
+                x, known = current[best], rest
+            elif rest == known and known >= 0:
+                y = current[other]
+                # what the loser shares is then what it shares with the winner
+                differs = LENGTH - ((x ^ y).bit_length() + 7 >> 3)
+                if x <= y:
+                    shared[other] = differs
+                else:
+                    shared[best] = differs
+                    losers[node], best, x = best, other, y
+            node >>= 1
+        return best
 
     winners = list(range(width))
-    level = width
-    while level > 1:
-        level //= 2
-        after = []
+    while len(winners) > 1:
+        level = len(winners) // 2
         for k in range(level):
-            best, other = play(winners[2 * k], winners[2 * k + 1])
-            losers[level + k] = other
-            after.append(best)
-        winners = after
+            losers[level + k] = winners[2 * k + 1]
+            winners[k] = climb(winners[2 * k], level + k, (level + k) >> 1)
+        del winners[level:]
     best = winners[0]
-    for n in range(total):
-        out_run[n], out_place[n], out_prefix[n] = best, place[best], shared[best]
-        place[best] += 1
-        if place[best] < len(runs[best]):
-            current[best] = runs[best][place[best]]
-            shared[best] = prefixes[best][place[best]]
+    for _ in range(total):
+        at = place[best]
+        out_run.append(best)
+        out_place.append(at)
+        out_prefix.append(shared[best])
+        place[best] = at = at + 1
+        own = runs[best]
+        if at < len(own):
+            current[best], shared[best] = number(own[at], "big"), prefixes[best][at]
         else:
-            current[best] = None
-        node = (best + width) // 2
-        while node:
-            best, losers[node] = play(best, losers[node])
-            node //= 2
-    return out_run, out_place, out_prefix
+            shared[best] = -1
+        best = climb(best, (best + width) >> 1, 0)
+    return np.array(out_run, np.int64), np.array(out_place, np.int64), np.array(out_prefix, np.int64)
+
+
+def longest_shared(prefix: np.ndarray) -> np.ndarray:
+    """The longest prefix that each row shares with any other, from what neighbours share."""
+    return np.maximum(prefix, np.append(prefix[1:], 0))
+
+
+def repeats_of(right: np.ndarray, left: np.ndarray) -> np.ndarray:
+    """Which places hold a pair of numbers (of 31 bits at most) that an earlier place holds too."""
+    bits = max(1, int(max(right.max(), left.max(), len(right))).bit_length()) if len(right) else 1
+    pairs = right << bits | left
+    if 3 * bits > 63:
+        pairs = np.unique(pairs, return_inverse=True)[1].ravel()
+    # pair and place as one number, which sorts faster than places by pair
+    found = np.sort(pairs << bits | np.arange(len(pairs)))
+    again = np.flatnonzero(found[1:] >> bits == found[:-1] >> bits) + 1
+    return found[again] & ((1 << bits) - 1)
 
 
 def settle(parts: list[tuple[int, bytes]]) -> Iterator[tuple[int, np.ndarray]]:
@@ -192,17 +207,19 @@ def settle(parts: list[tuple[int, bytes]]) -> Iterator[tuple[int, np.ndarray]]:
     by_left = np.argsort(as_strings(joined["left"]), kind="stable")
     left_prefix = common_prefixes(joined["left"][by_left])
     by_age = np.lexsort((joined["place"], joined["tie"], joined["order"]))
+    # a window is in common only with a row that shares enough to its right, and with one that does to its left
+    most_right, most_left = longest_shared(prefix), np.empty(n, np.int64)
+    most_left[by_left] = longest_shared(left_prefix)
+    most_right, most_left = np.minimum(most_right, joined["behind"]), np.minimum(most_left, joined["before"])
+    by_age = by_age[(most_right + most_left >= LENGTH)[by_age]]
     covered = np.zeros((n, BEFORE + 2), bool)
+    left_name = np.empty(n, np.int64)
     for before in range(BEFORE + 1):
-        able = (joined["before"] >= before) & (joined["behind"] >= LENGTH - before)
-        right_name = np.cumsum(prefix < LENGTH - before)
-        left_name = np.empty(n, np.int64)
-        left_name[by_left] = np.cumsum(left_prefix < before)
-        own = by_age[able[by_age]]
-        first = np.unique((right_name * (n + 1) + left_name)[own], return_index=True)[1]
-        later = np.ones(len(own), bool)
-        later[first] = False
-        covered[own[later], before] = True
+        own = by_age[((most_left >= before) & (most_right >= LENGTH - before))[by_age]]
+        if len(own):
+            right_name = np.cumsum(prefix < LENGTH - before)
+            left_name[by_left] = np.cumsum(left_prefix < before)
+            covered[own[repeats_of(right_name[own], left_name[own])], before] = True
     edge = np.diff(covered.astype(np.int8), axis=1, prepend=0)
     row, low = np.nonzero(edge == 1)
     high = np.nonzero(edge == -1)[1] - 1

@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import tracemalloc
 from collections import Counter
 
 import numpy as np
@@ -10,7 +11,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from feedstat.llm import exact_dedup, line_dedup, ngram_join, passages, substring_dedup, suffix_dedup
+from feedstat.llm import arrays, exact_dedup, line_dedup, ngram_join, passages, substring_dedup, suffix_dedup
 from feedstat.llm.arrays import anchors, window_hashes, window_minima
 from feedstat.llm.fm_index import FMIndex
 from oracle import connect, differences
@@ -326,3 +327,63 @@ def test_near_pairs_at_other_thresholds(spark, threshold):
     assert sum(expected.values()) > 80 and got.keys() == expected.keys()
     assert not any(got[k] for k in got if not expected[k])
     assert sum(got[k] for k in got if expected[k]) >= 0.999 * sum(expected.values())
+
+
+def test_anchors_take_little_beside_their_hashes():
+    """Hashes and minima are made in pieces that stay in cache; whole arrays in between took 105 bytes a byte of text."""
+    text = bytes(random.Random(3).choices(b"abcdefgh ", k=1 << 20))
+    block = passages.Block(pa.table({"doc_id": pa.array([1, 2], pa.int64()), "text": [text[: 1 << 19].decode(), text[1 << 19 :].decode()]}))
+    tracemalloc.start()
+    try:
+        found = suffix_dedup.anchors_of(block)
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert len(found.places) > 10_000
+    assert peak < 24 * len(text)
+
+
+def test_every_window_has_an_anchor_whatever_its_hashes(monkeypatch):
+    monkeypatch.setattr(passages, "mixed", lambda values: values % np.uint64(3))
+    lengths = np.array([40, 0, 13, 5, 300])
+    found = passages.Anchors(np.arange(358, dtype=np.uint64), lengths, 5, 13, 1)
+    starts = np.cumsum(lengths) - lengths
+    for start, length in zip(starts, lengths):
+        for window in range(start, start + length - 12):
+            assert ((found.places >= window) & (found.places <= window + 8)).any()
+
+
+@pytest.mark.parametrize("size", [30, 1000, 40_000])
+def test_chunked_helpers_equal_plain_ones(monkeypatch, size):
+    own = np.random.default_rng(size)
+    monkeypatch.setattr(arrays, "CHUNK", 64)
+    for width in (1, 5, 24, 100):
+        values = own.integers(0, 1 << 62, size).astype(np.uint64)
+        expected = [0] * max(0, size - width + 1)
+        for k in range(0, len(expected), max(1, len(expected) // 50)):
+            for value in values[k : k + width].tolist():
+                expected[k] = (expected[k] * arrays.BASE + value) % 2**64
+        got = window_hashes(values, width)
+        assert len(got) == len(expected)
+        assert all(got[k] == expected[k] for k in range(0, len(expected), max(1, len(expected) // 50)))
+        low = values % np.uint64(50)
+        valid = own.random(max(0, size - width + 1)) < 0.8
+        places = {int(k) for w in np.flatnonzero(valid) for k in w + np.flatnonzero(low[w : w + width] == low[w : w + width].min()) if low[k]}
+        assert anchors(low, valid, width).tolist() == sorted(places)
+    lengths = own.integers(0, 9, size // 5)
+    text = np.repeat(np.arange(len(lengths)), lengths)
+    inside = [bool(text[k] == text[k + 3]) for k in range(len(text) - 3)]
+    assert passages.inner_windows(lengths, 4).tolist() == inside
+
+
+@pytest.mark.parametrize("times", [1, 1 << 22])
+def test_repeats_of_pairs(times):
+    """Also where three numbers don't fit into 63 bits."""
+    own = np.random.default_rng(6)
+    right, left = own.integers(0, 30, 500) * times, own.integers(0, 30, 500)
+    seen, expected = set(), []
+    for k, pair in enumerate(zip(right.tolist(), left.tolist())):
+        expected += [k] * (pair in seen)
+        seen.add(pair)
+    assert sorted(suffix_dedup.repeats_of(right, left).tolist()) == expected
+    assert suffix_dedup.repeats_of(right[:0], left[:0]).tolist() == []

@@ -25,7 +25,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window, functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
-from feedstat.llm.arrays import gather, starts_of, text_batches
+from feedstat.llm.arrays import binary_column, gather, starts_of, text_batches
 from feedstat.session import materialize
 
 CAPACITY = 1024
@@ -35,7 +35,11 @@ BATCH_BYTES, STORE_UNITS, JOINED_UNITS = 4 << 20, 1 << 20, 4096
 #: Unicode's white space; a space with white space on both sides, or at the end, does not start a unit.
 WHITE = r"\s\x0b\x1c-\x1f\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
 SPACE_RUNS = rf"[{WHITE}] (?:[{WHITE}]|\z)"
-PLAIN_UNIT = rf"(?s)\A [^{WHITE}](?:.*[^{WHITE}])?\z"
+PLAIN_PART = rf"(?s)\A[ \n][^{WHITE}](?:.*[^{WHITE}])?\z"
+#: Of each byte, whether it is a sign that a run of letters or digits ends at, and whether it is a letter or digit.
+SIGNS, WORDS = (np.isin(np.arange(256), list(own)) for own in (
+    b"!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~", b"0123456789abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ"
+))
 
 
 def reduce_by_dominance(counts: list[int], capacity: int) -> list[tuple[tuple[int, ...], int]]:
@@ -188,13 +192,48 @@ def tokenizer_of(path: str):
     return tokenizer
 
 
+def bytes_of(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The UTF-8 bytes of all texts, joined, and where each starts."""
+    starts = np.frombuffer(texts.buffers()[1], np.int32, len(texts) + 1, 4 * texts.offset).astype(np.int64)
+    data = texts.buffers()[2]
+    return np.frombuffer(data, np.uint8)[starts[0] : starts[-1]] if data else np.zeros(0, np.uint8), starts - starts[0]
+
+
+def parts_of(units: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """Units cut where the tokenizer cuts them anyway, all parts in a row, and where each unit's parts start.
+
+    A cut is before a line end behind a letter, digit or sign, and before the signs at the end of a
+    unit, or before such a line end, that stand behind a letter or digit. Letters are those of ASCII and Latin-1.
+    """
+    data, starts = bytes_of(units)
+    if not len(data):
+        return units, np.arange(len(units) + 1)
+    sign = SIGNS[data]
+    word = WORDS[data]
+    word[1:] |= (data[:-1] == 0xC3) & (data[1:] != 0x97) & (data[1:] != 0xB7)
+    lines = np.flatnonzero((data[1:] == 10) & (word | sign)[:-1]) + 1
+    ends = np.flatnonzero(sign[1:] & word[:-1]) + 1
+    border = np.zeros(len(data) + 1, bool)
+    border[starts] = border[lines] = True
+    borders = np.flatnonzero(border)
+    signs = starts_of(sign)
+    until = borders[np.searchsorted(borders, ends, side="right")]
+    ends = ends[signs[until] - signs[ends] == until - ends]
+    # a cut where a unit starts is none; empty units keep their part
+    border[ends], border[starts] = True, False
+    inner = np.flatnonzero(border)
+    cuts = np.sort(np.concatenate((starts, inner)), kind="stable")
+    parts = binary_column(data, cuts).cast(pa.string())
+    return parts, np.arange(len(starts)) + np.searchsorted(inner, starts)
+
+
 class UnitStore:
-    """Ids of the units of text that a task has met, each encoded once.
+    """Ids of the parts of units of text that a task has met, each encoded once.
 
     A unit is a space and what follows up to the next space: the tokenizer's own split never
-    crosses its start, so units with no white space behind that space or at their end can be
-    encoded in one string, and the ids are dealt back by the bytes that each stands for. When more than ``most`` units
-    are held, all are forgotten.
+    crosses its start, nor that of its parts. Parts that start with a space or line end and have no white space behind
+    it or at their end can be encoded in one string, and the ids are dealt back by the bytes that each
+    stands for. When more than ``most`` parts are held, all are forgotten.
     """
 
     def __init__(self, path: str, most: int = STORE_UNITS):
@@ -215,11 +254,11 @@ class UnitStore:
         return np.fromiter((x for own in encoded for x in own), np.int32, int(lengths.sum())), lengths
 
     def together(self, units: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of units with no white space behind their space or at their end, and how many each has."""
+        """Ids of parts with no white space behind their first character or at their end, and how many each has."""
         ids, counts = [], []
         for start in range(0, len(units), JOINED_UNITS):
             own = units.slice(start, JOINED_UNITS)
-            joined = "".join(own.to_pylist())
+            joined = bytes_of(own)[0].tobytes().decode()
             found = np.array(self.tokenizer.encode_batch_fast([joined], add_special_tokens=False)[0].ids, np.int32)
             ends = np.cumsum(self.token_bytes[found])
             wanted = np.cumsum(pc.binary_length(own).to_numpy(), dtype=np.int64)
@@ -233,12 +272,12 @@ class UnitStore:
         return (np.concatenate(ids), np.concatenate(counts)) if ids else (np.zeros(0, np.int32), np.zeros(0, np.int64))
 
     def places(self, units: pa.Array) -> np.ndarray:
-        """Where each of the distinct ``units`` stands in the store; new ones are encoded."""
+        """Where each of the distinct ``units`` (parts of them) stands in the store; new ones are encoded."""
         if len(self.units) > self.most:
             self.forget()
         place = pc.fill_null(pc.index_in(units, self.units), -1).to_numpy().copy()
         new = np.flatnonzero(place < 0)
-        alone = pc.match_substring_regex(units.take(pa.array(new)), PLAIN_UNIT).to_numpy(zero_copy_only=False)
+        alone = pc.match_substring_regex(units.take(pa.array(new)), PLAIN_PART).to_numpy(zero_copy_only=False)
         for rows, encode in ((new[alone], self.together), (new[~alone], self.one_by_one)):
             own = units.take(pa.array(rows))
             ids, counts = encode(own)
@@ -255,26 +294,29 @@ class UnitStore:
         counts = pc.list_value_length(pieces).to_numpy().astype(np.int64)
         flat = pieces.flatten()
         starts = starts_of(counts)[:-1]
+        known = flat.dictionary_encode()
         # the first piece of a text has no space before it
-        first = np.zeros(len(flat), bool)
-        first[starts] = True
-        units = pc.if_else(pa.array(first), flat, pc.binary_join_element_wise("", flat, " "))
+        units = [pc.binary_join_element_wise("", known.dictionary, " "), flat.take(pa.array(starts))]
+        index = known.indices.to_numpy().astype(np.int64)
+        index[starts] = len(known.dictionary) + np.arange(len(starts))
         if pc.any(runs).as_py():
             own = [matcher.findall(text) for text in texts.filter(runs).to_pylist()]
             where = np.flatnonzero(runs.to_numpy(zero_copy_only=False))
             counts[where] = [len(matches) for matches in own]
             keep = np.ones(len(flat), bool)
             keep[starts[where]] = False  # the empty stand-in of such a text
-            units = units.filter(pa.array(keep))
-            more = pa.array([match for matches in own for match in matches], units.type)
+            units.append(pa.array([match for matches in own for match in matches], flat.type))
+            index = np.concatenate((index[keep], sum(map(len, units[:2])) + np.arange(len(units[2]))))
             order = np.argsort(np.concatenate([
                 np.repeat(np.delete(np.arange(len(texts)), where), np.delete(counts, where)), np.repeat(where, counts[where])
             ]), kind="stable")
-            units = pa.concat_arrays([units, more]).take(pa.array(order))
-        known = units.dictionary_encode()
-        place = self.places(known.dictionary)[known.indices.to_numpy()]
+            index = index[order]
+        parts, part_starts = parts_of(pa.concat_arrays(units))
+        parts = parts.dictionary_encode()
+        place = self.places(parts.dictionary)[parts.indices.to_numpy()]
+        place, numbers = gather(place, part_starts, index)
         out, lengths = gather(self.ids, self.starts, place)
-        return out, starts_of(lengths)[starts_of(counts)]
+        return out, starts_of(lengths)[starts_of(numbers)[starts_of(counts)]]
 
 
 def tokenize_pieces(

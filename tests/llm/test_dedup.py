@@ -330,7 +330,7 @@ def test_near_pairs_at_other_thresholds(spark, threshold):
 
 
 def test_anchors_take_little_beside_their_hashes():
-    """Hashes and minima are made in pieces that stay in cache; whole arrays in between took 105 bytes a byte of text."""
+    """Hashes and minima are made in pieces that stay in cache; whole arrays in between took 42 bytes a byte of text."""
     text = bytes(random.Random(3).choices(b"abcdefgh ", k=1 << 20))
     block = passages.Block(pa.table({"doc_id": pa.array([1, 2], pa.int64()), "text": [text[: 1 << 19].decode(), text[1 << 19 :].decode()]}))
     tracemalloc.start()

@@ -169,3 +169,34 @@ def test_units_join_and_come_apart():
         ids, starts = store.encode(pa.array(some), matcher)
         got = [ids[a:b].tolist() for a, b in zip(starts, starts[1:])]
         assert got == [tokenizer.encode(text, add_special_tokens=False).ids for text in some]
+
+
+def test_units_share_the_parts_that_the_tokenizer_cuts():
+    """Words with other signs or line ends around them are encoded once; ids are the tokenizer's."""
+    import pyarrow as pa
+    import regex
+
+    own = random.Random(11)
+    signs = ["", ",", ".", ").", "...", "$$$", "'s", "'s.", "'", "-", "\n", ".\n", "\n\n", ",\n,", "\r\n", "×", "÷.", "…", "\u0301."]
+    words = ["word", "Über", "été", "naïvÿ", "42", "x2", "日本", "ß", "don't", "a-b", "\xa0", "_", ""]
+    texts = [" ".join(own.choice(signs) + own.choice(words) + own.choice(signs) + own.choice(["", own.choice(words)]) for _ in range(6)) for _ in range(3000)]
+    texts += ["word word, word. word\nword word;\nword"] * 2 + ["", ".", "\n", "word.", ".word", "\n."]
+    tokenizer = Tokenizer.from_file(P.path("byte_bpe_50k.json"))
+    store, matcher = packing.UnitStore(P.path("byte_bpe_50k.json")), regex.compile(P.PATTERN)
+    store.encode(pa.array(texts[-8:-6]), matcher)
+    assert set(store.units.to_pylist()) == {"word", " word", "\nword", ",", ".", ";"}
+    ids, starts = store.encode(pa.array(texts), matcher)
+    for text, a, b in zip(texts, starts, starts[1:]):
+        assert ids[a:b].tolist() == tokenizer.encode(text, add_special_tokens=False).ids
+
+
+def test_parts_are_cut_at_signs_and_line_ends():
+    import pyarrow as pa
+
+    units = [" word,", " été.\nNon", "", " a-b", " ×.", " x...\n\ny!", "'s"]
+    parts, starts = packing.parts_of(pa.array(["lead", *units]).slice(1))
+    got = [parts.to_pylist()[a:b] for a, b in zip(starts, starts[1:])]
+    assert got == [
+        [" word", ","], [" été", ".", "\nNon"], [""], [" a-b"], [" ×."], [" x", "...", "\n\ny", "!"], ["'s"],
+    ]
+    assert packing.parts_of(pa.array([], pa.string()))[1].tolist() == [0]

@@ -22,8 +22,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from feedstat.llm.arrays import mixed, starts_of, text_batches, window_hashes
-from feedstat.session import materialize
+from feedstat.llm.arrays import CHUNK, mixed, starts_of, text_batches, window_hashes
+from feedstat.session import materialize, small_batches
 
 WORDS = 5
 THRESHOLD = 0.8
@@ -33,7 +33,8 @@ POSITIONS = 64
 BUCKET, LEVELS = 512, 3
 #: Pairs whose signatures agree in fewer positions are not compared: so many standard deviations under the threshold.
 FLOOR_DEVIATIONS = 5
-BATCH_BYTES = 4 << 20
+#: Bytes of text made into sets at a time, and cells of a matrix of members and n-grams.
+BATCH_BYTES, CELLS = 1 << 20, 2 << 20
 SPACE = np.zeros(256, bool)
 SPACE[[9, 10, 11, 12, 13, 32]] = True
 
@@ -45,11 +46,16 @@ def word_hashes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     inside = ~SPACE[data]
     begins = np.flatnonzero(inside & np.concatenate(([True], ~inside[:-1]))) if len(data) else np.zeros(0, np.int64)
     stops = np.flatnonzero(inside & np.concatenate((~inside[1:], [True]))) + 1 if len(data) else begins
-    lengths = stops - begins
-    at = np.flatnonzero(inside)
-    place = (at - np.repeat(begins, lengths)).astype(np.uint64)
-    marks = mixed(data[at].astype(np.uint64) + np.uint64(1) + place * np.uint64(257))
-    hashes = mixed(np.add.reduceat(marks, starts_of(lengths)[:-1])) if len(begins) else np.zeros(0, np.uint64)
+    hashes = np.empty(len(begins), np.uint64)
+    # words that start in the same bytes are hashed together: a byte takes some 50 bytes of memory meanwhile
+    edges = np.unique(np.append(np.searchsorted(begins, np.arange(0, len(data), CHUNK)), len(begins)))
+    for a, b in zip(edges[:-1].tolist(), edges[1:].tolist()):
+        lengths = stops[a:b] - begins[a:b]
+        at = np.flatnonzero(inside[begins[a] : stops[b - 1]]) + begins[a]
+        place = (at - np.repeat(begins[a:b], lengths)).astype(np.uint64)
+        marks = mixed(data[at].astype(np.uint64) + np.uint64(1) + place * np.uint64(257))
+        hashes[a:b] = np.add.reduceat(marks, starts_of(lengths)[:-1])
+    hashes = mixed(hashes)
     first = np.searchsorted(begins, np.concatenate(([0], ends[:-1])) if len(texts) else [])
     counts = np.diff(np.concatenate((first, [len(begins)])))
     return hashes, counts.astype(np.int64)
@@ -261,7 +267,7 @@ def intersections(sets: list[np.ndarray], left: np.ndarray, right: np.ndarray) -
     number = np.unique(np.concatenate(sets), return_inverse=True)[1]
     owner = np.repeat(np.arange(len(sets)), [len(own) for own in sets])
     common = np.zeros((len(sets), len(sets)), np.float32)
-    width = max(1, (8 << 20) // len(sets))
+    width = max(1, CELLS // len(sets))
     order = np.argsort(number, kind="stable")
     number, owner = number[order], owner[order]
     for begin in range(0, int(number[-1]) + 1, width):  # so many different n-grams at a time
@@ -357,7 +363,8 @@ def classes(
     plain = docs.select(
         F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), F.xxhash64(F.col(text_col)).alias("mark")
     )
-    sets = materialize(with_sets(plain, width), "ngram-sets")
+    with small_batches(docs.sparkSession):
+        sets = materialize(with_sets(plain, width), "ngram-sets")
     reps = materialize(
         sets.where("size > 0").groupBy("key_a", "key_b", "size", "signature").agg(
             F.count("*").alias("copies"), F.min(F.struct("doc_id", "mark")).alias("row"), F.min("doc_id").alias("least"),
@@ -391,7 +398,8 @@ def classes(
 
     found = texts.mapInArrow(grams, "rep long, grams binary")
     ready = needed.join(found, "rep").repartition("bucket", "task").sortWithinPartitions("bucket", "task")
-    linked = materialize(ready.mapInArrow(compare(threshold), "rep long, links long, root long"), "links")
+    with small_batches(docs.sparkSession):
+        linked = materialize(ready.mapInArrow(compare(threshold), "rep long, links long, root long"), "links")
 
     links = linked.groupBy("rep").agg(F.sum("links").alias("links"))
     labels = components(linked.select(F.col("rep").alias("a"), F.col("root").alias("b")))

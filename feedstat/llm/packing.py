@@ -26,12 +26,12 @@ from pyspark.sql import DataFrame, Window, functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
 from feedstat.llm.arrays import binary_column, gather, starts_of, text_batches
-from feedstat.session import materialize
+from feedstat.session import materialize, small_batches
 
 CAPACITY = 1024
 END_ID = 2
 #: Bytes of text encoded at a time, units a task remembers, and units encoded in one string.
-BATCH_BYTES, STORE_UNITS, JOINED_UNITS = 4 << 20, 1 << 20, 4096
+BATCH_BYTES, STORE_UNITS, JOINED_UNITS = 2 << 20, 1 << 20, 4096
 #: Unicode's white space; a space with white space on both sides, or at the end, does not start a unit.
 WHITE = r"\s\x0b\x1c-\x1f\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
 SPACE_RUNS = rf"[{WHITE}] (?:[{WHITE}]|\z)"
@@ -378,9 +378,10 @@ def pack_documents(
     Pieces are written once, so ranks, counts and places come from the same numbering even
     if tasks run again. An empty table gives an empty result.
     """
-    pieces = materialize(
-        tokenize_pieces(docs, tokenizer_path, pattern, id_col, text_col, capacity, end_id), "pack-pieces"
-    )
+    with small_batches(docs.sparkSession):
+        pieces = materialize(
+            tokenize_pieces(docs, tokenizer_path, pattern, id_col, text_col, capacity, end_id), "pack-pieces"
+        )
     return pack(pieces, capacity)
 
 

@@ -3,9 +3,15 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
+#: Bytes of rows that Spark hands to a Python task at once, where a job asks for small batches.
+ARROW_BYTES = 2 << 20
+ARROW_SETTING = "spark.sql.execution.arrow.maxBytesPerBatch"
+
 
 def build_session(app_name: str = "feedstat", master: str | None = None, **conf: str) -> SparkSession:
     """A session with the settings the library is written for.
@@ -48,6 +54,23 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{scratch_dir(spark)}/{label}-{uuid.uuid4().hex}"
 
 
+@contextmanager
+def small_batches(spark: SparkSession) -> Iterator[None]:
+    """Jobs run inside hand ``ARROW_BYTES`` of rows to Python tasks at once, or one longer row.
+
+    Without it a batch has 10,000 rows, which are held several times, by the executor and by its
+    Python tasks: texts of some KB make that much memory. A limit set by the session's user stays.
+    """
+    own = spark.conf.get(ARROW_SETTING, None) is None
+    if own:
+        spark.conf.set(ARROW_SETTING, ARROW_BYTES)
+    try:
+        yield
+    finally:
+        if own:
+            spark.conf.unset(ARROW_SETTING)
+
+
 def materialize(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` once to the shared scratch folder and read it back.
 

@@ -7,11 +7,13 @@ import tracemalloc
 from collections import Counter
 
 import numpy as np
+import public_tokenizers
 import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from feedstat.llm import arrays, exact_dedup, line_dedup, ngram_join, passages, substring_dedup, suffix_dedup
+from feedstat import session
+from feedstat.llm import arrays, exact_dedup, line_dedup, ngram_join, packing, passages, substring_dedup, suffix_dedup
 from feedstat.llm.arrays import anchors, window_hashes, window_minima
 from feedstat.llm.fm_index import FMIndex
 from oracle import connect, differences
@@ -387,3 +389,58 @@ def test_repeats_of_pairs(times):
         seen.add(pair)
     assert sorted(suffix_dedup.repeats_of(right, left).tolist()) == expected
     assert suffix_dedup.repeats_of(right[:0], left[:0]).tolist() == []
+
+
+def test_word_hashes_take_little_beside_the_texts():
+    rng = np.random.default_rng(8)
+    texts = [bytes(rng.choice(np.frombuffer(b"abcdefgh \n", np.uint8), 1 << 20)) for _ in range(4)]
+    ngram_join.word_hashes(texts[:1])
+    tracemalloc.start()
+    hashes, counts = ngram_join.word_hashes(texts)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 25 * sum(map(len, texts)), peak / sum(map(len, texts))
+    alone = [ngram_join.word_hashes([word])[0][0] for word in texts[3].split()[-200:]]
+    assert hashes[-200:].tolist() == alone and counts.tolist() == [len(text.split()) for text in texts]
+
+
+def test_words_longer_than_a_chunk_have_their_own_hashes(monkeypatch):
+    rng = random.Random(9)
+    texts = [b" ".join(b"w" * rng.choice([1, 2, 15, 16, 17, 40]) for _ in range(30)) for _ in range(4)] + [b"", b" \n ", b"x" * 100]
+    whole = ngram_join.word_hashes(texts)
+    monkeypatch.setattr(ngram_join, "CHUNK", 16)
+    pieces = ngram_join.word_hashes(texts)
+    assert [own.tolist() for own in pieces] == [own.tolist() for own in whole]
+
+
+def test_tasks_over_texts_get_small_batches(spark, monkeypatch):
+    text = " ".join(f"word{k}" for k in range(500))
+    docs = spark.range(3000, numPartitions=1).select(F.col("id").alias("doc_id"), F.concat(F.lit(text + " "), "id").alias("text"))
+    sizes = docs.mapInArrow(lambda batches: (pa.record_batch({"n": [batch.nbytes]}) for batch in batches), "n long")
+    with session.small_batches(spark):
+        held = [row.n for row in sizes.collect()]
+    assert max(held) < session.ARROW_BYTES + 10_000 and sum(held) > 4 * session.ARROW_BYTES
+
+    limits = {}
+
+    def watched(df, label):
+        limits[label] = spark.conf.get(session.ARROW_SETTING, None)
+        return session.materialize(df, label)
+
+    for module in (ngram_join, packing):
+        monkeypatch.setattr(module, "materialize", watched)
+    ngram_join.one_of_each(docs.limit(20)).count()
+    packing.pack_documents(docs.limit(20), public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.PATTERN).count()
+    for label in ("ngram-sets", "links", "pack-pieces"):
+        assert limits[label] == str(session.ARROW_BYTES), label
+    assert spark.conf.get(session.ARROW_SETTING, None) is None
+
+
+def test_a_limit_of_the_session_stays(spark):
+    spark.conf.set(session.ARROW_SETTING, 12345)
+    try:
+        with session.small_batches(spark):
+            assert spark.conf.get(session.ARROW_SETTING) == "12345"
+        assert spark.conf.get(session.ARROW_SETTING) == "12345"
+    finally:
+        spark.conf.unset(session.ARROW_SETTING)
